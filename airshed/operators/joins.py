@@ -12,24 +12,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airshed.functions import strip_ws
-from airshed.session import checkpoint_root
+from pyspark.sql import Observation
+
+from airshed.session import scratch_path
 
 # Default ceiling for a broadcast lookup: one row per calendar day for
 # thousands of years, or a country/region dimension, fits far below it.
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def materialise(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """Write ``df`` as Parquet below the shared checkpoint folder; return (re-read, rows).
+
+    The row count is observed while writing (no second job), the re-read
+    plan has no lineage back to the inputs, and the files survive the loss
+    of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"{name}-rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      materialise: bool = True) -> tuple[DataFrame, bool]:
+                      materialise_side: bool = True) -> tuple[DataFrame, bool]:
     """Return ``(side, small)``; ``side`` is broadcast-hinted only if ``rows <= max_rows``.
 
-    ``materialise=False`` is for sides that are already a cheap, stable scan
-    (a dimension table file): the count then costs only a metadata pass.
+    ``materialise_side=False`` is for sides that are already a cheap, stable
+    scan (a dimension table file): the count then costs only a metadata pass.
     """
-    if materialise:
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    n = df.limit(max_rows + 1).count()
+    if materialise_side:
+        df, n = materialise(df)
+    else:
+        n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False

@@ -40,17 +40,16 @@ TOTAL_ENTRY = "ALL"
 def geo(spark: SparkSession, root: str) -> DataFrame:
     """customer -> (c_custkey, location_name, n_name).
 
-    nation and region are dimension tables; they are broadcast only after
-    their row count is checked.  customer grows with the data and is joined
-    by shuffle.
+    nation x region is a dimension; it is broadcast only after its row count
+    is checked.  customer grows with the data and is joined by shuffle.
     """
     cust = read_table(spark, root, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nat, _ = bounded_broadcast(read_table(spark, root, "nation")
-                               .select("n_nationkey", "n_name", "n_regionkey"), materialise=False)
-    reg, _ = bounded_broadcast(read_table(spark, root, "region").select("r_regionkey", "r_name"),
-                               materialise=False)
-    g = (cust.join(nat, cust.c_nationkey == nat.n_nationkey, "left")
-             .join(reg, F.col("n_regionkey") == reg.r_regionkey, "left"))
+    nat = read_table(spark, root, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    reg = read_table(spark, root, "region").select("r_regionkey", "r_name")
+    dims = nat.join(reg, nat.n_regionkey == reg.r_regionkey, "left") \
+        .select("n_nationkey", "n_name", "r_name")
+    dims, _ = bounded_broadcast(dims, materialise_side=False)
+    g = cust.join(dims, cust.c_nationkey == dims.n_nationkey, "left")
     loc = F.concat(F.col("c_mktsegment"), F.lit(", "), F.col("n_name"), F.lit(", "), F.col("r_name"))
     return g.select("c_custkey", loc.alias("location_name"), "n_name")
 
@@ -97,22 +96,25 @@ def weather_readings(spark: SparkSession, root: str) -> DataFrame:
 def estimate_responses(spark: SparkSession, root: str) -> DataFrame:
     """One estimate API response (JSON text) per day with click events.
 
-    The response of a day lists one entry per nation; its size is bounded by
-    the nation dimension, not by the event volume.  The per-(day, nation)
-    distinct count is pre-aggregated before any shuffle.
+    Clicks are first reduced to distinct (day, customer) pairs (partial
+    aggregation before the shuffle), so the customer join sees one row per
+    active customer-day instead of one per event.  Each customer has one
+    nation, so per-nation counts of those pairs are distinct-customer counts
+    and the ``ALL`` entry is their sum.  A response lists one entry per
+    nation: its size is bounded by the nation dimension, not by the events.
     """
-    ev = read_table(spark, root, "events").filter(F.col("event_type") == "click") \
-        .select("ts", "user_id")
+    clicks = (read_table(spark, root, "events").filter(F.col("event_type") == "click")
+              .select(date_text(F.col("ts").cast("date")).alias("date_str"), "user_id")
+              .distinct())
     g = geo(spark, root).select("c_custkey", "n_name")
-    j = ev.join(g, ev.user_id == g.c_custkey, "inner") \
-        .select(date_text(F.col("ts").cast("date")).alias("date_str"), "n_name", "user_id")
-    per_nation = j.groupBy("date_str", "n_name").agg(F.count_distinct("user_id").alias("n"))
-    total = j.groupBy("date_str").agg(F.lit(TOTAL_ENTRY).alias("n_name"),
-                                      F.count_distinct("user_id").alias("n"))
+    j = clicks.join(g, clicks.user_id == g.c_custkey, "inner")
+    per_nation = j.groupBy("date_str", "n_name").agg(F.count(F.lit(1)).alias("n"))
     entry = F.struct(F.col("n_name").alias("name"),
                      F.col("n").cast("string").alias("estimated_no_people"))
-    return per_nation.unionByName(total).groupBy("date_str").agg(
-        F.to_json(F.struct(F.collect_list(entry).alias("info"))).alias("response"))
+    total = F.struct(F.lit(TOTAL_ENTRY).alias("name"),
+                     F.sum("n").cast("string").alias("estimated_no_people"))
+    info = F.concat(F.collect_list(entry), F.array(total))
+    return per_nation.groupBy("date_str").agg(F.to_json(F.struct(info.alias("info"))).alias("response"))
 
 
 def visitor_lookup(spark: SparkSession, root: str, city: str = LOOKUP_CITY,

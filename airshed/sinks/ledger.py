@@ -56,8 +56,12 @@ def upsert_ledger(batch: DataFrame, path: str, keys: Sequence[str] = ("file_name
     spark = batch.sparkSession
     vs = _versions(spark, path)
     cols = [f.name for f in LEDGER.fields]
-    old = read_ledger(spark, path).select(*cols).withColumn("_src", F.lit(0))
-    new = batch.select(*cols).withColumn("_src", F.lit(1))
+    order = [c for c in order if c not in cols or c in batch.columns]
+    extra = [c for c in order if c not in cols]
+    old = read_ledger(spark, path).select(*cols)
+    old = old.select(*cols, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in extra],
+                     F.lit(0).alias("_src"))
+    new = batch.select(*cols, *extra, F.lit(1).alias("_src"))
     merged = last_wins(old.unionByName(new), keys, ["_src", *order], cols)
     nxt = (vs[-1] + 1) if vs else 1
     merged.select(*cols).write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={nxt:06d}")

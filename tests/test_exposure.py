@@ -1,0 +1,109 @@
+import datetime as dt
+
+import pytest
+
+from airshed.operators import (
+    country_exposure, dedup_readings, exposure_per_city, exposure_per_country, top_exposed_days,
+    weighted_exposure,
+)
+
+COLS = ("time_date string, location_name string, measurement_pm10Atmo double, "
+        "measurement_pm25Atmo double, measurement_pm100Atmo double, tourist_estimate int")
+CITY = "Tătărași Sud, Iași, Romania"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, COLS)
+
+
+def test_distinct_collapses_equal_readings_of_different_hours(spark):
+    rows = [("2022-05-02 01:00:00", CITY, None, 10.0, 11.0, 100),
+            ("2022-05-02 02:00:00", CITY, None, 10.0, 11.0, 100),   # same readings: collapses
+            ("2022-05-02 03:00:00", CITY, None, 10.0, 12.0, 100)]   # differs in pm100 only
+    out = exposure_per_city(frame(spark, rows)).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert r.day == dt.date(2022, 5, 2)
+    assert r.pollution_total_visitor_pm10 == 0.0              # NULL measure coalesced to 0
+    assert r.pollution_total_visitor_pm25 == 2000.0           # two distinct rows remain
+    assert r.pollution_total_visitor_pm100 == 2300.0
+    # with pm25 as the only measure the third row collapses too (key set matters)
+    assert dedup_readings(frame(spark, rows), ["measurement_pm25Atmo"]).count() == 1
+
+
+def test_null_weight_is_skipped_and_all_null_group_is_null(spark):
+    rows = [("2022-05-02 01:00:00", "A, X, C1", 1.0, 2.0, 3.0, None),
+            ("2022-05-02 02:00:00", "A, X, C1", 1.0, 5.0, 3.0, 10),
+            ("2022-05-03 01:00:00", "B, Y, C1", 1.0, 2.0, 3.0, None)]
+    out = {(r.day, r.city): r for r in exposure_per_city(frame(spark, rows)).collect()}
+    assert out[(dt.date(2022, 5, 2), "A, X, C1")].pollution_total_visitor_pm25 == 50.0
+    assert out[(dt.date(2022, 5, 3), "B, Y, C1")].pollution_total_visitor_pm25 is None
+
+
+def test_day_filter_and_order_nulls_last(spark):
+    rows = [("2022-05-02 01:00:00", "b", 1.0, 1.0, 1.0, 1),
+            ("2022-05-02 01:00:00", None, 1.0, 1.0, 1.0, 1),
+            ("2022-05-02 01:00:00", "a", 1.0, 1.0, 1.0, 1),
+            ("2022-05-03 01:00:00", "c", 1.0, 1.0, 1.0, 1)]
+    cities = [r.city for r in exposure_per_city(frame(spark, rows), day="2022-05-02").collect()]
+    assert cities == ["a", "b", None]
+
+
+def test_country_is_sum_over_count_distinct_city(spark):
+    rows = [("2022-05-02 01:00:00", "d1, Iasi, Romania", 1.0, 10.0, 1.0, 2),
+            ("2022-05-02 01:00:00", "d2, Cluj, Romania", 1.0, 30.0, 1.0, 2),
+            ("2022-05-02 01:00:00", "d3, Novi Sad, Serbia", None, 7.0, None, None),
+            ("2022-05-02 01:00:00", None, 1.0, 1.0, 1.0, 1)]
+    out = {r.country: r for r in exposure_per_country(frame(spark, rows)).collect()}
+    assert out["Romania"].pollution_total_visitor_country_pm25 == pytest.approx((20 + 60) / 2)
+    assert out["Serbia"].pollution_total_visitor_country_pm25 is None   # NULL sum / 1
+    assert out[None].pollution_total_visitor_country_pm25 is None       # COUNT(DISTINCT NULL)=0
+
+
+def test_country_count_distinct_equivalence(spark):
+    per_city = spark.createDataFrame(
+        [(dt.date(2022, 5, 2), "a, Romania", 1.0, 2.0, 3.0),
+         (dt.date(2022, 5, 2), "b, Romania", 3.0, 4.0, 5.0)],
+        "day date, city string, pollution_total_visitor_pm10 double, "
+        "pollution_total_visitor_pm25 double, pollution_total_visitor_pm100 double")
+    r = country_exposure(per_city).first()
+    assert (r.pollution_total_visitor_country_pm10, r.pollution_total_visitor_country_pm25) == (2.0, 3.0)
+
+
+def test_top_days_ties_and_limit(spark):
+    rows = [(f"2022-04-{d:02d} 10:00:00", CITY, 0.0, float(v), 1.0, 1)
+            for d, v in [(1, 5), (2, 9), (3, 9), (4, 1), (5, 7)]]
+    rows.append(("2022-04-06 10:00:00", "other", 0.0, 100.0, 1.0, 1))
+    rows.append(("2022-04-07 10:00:00", CITY, 0.0, 3.0, 1.0, None))   # NULL exposure: last
+    got = [(r.day.day, r.pollution_total_visitor_pm25)
+           for r in top_exposed_days(frame(spark, rows), CITY, k=3).collect()]
+    assert got == [(2, 9.0), (3, 9.0), (5, 7.0)]
+    assert top_exposed_days(frame(spark, rows), CITY, k=10).count() == 6
+
+
+def test_weighted_exposure_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(f"2022-04-{rnd.randint(1, 3):02d} {rnd.randint(0, 23):02d}:00:00",
+             rnd.choice(["a, x, R", "b, y, R"]),
+             rnd.choice([None, 1.5, 2.0]), rnd.choice([None, 3.0]), 1.0, rnd.choice([None, 2, 3]))
+            for _ in range(300)]
+    got = {(r.day, r.city): r.pollution_total_visitor_pm10
+           for r in exposure_per_city(frame(spark, rows)).collect()}
+    base = {(dt.date.fromisoformat(t[:10]), c, m10, m25, m100, w) for t, c, m10, m25, m100, w in rows}
+    exp = {}
+    for d, c, m10, _m25, _m100, w in base:
+        prod = None if w is None else (m10 or 0) * w
+        if prod is not None:
+            exp[(d, c)] = (exp.get((d, c)) or 0) + prod
+        else:
+            exp.setdefault((d, c), None)
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert (got[k] is None and exp[k] is None) or got[k] == pytest.approx(exp[k])
+
+
+def test_weighted_exposure_custom_names(spark):
+    df = spark.createDataFrame([(1, 2.0, 3)], "k int, m double, w int")
+    r = weighted_exposure(df, ["m"], "w", ["k"], {"m": "e"}).first()
+    assert r.e == 6.0
