@@ -27,7 +27,13 @@ from airshed.operators.joins import enrich
 from airshed.plans import standins as S
 from airshed.session import scratch_path
 from airshed.sinks import write_by_date
-from airshed.sources import parse_notifications, read_partitioned, read_table, with_source_file
+from airshed.plans.workflows import (
+    enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
+)
+from airshed.schemas import NORMALISED_WEATHER
+from airshed.sources import (
+    parse_notifications, read_lookup, read_partitioned, read_table, with_source_file,
+)
 
 # Parameters of the registered reports.
 REPORT_DAY = "2024-01-15"
@@ -153,6 +159,46 @@ def q_partition_roundtrip(spark, root):
     return back.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Stand-in raw weather layout as landed CSV text.
+WEATHER_LANDED = ("name string, time_nano bigint, time_date string, location_name string, "
+                  "weather_temperature double, weather_windSpeed double, weather_precipitation double")
+POLLUTION_LANDED = ("event_id bigint, time_date string, location_name string, "
+                    "measurement_pm10Atmo double, measurement_pm25Atmo double, "
+                    "measurement_pm100Atmo double")
+
+
+def q_normalise_weather_files(spark, root):
+    """W1 on files: landed weather CSV -> normalised ``;`` CSV, read back."""
+    src, dst = scratch_path(spark, "weather-landed"), scratch_path(spark, "weather-normalised")
+    S.weather_readings(spark, root).write.option("header", True).csv(src)
+    normalise_weather_file(spark, src, dst, schema=WEATHER_LANDED, single_file=False)
+    return (spark.read.option("header", True).option("sep", ";").schema(NORMALISED_WEATHER)
+            .csv(dst))
+
+
+def q_partition_job(spark, root):
+    """W2 on files: CSV two levels below a root -> profile + date-partitioned CSV; per-date rows."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "partitioned")
+    S.weather_readings(spark, root).write.option("header", True).csv(f"{raw}/landing")
+    partition_by_date_job(spark, raw, out, schema=WEATHER_LANDED)
+    return read_partitioned(spark, out).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_enrich_partitioned_files(spark, root):
+    """W3 + W4 on files: publish the lookup CSV, enrich the date-partitioned readings."""
+    part, lk, out = (scratch_path(spark, "pollution-by-date"), scratch_path(spark, "lookup"),
+                     scratch_path(spark, "pollution-enriched"))
+    r = S.with_date_str(S.readings(spark, root)).select(*[c.split()[0] for c in POLLUTION_LANDED.split(", ")],
+                                                        "date")
+    write_by_date(r, part, mode="overwrite")
+    publish_lookup(S.estimate_responses(spark, root), lk, [S.LOOKUP_CITY], case_sensitive=False)
+    enrich_partitioned(spark, part, read_lookup(spark, lk), out,
+                       schema=POLLUTION_LANDED)
+    back = read_partitioned(spark, out)
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "date_str",
+                       F.col("tourist_estimate").cast("int").alias("tourist_estimate"))
+
+
 def q_first_non_empty(spark, root):
     d = read_table(spark, root, "documents")
     return d.select("doc_id", first_non_empty("lang", "source").alias("value"))
@@ -228,6 +274,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_profile": q_quality_profile,
     "nano_to_date": q_nano_to_date,
     "partition_roundtrip": q_partition_roundtrip,
+    "normalise_weather_files": q_normalise_weather_files,
+    "partition_job": q_partition_job,
+    "enrich_partitioned_files": q_enrich_partitioned_files,
     "first_non_empty": q_first_non_empty,
     "prefix_remap": q_prefix_remap,
     "graft_keys": q_graft_keys,
@@ -399,6 +448,13 @@ FROM events""",
 SELECT event_id, epoch_us(ts) * 1000 AS time_nano,
        CAST(timezone('{NANO_ZONE}', timezone('UTC', ts)) AS DATE) AS local_date
 FROM events""",
+    "normalise_weather_files": _with("""
+SELECT name, strftime(CAST(time_date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS datetime_iso,
+       weather_temperature AS temperature_c, weather_wind_speed * 3.6 AS wind_speed_kmh
+FROM weather"""),
+    "partition_job": """
+SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1""",
+    "enrich_partitioned_files": _with("SELECT event_id, date_str, tourist_estimate FROM pollution"),
     "partition_roundtrip": """
 SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1""",
     "first_non_empty": """
