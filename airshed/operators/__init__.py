@@ -7,7 +7,7 @@ from airshed.operators.exposure import (  # noqa: F401
     country_exposure, dedup_readings, exposure_per_city, exposure_per_country, in_city, on_day,
     top_exposed_days, weighted_exposure,
 )
-from airshed.operators.inventory import drop_markers, graft_plan, remap_plan  # noqa: F401
+from airshed.operators.inventory import dates_from_keys, drop_markers, graft_plan, remap_plan  # noqa: F401
 from airshed.operators.joins import bounded_broadcast, enrich, lookup_with_status  # noqa: F401
 from airshed.operators.ledger import (  # noqa: F401
     last_wins, ledger_rows, select_notices, split_poison,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.functions import file_name, graft, remap_prefix
+from airshed.functions import date_from_path, file_name, graft, remap_prefix
 
 
 def drop_markers(df: DataFrame, key_col: str = "key", mode: str = "all_markers",
@@ -46,3 +46,20 @@ def graft_plan(objects: DataFrame, dst_prefix: str, key_col: str = "key") -> Dat
     """(key, dest_key): same relative path below ``dst_prefix`` after the first segment."""
     k = F.col(key_col)
     return objects.select(k.alias("key"), graft(k, dst_prefix).alias("dest_key"))
+
+
+def dates_from_keys(objects: DataFrame, key_col: str = "key", prefix: str | None = None,
+                    strict: bool = True) -> DataFrame:
+    """Distinct ``yyyy-MM-dd`` dates named by ``date=`` segments of object keys.
+
+    Folder markers are skipped first.  ``strict``: a key without a date
+    segment is an error, checked eagerly (one bounded lookup); otherwise such
+    keys are ignored.  The result is what needs one estimate request per date.
+    """
+    keys = drop_markers(objects, key_col, "all_markers", prefix)
+    dated = keys.select(F.col(key_col), date_from_path(F.col(key_col)).alias("date_str"))
+    if strict:
+        bad = dated.filter(F.col("date_str").isNull()).select(key_col).limit(1).collect()
+        if bad:
+            raise ValueError(f"Could not extract date from key: {bad[0][0]}")
+    return dated.filter(F.col("date_str").isNotNull()).select("date_str").distinct()

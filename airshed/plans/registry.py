@@ -18,7 +18,7 @@ from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
 )
 from airshed.operators import (
-    all_dates, daily_weather, dedup_readings, distinct_dates, exposure_per_city,
+    all_dates, daily_weather, dates_from_keys, dedup_readings, distinct_dates, exposure_per_city,
     exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather, last_wins,
     lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
     split_poison, top_exposed_days,
@@ -26,13 +26,15 @@ from airshed.operators import (
 from airshed.operators.joins import enrich
 from airshed.plans import standins as S
 from airshed.session import scratch_path
-from airshed.sinks import write_by_date
+from airshed.sinks import read_ledger, write_by_date
+from airshed.streaming import ledger_stream
 from airshed.plans.workflows import (
     enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
 )
 from airshed.schemas import NORMALISED_WEATHER
 from airshed.sources import (
-    parse_notifications, read_lookup, read_partitioned, read_table, with_source_file,
+    list_objects, parse_notifications, read_lookup, read_partitioned, read_table,
+    with_source_file,
 )
 
 # Parameters of the registered reports.
@@ -240,6 +242,26 @@ def notification_messages(spark, root) -> DataFrame:
     return p.select("page_id", msg.alias("value"))
 
 
+def q_api_dates_from_keys(spark, root):
+    """Dates to request estimates for, from the keys of a written date-partitioned dataset."""
+    part = scratch_path(spark, "weather_partitioned")
+    write_by_date(S.with_date_str(S.weather_readings(spark, root)).drop("date_str"), part)
+    objs = list_objects(spark, part).filter(~F.col("key").rlike(r"(^|/)[._][^/]*$"))
+    return dates_from_keys(objs)
+
+
+def q_notification_ledger_stream(spark, root):
+    """Queue messages landed as text files, drained by the streaming ledger, ledger read back."""
+    src, ledger, ck = (scratch_path(spark, "queue"), scratch_path(spark, "ledger"),
+                       scratch_path(spark, "ledger-ckpt"))
+    notification_messages(spark, root).select("value").write.text(src)
+    q = ledger_stream(spark, src, ledger, ck, prefixes=WATCHED)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_ledger(spark, ledger)
+
+
 def q_notification_ledger(spark, root):
     recs = parse_notifications(notification_messages(spark, root), keep=("page_id",))
     good, _dead = split_poison(select_notices(recs, WATCHED))
@@ -282,6 +304,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "graft_keys": q_graft_keys,
     "url_keys": q_url_keys,
     "notification_ledger": q_notification_ledger,
+    "notification_ledger_stream": q_notification_ledger_stream,
+    "api_dates_from_keys": q_api_dates_from_keys,
     "ledger_last_wins": q_ledger_last_wins,
 }
 
@@ -470,6 +494,10 @@ SELECT page_id, url_decode(replace(url, '+', ' ')) AS decoded,
        replace(replace(replace(url_encode(trim(url)), '%20', '+'), '%2A', '*'), '~', '%7E') AS encoded,
        string_split(url, '/')[-1] AS file_name
 FROM pages""",
+    "notification_ledger_stream": _NOTICES + """
+SELECT DISTINCT file_name, ts AS timestamp, 0 AS status FROM f""",
+    "api_dates_from_keys": """
+SELECT DISTINCT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_str FROM events""",
     "notification_ledger": _NOTICES + """
 SELECT page_id, file_name, ts AS timestamp, 0 AS status FROM f""",
     "ledger_last_wins": _NOTICES + """

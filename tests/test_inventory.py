@@ -42,3 +42,16 @@ def test_listing_and_remap_on_files(spark, tmpdir_path):
     plan = inventory_remap(spark, root, "pollution/", "archive/")
     assert sorted(r.dest_key for r in plan.collect()) == \
         ["archive/c.csv", "archive/date=2022-04-01/a.csv", "archive/date=2022-04-02/b.csv"]
+
+
+def test_dates_from_keys_strict_and_tolerant(spark):
+    import pytest
+    from airshed.operators import dates_from_keys
+    objs = spark.createDataFrame([("w/date=2022-04-01/a.csv",), ("w/date=2022-04-01/b.csv",),
+                                  ("w/date=2022-04-02/c.csv",), ("w/",)], "key string")
+    assert sorted(r.date_str for r in dates_from_keys(objs, prefix="w/").collect()) == \
+        ["2022-04-01", "2022-04-02"]
+    bad = objs.union(spark.createDataFrame([("w/loose.csv",)], "key string"))
+    with pytest.raises(ValueError, match="w/loose.csv"):
+        dates_from_keys(bad)
+    assert dates_from_keys(bad, strict=False).count() == 2
