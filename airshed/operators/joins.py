@@ -51,6 +51,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df, False
 
 
+def bounded_broadcast_all(*dfs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
+                          ) -> tuple[list[DataFrame], bool]:
+    """Check several stable scans with one job: their *total* row count bounds each of them."""
+    probe = dfs[0].select(F.lit(1).alias("one"))
+    for d in dfs[1:]:
+        probe = probe.unionByName(d.select(F.lit(1).alias("one")))
+    small = probe.limit(max_rows + 1).count() <= max_rows
+    return ([F.broadcast(d) for d in dfs] if small else list(dfs)), small
+
+
 def enrich(df: DataFrame, lookup: DataFrame, on: str = "date_str", mode: str = "left",
            value_col: str = "tourist_estimate", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Attach the per-key lookup value to every row.
@@ -80,19 +90,22 @@ MSG_NO_FIELD = "Weather service response missing temperature field"
 
 def lookup_with_status(requests: DataFrame, service: DataFrame, on: str,
                        name_col: str = "city", value_col: str = "temperature",
-                       max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                       max_rows: int = MAX_BROADCAST_ROWS,
+                       materialise_service: bool = False) -> DataFrame:
     """Validated lookup with an HTTP-like status per request.
 
     * 400 ``City is required`` when the name is NULL or blank;
     * 502 when the service has no row for the request (unreachable) or its
       value is NULL (field missing);
     * 200 with ``{"city": <stripped name>, "temperature": <double>}``.
+    Set ``materialise_service`` when ``service`` is an expensive derived plan.
     Output: the request columns + ``statusCode`` + ``body`` (JSON text).
     """
     svc = service.select(F.col(on), F.col(value_col).cast("double").alias("_value"),
                          F.lit(True).alias("_hit"))
-    # The service side is usually a big table: only broadcast it when proven small.
-    svc, _ = bounded_broadcast(svc, max_rows)
+    # The service side is usually a table scan that may be large: count it in
+    # place (bounded by max_rows + 1) instead of copying it, broadcast only when small.
+    svc, _ = bounded_broadcast(svc, max_rows, materialise_side=materialise_service)
     j = requests.join(svc, on, "left")
     name = strip_ws(F.col(name_col))
     invalid = F.col(name_col).isNull() | (name == "")

@@ -351,7 +351,7 @@ per_city AS (
   FROM base3 GROUP BY day, city),
 weather AS (
   SELECT strftime(date_trunc('hour', ev.ts), '%Y-%m-%d %H:%M:%S') AS time_date, g.location_name,
-         ev.value / 3.6 AS weather_wind_speed,
+         sqrt(ev.value) AS weather_wind_speed,
          CASE WHEN ev.event_type <> 'error' THEN ev.k / 7.0 END AS weather_precipitation,
          CAST(ev.user_id AS VARCHAR) || ' - ' || g.location_name AS name,
          (ev.k - 30) / 2.0 AS weather_temperature, ev.ts
