@@ -107,3 +107,18 @@ def test_event_time_or(spark):
     assert got == ["2025-11-19T10:00:00Z", "DEFAULT", "DEFAULT"]
     now = df.select(event_time_or("c")).collect()
     assert all(r[0] for r in now)
+
+
+def test_values_helpers(spark):
+    import json
+    from airshed.functions import estimate_int, json_in, json_out, zero_if_null
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(None, "12", '{"a": 1}'), (2.5, "x", "{oops")],
+                               "m double, e string, j string")
+    rows = df.select(zero_if_null("m").alias("z"), estimate_int("e").alias("i"),
+                     json_in("j", T.StructType([T.StructField("a", T.IntegerType())])).alias("p"),
+                     json_out(m="m", e="e").alias("o")).collect()
+    assert [r.z for r in rows] == [0.0, 2.5]
+    assert [r.i for r in rows] == [12, None]
+    assert rows[0].p.a == 1 and rows[1].p.a is None   # malformed text: struct of NULLs
+    assert json.loads(rows[1].o) == {"m": 2.5, "e": "x"}

@@ -112,3 +112,14 @@ def test_lookup_publish_and_enrich_partitioned(spark, tmpdir_path):
     enrich_partitioned(spark, only_day1, new_lookup, out, write_mode="dynamic")
     got = {r.time_date: r.tourist_estimate for r in read_partitioned(spark, out).collect()}
     assert got == {"2022-04-01 01:00:00": "50", "2022-04-02 05:00:00": "7", "2022-04-03 05:00:00": None}
+
+
+def test_write_csv_full_copy_and_separator(spark, tmpdir_path):
+    from airshed.sinks import write_csv
+    df = spark.createDataFrame([("a, b", 1.5), ("c", None)], "name string, v double")
+    out = os.path.join(tmpdir_path, "copy")
+    write_csv(df, out, single_file=True)
+    assert read_lines(out) == ["name,v", '"a, b",1.5', "c,"]
+    out2 = os.path.join(tmpdir_path, "semi")
+    write_csv(df, out2, sep=";", single_file=True)
+    assert read_lines(out2) == ["name;v", "a, b;1.5", "c;"]
