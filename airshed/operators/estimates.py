@@ -36,6 +36,10 @@ def build_lookup(responses: DataFrame, names: Sequence[str], case_sensitive: boo
         first_match(F.from_json(response_col, ESTIMATE_RESPONSE)["info"], names,
                     case_sensitive).alias("hit"))
     if on_missing == "error":
+        # Materialise once (lineage cut, shared folder) and check the stored
+        # rows, so the responses are not parsed twice.
+        from airshed.operators.joins import materialise
+        parsed, _ = materialise(parsed, "lookup")
         bad = parsed.filter(F.col("hit").isNull()).select("date_str").limit(1).collect()
         if bad:
             raise RuntimeError(f"No '{names[0]}' entry found in API response for date={bad[0][0]}")

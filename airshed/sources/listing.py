@@ -8,20 +8,28 @@ from pyspark.sql import functions as F
 from airshed.functions import date_from_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The fully qualified form Spark's file sources report (``file:/x``, ``s3a://b/x``)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
 def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(path, key, length, modificationTime, date_str) for every file below ``root``.
 
     Uses the ``binaryFile`` source without its ``content`` column, so only
-    file metadata is listed (listing is distributed by Spark's file index);
-    ``key`` is the path relative to ``root`` and ``date_str`` comes from a
-    ``date=`` segment when present.
+    file metadata is listed (the listing itself is distributed by Spark's
+    file index).  ``key`` is ``<root folder name>/<path relative to root>``
+    and ``date_str`` comes from a ``date=`` segment when present.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(root).select("path", "length", "modificationTime")
-    # binaryFile reports file:/... style URIs; the key is what follows the root.
-    root_name = root.rstrip("/").split("/")[-1]
-    key = F.regexp_extract("path", rf"(?:^|/){root_name}/(.*)$", 1)
-    return (df.withColumn("key", F.concat(F.lit(root_name + "/"), key))
-              .withColumn("date_str", date_from_path(F.col("key"))))
+    base = qualified(spark, root)
+    name = base.split("/")[-1]
+    rel = F.substr(F.col("path"), F.lit(len(base) + 2))
+    key = F.when(F.col("path").startswith(base + "/"), F.concat(F.lit(name + "/"), rel))
+    return df.withColumn("key", key).withColumn("date_str", date_from_path(F.col("key")))
