@@ -108,6 +108,10 @@ def q_enrich_left(spark, root):
     return S.pollution_enriched(spark, root).select("event_id", "date_str", "tourist_estimate")
 
 
+def q_enrich_weather(spark, root):
+    return S.weather_enriched(spark, root).select("name", "time_date", "date_str", "tourist_estimate")
+
+
 def q_enrich_strict(spark, root):
     lk = S.visitor_lookup(spark, root, city=S.TOTAL_ENTRY, on_missing="error")
     r = S.with_date_str(S.readings(spark, root))
@@ -288,6 +292,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_key_variants": q_dedup_key_variants,
     "first_match_lookup": q_first_match_lookup,
     "enrich_left": q_enrich_left,
+    "enrich_weather": q_enrich_weather,
     "enrich_strict": q_enrich_strict,
     "union_distinct_dates": q_union_distinct_dates,
     "all_dates_count": q_all_dates_count,
@@ -435,6 +440,9 @@ SELECT 'pm25' AS key_set, count(*) AS distinct_rows FROM (
          measurement_pm25Atmo, tourist_estimate FROM pollution)"""),
     "first_match_lookup": _with("SELECT date_str, tourist_estimate FROM lookup"),
     "enrich_left": _with("SELECT event_id, date_str, tourist_estimate FROM pollution"),
+    "enrich_weather": _with("""
+SELECT w.name, w.time_date, strftime(CAST(w.ts AS DATE), '%Y-%m-%d') AS date_str, l.tourist_estimate
+FROM weather w LEFT JOIN lookup l ON strftime(CAST(w.ts AS DATE), '%Y-%m-%d') = l.date_str"""),
     "enrich_strict": _with("""
 SELECT r.event_id, strftime(CAST(r.ts AS DATE), '%Y-%m-%d') AS date_str, t.tourist_estimate
 FROM readings r JOIN (SELECT date_str, CAST(count(DISTINCT user_id) AS INTEGER) AS tourist_estimate

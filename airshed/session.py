@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,11 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/airshed-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme so local paths can be listed in tests."""
-    for pre in ("file://", "file:"):
-        if p.startswith(pre):
-            return p[len(pre):]
-    return p if os.path.isabs(p) else os.path.abspath(p)
