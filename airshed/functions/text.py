@@ -24,8 +24,14 @@ def country_of(c, sep: str = ",") -> Column:
 
 
 def decode_key(c) -> Column:
-    """URL-decode an object key (``+`` -> space); malformed escapes keep the raw text."""
-    return F.coalesce(F.try_url_decode(col(c)), col(c))
+    """URL-decode an object key (``+`` -> space).
+
+    A ``%`` that does not start a two-hex-digit escape is kept literally
+    (escaped as ``%25`` first), so a malformed escape leaves the rest of the
+    key decoded instead of failing.
+    """
+    safe = F.regexp_replace(col(c), r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(safe), col(c))
 
 
 def encode_city(c) -> Column:
