@@ -55,6 +55,19 @@ def on_day(df: DataFrame, day, col: str = "day") -> DataFrame:
     return df.filter(F.col(col) == F.lit(day).cast("date"))
 
 
+def prune_to_day(enriched: DataFrame, day, partition_col: str = "date") -> DataFrame:
+    """Also filter the ``date=`` partition column when the input has one.
+
+    The reports filter on the day derived from the time text, which a file
+    scan cannot use; datasets written by ``write_by_date`` carry the same day
+    as their partition value, so this extra predicate lets the scan read one
+    folder instead of all (PartitionFilters).  Results are unchanged.
+    """
+    if day is None or partition_col not in enriched.columns:
+        return enriched
+    return enriched.filter(F.col(partition_col) == F.lit(day).cast("date"))
+
+
 def in_city(df: DataFrame, city: str, col: str = "city") -> DataFrame:
     return df.filter(F.col(col) == F.lit(city))
 
@@ -62,7 +75,7 @@ def in_city(df: DataFrame, city: str, col: str = "city") -> DataFrame:
 def exposure_per_city(enriched: DataFrame, day=None,
                       measures: Sequence[str] = POLLUTION_MEASURES) -> DataFrame:
     """Per (day, city) exposure, ordered by city (NULLs last); optional single day."""
-    base = dedup_readings(enriched, measures)
+    base = dedup_readings(prune_to_day(enriched, day), measures)
     if day is not None:
         base = on_day(base, day)  # grouping key: safe to filter before the aggregate
     return weighted_exposure(base, measures).orderBy(F.asc_nulls_last("city"))
@@ -83,7 +96,8 @@ def country_exposure(per_city: DataFrame, measures: Sequence[str] = POLLUTION_ME
 
 def exposure_per_country(enriched: DataFrame, day=None,
                          measures: Sequence[str] = POLLUTION_MEASURES) -> DataFrame:
-    base = dedup_readings(enriched, measures)
+    """Per (day, country) exposure; optional single day (pruned like ``exposure_per_city``)."""
+    base = dedup_readings(prune_to_day(enriched, day), measures)
     if day is not None:
         base = on_day(base, day)
     return country_exposure(weighted_exposure(base, measures), measures)

@@ -74,13 +74,18 @@ def publish_lookup(responses: DataFrame, path: str, names: Sequence[str],
 
 def enrich_partitioned(spark: SparkSession, src: str, lookup: DataFrame, dst: str,
                        mode: str = "left", write_mode: str = "overwrite",
-                       schema: T.StructType | None = None) -> DataFrame:
+                       schema: T.StructType | None = None,
+                       days: Sequence[str] | None = None) -> DataFrame:
     """Attach ``tourist_estimate`` to a ``date=`` partitioned CSV dataset.
 
     ``date_str`` comes from the partition value; ``write_mode="dynamic"``
-    replaces only the dates present in the input.
+    replaces only the dates present in the input.  ``days`` restricts the
+    run to those partitions (pruned at listing time): with ``dynamic`` this
+    is an incremental run that reads and rewrites only the new dates.
     """
     df = read_partitioned(spark, src, schema)
+    if days is not None:
+        df = df.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]))
     df = df.withColumn("date_str", date_text("date"))
     out = enrich(df, lookup, on="date_str", mode=mode)
     write_by_date(out, dst, mode=write_mode)

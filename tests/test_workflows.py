@@ -123,3 +123,35 @@ def test_write_csv_full_copy_and_separator(spark, tmpdir_path):
     out2 = os.path.join(tmpdir_path, "semi")
     write_csv(df, out2, sep=";", single_file=True)
     assert read_lines(out2) == ["name;v", "a, b;1.5", "c;"]
+
+
+def test_day_reports_prune_partitions(spark, tmpdir_path):
+    from airshed.operators import exposure_per_city, exposure_per_country
+    rows = [(f"2022-05-0{d} {h:02d}:00:00", f"d{h % 2}, Iasi, Romania", 1.0 * h, 2.0, None, d)
+            for d in (1, 2, 3) for h in range(4)]
+    df = spark.createDataFrame(rows, "time_date string, location_name string, measurement_pm10Atmo double, "
+                                     "measurement_pm25Atmo double, measurement_pm100Atmo double, "
+                                     "tourist_estimate int")
+    out = os.path.join(tmpdir_path, "enriched")
+    write_by_date(df.withColumn("date", F.to_date(F.substring("time_date", 1, 10))), out, mode="overwrite")
+    schema = ("time_date string, location_name string, measurement_pm10Atmo double, "
+              "measurement_pm25Atmo double, measurement_pm100Atmo double, tourist_estimate int")
+    part = read_partitioned(spark, out, schema=schema)
+    q = exposure_per_city(part, day="2022-05-02")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2022-05-02" in plan.split("PartitionFilters")[1][:200]
+    full = exposure_per_city(df, day="2022-05-02")
+    assert sorted(map(tuple, q.collect())) == sorted(map(tuple, full.collect()))
+    assert exposure_per_country(part, day="2022-05-02").count() == 1
+
+
+def test_incremental_enrich_only_new_days(spark, tmpdir_path):
+    part = os.path.join(tmpdir_path, "src")
+    df = spark.createDataFrame([("2022-04-01 01:00:00",), ("2022-04-02 05:00:00",)], "time_date string")
+    write_by_date(df.withColumn("date", F.to_date(F.substring("time_date", 1, 10))), part, mode="overwrite")
+    out = os.path.join(tmpdir_path, "dst")
+    enrich_partitioned(spark, part, lookup_from_rows(spark, [("2022-04-01", 1), ("2022-04-02", 2)]), out)
+    enrich_partitioned(spark, part, lookup_from_rows(spark, [("2022-04-02", 20)]), out,
+                       write_mode="dynamic", days=["2022-04-02"])
+    got = {r.time_date: r.tourist_estimate for r in read_partitioned(spark, out).collect()}
+    assert got == {"2022-04-01 01:00:00": "1", "2022-04-02 05:00:00": "20"}
