@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,13 +51,26 @@ def with_event_date(df: DataFrame, time_col: str = "time_date", fmt: str = TIME_
 def partition_by_date_job(spark: SparkSession, source_path: str, target_path: str,
                           schema: T.StructType | None = None, time_col: str = "time_date",
                           nanos_col: str | None = None, tz: str = "UTC",
-                          mode: str = "append") -> dict:
+                          mode: str = "append", one_pass: bool = False) -> dict:
     """Read ``<source>/*/*`` CSV, profile it, write it partitioned by ``date``.
 
-    Two passes over the input (the fused profile aggregate, then the write)
-    where a naive job makes four.  Returns the profile as a dict.
+    Default: two passes over the input (the fused profile aggregate, then
+    the write) where a naive job makes four; ``file_count`` counts files
+    that contributed rows.  ``one_pass=True``: row and NULL-date counts are
+    observed while writing and ``file_count`` is the number of input files
+    listed (header-only files included) -- one read of the data.
+    Returns the profile as a dict.
     """
     df = read_raw(spark, source_path.rstrip("/"), schema=schema, depth=2, infer=schema is None)
+    if one_pass:
+        df = with_event_date(df, time_col, nanos_col=nanos_col, tz=tz)
+        obs = Observation("partition-profile")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("row_count"),
+                              F.count_if(F.col("date").isNull()).alias("null_date_count"))
+        write_by_date(observed, target_path.rstrip("/"), mode=mode)
+        m = obs.get
+        return {"row_count": m["row_count"], "file_count": len(df.inputFiles()),
+                "null_date_count": m["null_date_count"]}
     df = with_event_date(with_source_file(df), time_col, nanos_col=nanos_col, tz=tz)
     stats = profile(df).first().asDict()
     write_by_date(df.drop("_input_file"), target_path.rstrip("/"), mode=mode)
