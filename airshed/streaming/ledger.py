@@ -39,7 +39,8 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         raise ValueError(f"unknown on_poison {on_poison!r}")
     batch = batch.persist()  # parsed twice (good / dead); a micro-batch is bounded
     try:
-        notices = select_notices(parse_notifications(batch, "value"), prefixes)
+        keep = ("landed_at",) if "landed_at" in batch.columns else ()
+        notices = select_notices(parse_notifications(batch, "value", keep=keep), prefixes)
         good, dead = split_poison(notices)
         if on_poison == "fail":
             hit = dead.select("key", "malformed").limit(1).collect()
@@ -48,7 +49,11 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         elif dead_letter_path:
             dead.select(F.lit(batch_id).alias("batch_id"), "bucket", "key", "event_time",
                         "malformed", "body").write.mode("append").json(dead_letter_path)
-        rows = ledger_rows(good.withColumn("batch_id", F.lit(batch_id)))
+        # A record without eventTime is stamped with its landing time (the
+        # message file's modification time), which a replay reproduces;
+        # "now" would add a new ledger row on every replay.
+        default = F.date_format("landed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if keep else None
+        rows = ledger_rows(good.withColumn("batch_id", F.lit(batch_id)), default)
         upsert_ledger(rows, ledger_path, keys, order=("timestamp", "batch_id", "msg_pos", "rec_pos"))
     finally:
         batch.unpersist()
@@ -60,7 +65,8 @@ def ledger_stream(spark: SparkSession, source_dir: str, ledger_path: str, checkp
                   available_now: bool = True, max_files_per_trigger: int = 1000):
     """Start the ledger query; with ``available_now`` it drains what is there and stops."""
     src = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-           .load(source_dir))
+           .load(source_dir)
+           .select("value", F.col("_metadata.file_modification_time").alias("landed_at")))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         process_notice_batch(batch, batch_id, ledger_path, dead_letter_path, prefixes,

@@ -96,11 +96,13 @@ def test_stream_replay_same_and_fresh_checkpoint(spark, tmpdir_path):
     write_queue(src, "m1.json", [message(rec("pollution/a.csv"), rec("weather/b.csv")),
                                  message(rec("other/c.csv"))])
     write_queue(src, "m2.json", [message(rec("sensor/d.csv", event_time="2025-11-19T11:00:00Z")),
-                                 message(rec("pollution/dlq-test.txt"))])
+                                 message(rec("pollution/dlq-test.txt")),
+                                 message(rec("weather/no-time.csv", event_time=None))])
     q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck1"), dead_letter_path=dead)
     q.awaitTermination(120)
     first = sorted(tuple(r) for r in read_ledger(spark, ledger).collect())
-    assert [r[0] for r in first] == ["a.csv", "b.csv", "d.csv"]
+    assert [r[0] for r in first] == ["a.csv", "b.csv", "d.csv", "no-time.csv"]
+    assert first[3][1].startswith("20")   # stamped with the landing time, not empty
     assert spark.read.json(dead).count() == 1
     # same checkpoint: nothing new to do
     q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck1"), dead_letter_path=dead)
@@ -115,4 +117,4 @@ def test_stream_replay_same_and_fresh_checkpoint(spark, tmpdir_path):
     q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck1"))
     q.awaitTermination(120)
     assert [r[0] for r in sorted(read_ledger(spark, ledger).collect())] == \
-        ["a.csv", "b.csv", "d.csv", "e.csv"]
+        ["a.csv", "b.csv", "d.csv", "e.csv", "no-time.csv"]
