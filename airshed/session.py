@@ -73,3 +73,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/airshed-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this library's scratch tables below the checkpoint root.
+
+    Call at the end of a job, once no DataFrame that reads a materialised
+    side is still in use.  Returns whether anything was removed.
+    """
+    root = f"{checkpoint_root(spark)}/airshed-scratch"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))

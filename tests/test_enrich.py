@@ -85,3 +85,12 @@ def test_lookup_with_status_unreachable_and_integer_value(spark):
            for r in lookup_with_status(req, svc, on="rid").collect()}
     assert got[1] == (502, {"message": "Could not reach weather service"})
     assert got[2][1]["temperature"] == 18.0 and isinstance(got[2][1]["temperature"], float)
+
+
+def test_clear_scratch_removes_materialised_sides(spark):
+    from airshed.operators.joins import materialise
+    from airshed.session import clear_scratch
+    side, n = materialise(spark.range(5))
+    assert n == 5 and side.count() == 5
+    assert clear_scratch(spark)
+    assert not clear_scratch(spark)
