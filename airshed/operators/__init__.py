@@ -4,7 +4,7 @@ from airshed.operators.correlate import exposure_weather_corr, per_day_pollution
 from airshed.operators.dates import all_dates, distinct_dates  # noqa: F401
 from airshed.operators.estimates import build_lookup, first_match  # noqa: F401
 from airshed.operators.exposure import (  # noqa: F401
-    country_exposure, dedup_readings, exposure_per_city, exposure_per_country, in_city, on_day,
+    country_exposure, dedup_readings, distinct_rows_by_key_set, exposure_per_city, exposure_per_country, in_city, on_day,
     top_exposed_days, weighted_exposure,
 )
 from airshed.operators.inventory import dates_from_keys, drop_markers, graft_plan, remap_plan  # noqa: F401

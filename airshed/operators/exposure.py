@@ -41,6 +41,30 @@ def dedup_readings(enriched: DataFrame, measures: Sequence[str] = POLLUTION_MEAS
                            *[F.col(m) for m in measures], F.col(weight)).distinct()
 
 
+def distinct_rows_by_key_set(enriched: DataFrame, key_sets: dict[str, Sequence[str]],
+                             weight: str = "tourist_estimate", time_col: str = "time_date",
+                             city_col: str = "location_name") -> DataFrame:
+    """(key_set, distinct_rows): size of the reading DISTINCT under several measure sets.
+
+    One scan and one shuffle for all sets (GROUPING SETS + ``grouping_id``)
+    instead of one DISTINCT job per set; shows how much the key choice
+    collapses.
+    """
+    measures = list(dict.fromkeys(m for ms in key_sets.values() for m in ms))
+    day = day_of(day_text(time_col), strict=True).alias("day")
+    base = enriched.select(day, F.col(city_col).alias("city"), *measures, weight)
+    cols = ["day", "city", *measures, weight]
+    sets = {name: ["day", "city", *ms, weight] for name, ms in key_sets.items()}
+    # grouping_id: one bit per column (first column = most significant), set when not grouped
+    gid = {sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys): name
+           for name, keys in sets.items()}
+    grouped = base.groupingSets([tuple(k) for k in sets.values()], *cols) \
+        .agg(F.grouping_id().alias("_gid"))
+    names = F.create_map(*[x for g, n in gid.items() for x in (F.lit(g), F.lit(n))])
+    return grouped.groupBy("_gid").agg(F.count(F.lit(1)).alias("distinct_rows")) \
+        .select(names[F.col("_gid")].alias("key_set"), "distinct_rows")
+
+
 def weighted_exposure(base: DataFrame, measures: Sequence[str], weight: str = "tourist_estimate",
                       keys: Sequence[str] = ("day", "city"), names: dict | None = None) -> DataFrame:
     """``SUM(COALESCE(m, 0) * weight)`` per key, one column per measure."""

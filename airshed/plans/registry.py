@@ -18,7 +18,7 @@ from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
 )
 from airshed.operators import (
-    all_dates, daily_weather, dates_from_keys, dedup_readings, distinct_dates, exposure_per_city,
+    all_dates, daily_weather, dates_from_keys, distinct_dates, distinct_rows_by_key_set, exposure_per_city,
     exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather, last_wins,
     lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
     split_poison, top_exposed_days,
@@ -89,12 +89,9 @@ def q_daily_weather(spark, root):
 
 
 def q_dedup_key_variants(spark, root):
-    p = S.pollution_enriched(spark, root)
-    three = dedup_readings(p).agg(F.count(F.lit(1)).alias("distinct_rows")) \
-        .withColumn("key_set", F.lit("pm10_pm25_pm100"))
-    one = dedup_readings(p, ["measurement_pm25Atmo"]).agg(F.count(F.lit(1)).alias("distinct_rows")) \
-        .withColumn("key_set", F.lit("pm25"))
-    return three.unionByName(one)
+    return distinct_rows_by_key_set(S.pollution_enriched(spark, root), {
+        "pm10_pm25_pm100": ["measurement_pm10Atmo", "measurement_pm25Atmo", "measurement_pm100Atmo"],
+        "pm25": ["measurement_pm25Atmo"]})
 
 
 # ------------------------------------------------------- lookup / enrichment
@@ -118,14 +115,20 @@ def q_enrich_strict(spark, root):
     return enrich(r, lk, mode="strict").select("event_id", "date_str", "tourist_estimate")
 
 
+def _reading_dates(spark, root):
+    """Dates of the readings: a left join to customers cannot change them, so read events only."""
+    ev = read_table(spark, root, "events").select(F.date_format("ts", S.TIME_FMT).alias("time_date"))
+    return S.with_date_str(ev)
+
+
 def q_union_distinct_dates(spark, root):
-    r = S.with_date_str(S.readings(spark, root))
+    r = _reading_dates(spark, root)
     o = read_table(spark, root, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return distinct_dates(r, o)
 
 
 def q_all_dates_count(spark, root):
-    r = S.with_date_str(S.readings(spark, root))
+    r = _reading_dates(spark, root)
     o = read_table(spark, root, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return all_dates(r, o).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 

@@ -107,3 +107,18 @@ def test_weighted_exposure_custom_names(spark):
     df = spark.createDataFrame([(1, 2.0, 3)], "k int, m double, w int")
     r = weighted_exposure(df, ["m"], "w", ["k"], {"m": "e"}).first()
     assert r.e == 6.0
+
+
+def test_distinct_rows_by_key_set_equals_separate_distincts(spark):
+    from airshed.operators import distinct_rows_by_key_set
+    rows = [("2022-05-02 01:00:00", "a", None, 10.0, 11.0, 100),
+            ("2022-05-02 02:00:00", "a", None, 10.0, 11.0, 100),
+            ("2022-05-02 03:00:00", "a", 1.0, 10.0, 12.0, 100),
+            ("2022-05-02 03:00:00", None, 1.0, None, 12.0, None),
+            ("2022-05-03 03:00:00", "b", 1.0, None, 12.0, None)]
+    df = frame(spark, rows)
+    sets = {"all": ["measurement_pm10Atmo", "measurement_pm25Atmo", "measurement_pm100Atmo"],
+            "pm25": ["measurement_pm25Atmo"], "pm100": ["measurement_pm100Atmo"]}
+    got = {r.key_set: r.distinct_rows for r in distinct_rows_by_key_set(df, sets).collect()}
+    exp = {k: dedup_readings(df, v).count() for k, v in sets.items()}
+    assert got == exp == {"all": 4, "pm25": 3, "pm100": 4}
