@@ -253,8 +253,7 @@ def q_api_dates_from_keys(spark, root):
     """Dates to request estimates for, from the keys of a written date-partitioned dataset."""
     part = scratch_path(spark, "weather_partitioned")
     write_by_date(S.with_date_str(S.weather_readings(spark, root)).drop("date_str"), part)
-    objs = list_objects(spark, part).filter(~F.col("key").rlike(r"(^|/)[._][^/]*$"))
-    return dates_from_keys(objs)
+    return dates_from_keys(list_objects(spark, part))
 
 
 def q_notification_ledger_stream(spark, root):

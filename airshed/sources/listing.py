@@ -22,7 +22,9 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
     Uses the ``binaryFile`` source without its ``content`` column, so only
     file metadata is listed (the listing itself is distributed by Spark's
     file index).  ``key`` is ``<root folder name>/<path relative to root>``
-    and ``date_str`` comes from a ``date=`` segment when present.
+    and ``date_str`` comes from a ``date=`` segment when present.  Hidden
+    files (names starting with ``_`` or ``.``, e.g. commit markers and
+    checksums) are skipped by Spark's file index.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
