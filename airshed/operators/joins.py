@@ -16,9 +16,15 @@ from pyspark.sql import Observation
 
 from airshed.session import scratch_path
 
-# Default ceiling for a broadcast lookup: one row per calendar day for
-# thousands of years, or a country/region dimension, fits far below it.
+# Default ceilings for a broadcast side: one row per calendar day for
+# thousands of years, or a country/region dimension, fits far below them.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _row_bytes() -> "F.Column":
+    """Serialized size of a row (JSON text length): a conservative size measure."""
+    return F.octet_length(F.to_json(F.struct(F.col("*"))))
 
 
 def materialise(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
@@ -28,36 +34,56 @@ def materialise(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
     plan has no lineage back to the inputs, and the files survive the loss
     of any executor.
     """
+    stored, n, _ = _materialise_sized(df, name)
+    return stored, n
+
+
+def _materialise_sized(df: DataFrame, name: str = "side") -> tuple[DataFrame, int, int]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-rows")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
+    df.observe(obs, F.count(F.lit(1)).alias("rows"),
+               F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")).write.parquet(path)
+    m = obs.get
+    return spark.read.parquet(path), int(m["rows"]), int(m["bytes"])
+
+
+def _bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of at most ``max_rows + 1`` rows: bounded work even on a huge side."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("b")).first()
+    return int(r.n), int(r.b)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      materialise_side: bool = True) -> tuple[DataFrame, bool]:
-    """Return ``(side, small)``; ``side`` is broadcast-hinted only if ``rows <= max_rows``.
+                      materialise_side: bool = True,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(side, small)``; ``side`` is broadcast-hinted only if it is proven
+    to hold at most ``max_rows`` rows and ``max_bytes`` serialized bytes.
 
+    ``materialise_side=True`` writes the side once below the checkpoint
+    folder and observes both measures during that write.
     ``materialise_side=False`` is for sides that are already a cheap, stable
-    scan (a dimension table file): the count then costs only a metadata pass.
+    scan (a dimension table file): at most ``max_rows + 1`` rows are read.
     """
     if materialise_side:
-        df, n = materialise(df)
+        df, n, b = _materialise_sized(df)
     else:
-        n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+        n, b = _bounded_size(df, max_rows)
+    if n <= max_rows and b <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
 
-def bounded_broadcast_all(*dfs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
-                          ) -> tuple[list[DataFrame], bool]:
-    """Check several stable scans with one job: their *total* row count bounds each of them."""
-    probe = dfs[0].select(F.lit(1).alias("one"))
+def bounded_broadcast_all(*dfs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                          max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[list[DataFrame], bool]:
+    """Check several stable scans with one job: their *total* rows and bytes bound each of them."""
+    probe = dfs[0].select(_row_bytes().alias("b"))
     for d in dfs[1:]:
-        probe = probe.unionByName(d.select(F.lit(1).alias("one")))
-    small = probe.limit(max_rows + 1).count() <= max_rows
+        probe = probe.unionByName(d.select(_row_bytes().alias("b")))
+    r = probe.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                      F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    small = r.n <= max_rows and r.b <= max_bytes
     return ([F.broadcast(d) for d in dfs] if small else list(dfs)), small
 
 

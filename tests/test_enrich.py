@@ -33,6 +33,14 @@ def test_bounded_broadcast_respects_limit(spark):
     assert not small and side.count() == 10
     _, small = bounded_broadcast(df, max_rows=5, materialise_side=False)
     assert not small
+    # a few wide rows: within the row bound, over the byte bound
+    wide = spark.range(3).selectExpr("id", "repeat('x', 10000) AS pad")
+    _, small = bounded_broadcast(wide, max_rows=100, max_bytes=20_000)
+    assert not small
+    _, small = bounded_broadcast(wide, max_rows=100, max_bytes=20_000, materialise_side=False)
+    assert not small
+    _, small = bounded_broadcast(wide, max_rows=100, max_bytes=100_000)
+    assert small
 
 
 def responses(spark):
