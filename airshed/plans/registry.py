@@ -72,13 +72,16 @@ def q_exposure_per_country_on_day(spark, root):
 
 
 def q_top_exposed_days(spark, root):
-    return _round(top_exposed_days(S.pollution_enriched(spark, root), S.TARGET_LOCATION))
+    p = S.pollution_enriched(spark, root, location=S.TARGET_LOCATION)
+    return _round(top_exposed_days(p, S.TARGET_LOCATION))
 
 
 def q_exposure_weather_corr(spark, root):
     from airshed.sources import standardise_columns
-    weather = standardise_columns(S.weather_readings(spark, root))
-    c = exposure_weather_corr(S.pollution_enriched(spark, root), weather, S.TARGET_LOCATION)
+    loc = S.TARGET_LOCATION
+    g = S.geo(spark, root)
+    weather = standardise_columns(S.weather_readings(spark, root, g, location=loc))
+    c = exposure_weather_corr(S.pollution_enriched(spark, root, location=loc), weather, loc)
     return _round(c, 8)
 
 

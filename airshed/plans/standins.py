@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import date_text, day_of, ntz_micros
-from airshed.operators.joins import bounded_broadcast_all, enrich
+from airshed.operators.joins import bounded_broadcast, bounded_broadcast_all, enrich
 from airshed.operators.estimates import build_lookup
 from airshed.sources import read_table
 
@@ -55,6 +55,23 @@ def geo(spark: SparkSession, root: str) -> DataFrame:
     return g.select("c_custkey", loc.alias("location_name"), "n_name")
 
 
+def _located(spark: SparkSession, root: str, g: DataFrame | None,
+             location: str | None) -> tuple[DataFrame, str]:
+    """The customer geography to join events with, and the join type.
+
+    For a single-location report the geography is filtered to that location
+    first and broadcast behind the size check: events then meet a handful
+    of customers without being shuffled (the rows of other locations would
+    be dropped by the report anyway).  Above the bound it stays a shuffle
+    join.
+    """
+    g = g if g is not None else geo(spark, root)
+    if location is None:
+        return g, "left"
+    side, _ = bounded_broadcast(g.filter(F.col("location_name") == F.lit(location)))
+    return side, "inner"
+
+
 def _events(spark: SparkSession, root: str) -> DataFrame:
     """Event columns the readings need, with ``props.k`` parsed before any join.
 
@@ -66,15 +83,17 @@ def _events(spark: SparkSession, root: str) -> DataFrame:
                      F.get_json_object("props", "$.k").try_cast("int").alias("k"))
 
 
-def readings(spark: SparkSession, root: str, g: DataFrame | None = None) -> DataFrame:
+def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
+             location: str | None = None) -> DataFrame:
     """Raw pollution readings (one per event) with their station location.
 
     events x customer is a shuffle join on the customer key; a customer with
-    a third of all events is split by AQE's skew-join handling.
+    a third of all events is split by AQE's skew-join handling.  With
+    ``location`` only that location's readings are produced (see ``_located``).
     """
     ev = _events(spark, root)
-    g = g if g is not None else geo(spark, root)
-    r = ev.join(g, ev.user_id == F.col("c_custkey"), "left")
+    g, how = _located(spark, root, g, location)
+    r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
     k = F.col("k").cast("double")
     return r.select(
         "event_id", "ts", "user_id", "event_type",
@@ -85,11 +104,12 @@ def readings(spark: SparkSession, root: str, g: DataFrame | None = None) -> Data
         F.when(F.col("event_type") != "error", F.col("value") + k).alias("measurement_pm100Atmo"))
 
 
-def weather_readings(spark: SparkSession, root: str, g: DataFrame | None = None) -> DataFrame:
+def weather_readings(spark: SparkSession, root: str, g: DataFrame | None = None,
+                     location: str | None = None) -> DataFrame:
     """Raw weather readings in the sample's column layout (``weather_windSpeed`` in m/s)."""
     ev = _events(spark, root)
-    g = g if g is not None else geo(spark, root)
-    r = ev.join(g, ev.user_id == F.col("c_custkey"), "left")
+    g, how = _located(spark, root, g, location)
+    r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
     k = F.col("k").cast("double")
     return r.select(
         F.concat(F.col("user_id").cast("string"), F.lit(" - "), F.col("location_name")).alias("name"),
@@ -138,9 +158,11 @@ def with_date_str(df: DataFrame, time_col: str = "time_date") -> DataFrame:
     return df.withColumn("date", d).withColumn("date_str", date_text(d))
 
 
-def pollution_enriched(spark: SparkSession, root: str, mode: str = "left") -> DataFrame:
+def pollution_enriched(spark: SparkSession, root: str, mode: str = "left",
+                       location: str | None = None) -> DataFrame:
     g = geo(spark, root)
-    return enrich(with_date_str(readings(spark, root, g)), visitor_lookup(spark, root, g=g), mode=mode)
+    return enrich(with_date_str(readings(spark, root, g, location)), visitor_lookup(spark, root, g=g),
+                  mode=mode)
 
 
 def weather_enriched(spark: SparkSession, root: str, mode: str = "left") -> DataFrame:
