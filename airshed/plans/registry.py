@@ -60,7 +60,8 @@ def q_exposure_per_city(spark, root):
 
 
 def q_exposure_per_city_on_day(spark, root):
-    return _round(exposure_per_city(S.pollution_enriched(spark, root), day=REPORT_DAY))
+    p = S.pollution_enriched(spark, root, day=REPORT_DAY)
+    return _round(exposure_per_city(p, day=REPORT_DAY))
 
 
 def q_exposure_per_country(spark, root):
@@ -68,7 +69,8 @@ def q_exposure_per_country(spark, root):
 
 
 def q_exposure_per_country_on_day(spark, root):
-    return _round(exposure_per_country(S.pollution_enriched(spark, root), day=REPORT_DAY))
+    p = S.pollution_enriched(spark, root, day=REPORT_DAY)
+    return _round(exposure_per_country(p, day=REPORT_DAY))
 
 
 def q_top_exposed_days(spark, root):

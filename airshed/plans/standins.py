@@ -72,26 +72,37 @@ def _located(spark: SparkSession, root: str, g: DataFrame | None,
     return side, "inner"
 
 
-def _events(spark: SparkSession, root: str) -> DataFrame:
+def on_event_day(ev: DataFrame, day) -> DataFrame:
+    """``ts`` within one calendar day, as a plain range: pushed to the Parquet
+    scan, where min/max statistics skip row groups of other days."""
+    if day is None:
+        return ev
+    start = F.lit(str(day)).cast("date")
+    return ev.filter((F.col("ts") >= start.cast("timestamp_ntz"))
+                     & (F.col("ts") < F.date_add(start, 1).cast("timestamp_ntz")))
+
+
+def _events(spark: SparkSession, root: str, day=None) -> DataFrame:
     """Event columns the readings need, with ``props.k`` parsed before any join.
 
     The JSON text is reduced to one number on the scan side, so the shuffle
     into the customer join carries 4 bytes instead of the text.
     """
-    ev = read_table(spark, root, "events")
+    ev = on_event_day(read_table(spark, root, "events"), day)
     return ev.select("event_id", "ts", "user_id", "event_type", "value",
                      F.get_json_object("props", "$.k").try_cast("int").alias("k"))
 
 
 def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
-             location: str | None = None) -> DataFrame:
+             location: str | None = None, day=None) -> DataFrame:
     """Raw pollution readings (one per event) with their station location.
 
     events x customer is a shuffle join on the customer key; a customer with
     a third of all events is split by AQE's skew-join handling.  With
-    ``location`` only that location's readings are produced (see ``_located``).
+    ``location`` only that location's readings are produced (see ``_located``);
+    with ``day`` only that day's.
     """
-    ev = _events(spark, root)
+    ev = _events(spark, root, day)
     g, how = _located(spark, root, g, location)
     r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
     k = F.col("k").cast("double")
@@ -121,7 +132,8 @@ def weather_readings(spark: SparkSession, root: str, g: DataFrame | None = None,
         F.when(F.col("event_type") != "error", k / F.lit(7.0)).alias("weather_precipitation"))
 
 
-def estimate_responses(spark: SparkSession, root: str, g: DataFrame | None = None) -> DataFrame:
+def estimate_responses(spark: SparkSession, root: str, g: DataFrame | None = None,
+                       day=None) -> DataFrame:
     """One estimate API response (JSON text) per day with click events.
 
     Clicks are first reduced to distinct (day, customer) pairs (partial
@@ -131,7 +143,8 @@ def estimate_responses(spark: SparkSession, root: str, g: DataFrame | None = Non
     and the ``ALL`` entry is their sum.  A response lists one entry per
     nation: its size is bounded by the nation dimension, not by the events.
     """
-    clicks = (read_table(spark, root, "events").filter(F.col("event_type") == "click")
+    clicks = (on_event_day(read_table(spark, root, "events"), day)
+              .filter(F.col("event_type") == "click")
               .select(date_text(F.col("ts").cast("date")).alias("date_str"), "user_id")
               .distinct())
     g = (g if g is not None else geo(spark, root)).select("c_custkey", "n_name")
@@ -146,9 +159,9 @@ def estimate_responses(spark: SparkSession, root: str, g: DataFrame | None = Non
 
 
 def visitor_lookup(spark: SparkSession, root: str, city: str = LOOKUP_CITY,
-                   on_missing: str = "null", g: DataFrame | None = None) -> DataFrame:
+                   on_missing: str = "null", g: DataFrame | None = None, day=None) -> DataFrame:
     """(date_str, tourist_estimate) for ``city`` (case-insensitive), one row per date."""
-    return build_lookup(estimate_responses(spark, root, g), [city], case_sensitive=False,
+    return build_lookup(estimate_responses(spark, root, g, day), [city], case_sensitive=False,
                         on_missing=on_missing)
 
 
@@ -159,10 +172,12 @@ def with_date_str(df: DataFrame, time_col: str = "time_date") -> DataFrame:
 
 
 def pollution_enriched(spark: SparkSession, root: str, mode: str = "left",
-                       location: str | None = None) -> DataFrame:
+                       location: str | None = None, day=None) -> DataFrame:
+    """Readings joined with the visitor lookup; ``location`` / ``day`` restrict
+    both sides early for single-location or single-day reports."""
     g = geo(spark, root)
-    return enrich(with_date_str(readings(spark, root, g, location)), visitor_lookup(spark, root, g=g),
-                  mode=mode)
+    return enrich(with_date_str(readings(spark, root, g, location, day)),
+                  visitor_lookup(spark, root, g=g, day=day), mode=mode)
 
 
 def weather_enriched(spark: SparkSession, root: str, mode: str = "left") -> DataFrame:
