@@ -82,8 +82,10 @@ def q_exposure_weather_corr(spark, root):
     from airshed.sources import standardise_columns
     loc = S.TARGET_LOCATION
     g = S.geo(spark, root)
-    weather = standardise_columns(S.weather_readings(spark, root, g, location=loc))
-    c = exposure_weather_corr(S.pollution_enriched(spark, root, location=loc), weather, loc)
+    located = S.located_geo(spark, root, loc, g)   # one size-checked side for both branches
+    weather = standardise_columns(S.weather_readings(spark, root, located=located))
+    pollution = S.pollution_enriched(spark, root, g=g, located=located)
+    c = exposure_weather_corr(pollution, weather, loc)
     return _round(c, 8)
 
 

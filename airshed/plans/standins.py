@@ -55,21 +55,27 @@ def geo(spark: SparkSession, root: str) -> DataFrame:
     return g.select("c_custkey", loc.alias("location_name"), "n_name")
 
 
-def _located(spark: SparkSession, root: str, g: DataFrame | None,
-             location: str | None) -> tuple[DataFrame, str]:
-    """The customer geography to join events with, and the join type.
-
-    For a single-location report the geography is filtered to that location
-    first and broadcast behind the size check: events then meet a handful
-    of customers without being shuffled (the rows of other locations would
-    be dropped by the report anyway).  Above the bound it stays a shuffle
-    join.
+def located_geo(spark: SparkSession, root: str, location: str,
+                g: DataFrame | None = None) -> DataFrame:
+    """The customer geography of one location, broadcast behind the size check.
+
+    Events joined with it meet a handful of customers without being
+    shuffled (the rows of other locations would be dropped by a
+    single-location report anyway).  Above the bound it stays a shuffle join.
     """
     g = g if g is not None else geo(spark, root)
-    if location is None:
-        return g, "left"
     side, _ = bounded_broadcast(g.filter(F.col("location_name") == F.lit(location)))
-    return side, "inner"
+    return side
+
+
+def _located(spark: SparkSession, root: str, g: DataFrame | None, location: str | None,
+             located: DataFrame | None) -> tuple[DataFrame, str]:
+    """The geography to join events with, and the join type."""
+    if located is not None:
+        return located, "inner"
+    if location is not None:
+        return located_geo(spark, root, location, g), "inner"
+    return (g if g is not None else geo(spark, root)), "left"
 
 
 def on_event_day(ev: DataFrame, day) -> DataFrame:
@@ -94,7 +100,7 @@ def _events(spark: SparkSession, root: str, day=None) -> DataFrame:
 
 
 def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
-             location: str | None = None, day=None) -> DataFrame:
+             location: str | None = None, day=None, located: DataFrame | None = None) -> DataFrame:
     """Raw pollution readings (one per event) with their station location.
 
     events x customer is a shuffle join on the customer key; a customer with
@@ -103,7 +109,7 @@ def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
     with ``day`` only that day's.
     """
     ev = _events(spark, root, day)
-    g, how = _located(spark, root, g, location)
+    g, how = _located(spark, root, g, location, located)
     r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
     k = F.col("k").cast("double")
     return r.select(
@@ -116,10 +122,10 @@ def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
 
 
 def weather_readings(spark: SparkSession, root: str, g: DataFrame | None = None,
-                     location: str | None = None) -> DataFrame:
+                     location: str | None = None, located: DataFrame | None = None) -> DataFrame:
     """Raw weather readings in the sample's column layout (``weather_windSpeed`` in m/s)."""
     ev = _events(spark, root)
-    g, how = _located(spark, root, g, location)
+    g, how = _located(spark, root, g, location, located)
     r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
     k = F.col("k").cast("double")
     return r.select(
@@ -172,11 +178,14 @@ def with_date_str(df: DataFrame, time_col: str = "time_date") -> DataFrame:
 
 
 def pollution_enriched(spark: SparkSession, root: str, mode: str = "left",
-                       location: str | None = None, day=None) -> DataFrame:
+                       location: str | None = None, day=None, g: DataFrame | None = None,
+                       located: DataFrame | None = None) -> DataFrame:
     """Readings joined with the visitor lookup; ``location`` / ``day`` restrict
-    both sides early for single-location or single-day reports."""
-    g = geo(spark, root)
-    return enrich(with_date_str(readings(spark, root, g, location, day)),
+    the readings early for single-location or single-day reports (``day``
+    also restricts the lookup).  ``g`` / ``located`` reuse geographies that
+    another branch of the same report already built."""
+    g = g if g is not None else geo(spark, root)
+    return enrich(with_date_str(readings(spark, root, g, location, day, located)),
                   visitor_lookup(spark, root, g=g, day=day), mode=mode)
 
 
