@@ -10,10 +10,11 @@ query's work grows with the tables:
 * pollution measures: pm10 = ``value``, pm25 = ``props.k``, pm100 =
   ``value + props.k`` except on ``error`` events (no reading -> NULL);
 * weather: wind (m/s) = ``sqrt(value)``; rain (mm) = ``props.k / 7`` except
-  on ``error`` events; temperature = ``(props.k - 30) / 2``.  The wind is
-  irrational on purpose: its averages of averages never sit exactly on a
-  rounding boundary, so the 6-decimal oracle comparison cannot flip; weather stations
-  report on the hour, so their time text is truncated to the hour;
+  on ``error`` events; temperature = ``(props.k - 30) / 2``.  Weather
+  stations report on the hour, so their time text is truncated to the hour.
+  The wind is irrational on purpose: its averages of averages never sit
+  exactly on a rounding boundary, so the 6-decimal oracle comparison
+  cannot flip;
 * the estimate API response for a day lists, per nation, the number of
   distinct customers who clicked that day, plus an ``ALL`` entry for the
   whole area.
@@ -41,8 +42,9 @@ TOTAL_ENTRY = "ALL"
 def geo(spark: SparkSession, root: str) -> DataFrame:
     """customer -> (c_custkey, location_name, n_name).
 
-    nation and region are dimensions: one job counts both, and each is
-    broadcast only when their total is within the bound.  customer grows
+    nation and region are dimensions: one bounded job measures both, and
+    each is broadcast only when their total rows and bytes are within the
+    bound.  customer grows
     with the data and is joined by shuffle.
     """
     cust = read_table(spark, root, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
