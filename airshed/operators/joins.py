@@ -45,7 +45,8 @@ def _materialise_sized(df: DataFrame, name: str = "side") -> tuple[DataFrame, in
     df.observe(obs, F.count(F.lit(1)).alias("rows"),
                F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")).write.parquet(path)
     m = obs.get
-    return spark.read.parquet(path), int(m["rows"]), int(m["bytes"])
+    # the schema is known: re-reading needs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path), int(m["rows"]), int(m["bytes"])
 
 
 def _bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
