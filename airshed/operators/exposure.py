@@ -97,9 +97,16 @@ def in_city(df: DataFrame, city: str, col: str = "city") -> DataFrame:
 
 
 def exposure_per_city(enriched: DataFrame, day=None,
-                      measures: Sequence[str] = POLLUTION_MEASURES) -> DataFrame:
-    """Per (day, city) exposure, ordered by city (NULLs last); optional single day."""
-    base = dedup_readings(prune_to_day(enriched, day), measures)
+                      measures: Sequence[str] = POLLUTION_MEASURES,
+                      partition_col: str | None = "date") -> DataFrame:
+    """Per (day, city) exposure, ordered by city (NULLs last); optional single day.
+
+    ``partition_col`` names the layout's day column used for pruning (it must
+    equal the day of the time text, as written by ``write_by_date``); pass
+    ``None`` when the input has a ``date`` column with another meaning.
+    """
+    pruned = prune_to_day(enriched, day, partition_col) if partition_col else enriched
+    base = dedup_readings(pruned, measures)
     if day is not None:
         base = on_day(base, day)  # grouping key: safe to filter before the aggregate
     return weighted_exposure(base, measures).orderBy(F.asc_nulls_last("city"))
@@ -119,9 +126,11 @@ def country_exposure(per_city: DataFrame, measures: Sequence[str] = POLLUTION_ME
 
 
 def exposure_per_country(enriched: DataFrame, day=None,
-                         measures: Sequence[str] = POLLUTION_MEASURES) -> DataFrame:
+                         measures: Sequence[str] = POLLUTION_MEASURES,
+                         partition_col: str | None = "date") -> DataFrame:
     """Per (day, country) exposure; optional single day (pruned like ``exposure_per_city``)."""
-    base = dedup_readings(prune_to_day(enriched, day), measures)
+    pruned = prune_to_day(enriched, day, partition_col) if partition_col else enriched
+    base = dedup_readings(pruned, measures)
     if day is not None:
         base = on_day(base, day)
     return country_exposure(weighted_exposure(base, measures), measures)

@@ -143,6 +143,10 @@ def test_day_reports_prune_partitions(spark, tmpdir_path):
     full = exposure_per_city(df, day="2022-05-02")
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, full.collect()))
     assert exposure_per_country(part, day="2022-05-02").count() == 1
+    # a "date" column with another meaning: pruning switched off
+    other = df.withColumn("date", F.lit("1999-01-01").cast("date"))
+    assert exposure_per_city(other, day="2022-05-02").count() == 0
+    assert exposure_per_city(other, day="2022-05-02", partition_col=None).count() == 2
 
 
 def test_incremental_enrich_only_new_days(spark, tmpdir_path):
