@@ -46,10 +46,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/v={vs[-1]:06d}")
 
 
-def upsert_ledger(batch: DataFrame, path: str, keys: Sequence[str] = ("file_name",),
+def upsert_ledger(batch: DataFrame, path: str, keys: Sequence[str] = ("file_name", "timestamp"),
                   order: Sequence[str] = ("timestamp",)) -> int:
     """Insert-or-replace ``batch`` rows by ``keys``; returns the new version number.
 
+    The item key of the original store is not known; (file_name, timestamp)
+    is the default, ``("file_name",)`` keeps one row per file.
+
     Existing rows rank before batch rows; within the batch the greatest
     ``order`` tuple wins.  Output columns follow the ledger schema.
     """

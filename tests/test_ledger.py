@@ -72,13 +72,13 @@ def test_last_wins_groups_without_window(spark):
 def test_upsert_is_idempotent(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "ledger")
     b = spark.createDataFrame([("x.csv", "t1", 0), ("y.csv", "t1", 0)], "file_name string, timestamp string, status int")
-    upsert_ledger(b, path)
-    v2 = upsert_ledger(b, path)
+    upsert_ledger(b, path, keys=("file_name",))
+    v2 = upsert_ledger(b, path, keys=("file_name",))
     assert v2 == 2
     assert sorted(tuple(r) for r in read_ledger(spark, path).collect()) == \
         [("x.csv", "t1", 0), ("y.csv", "t1", 0)]
     c = spark.createDataFrame([("x.csv", "t2", 0)], "file_name string, timestamp string, status int")
-    upsert_ledger(c, path)
+    upsert_ledger(c, path, keys=("file_name",))
     assert sorted(tuple(r) for r in read_ledger(spark, path).collect()) == \
         [("x.csv", "t2", 0), ("y.csv", "t1", 0)]
 
