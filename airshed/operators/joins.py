@@ -1,19 +1,19 @@
 """Lookup joins.
 
-A side is broadcast only after its size is proven: it is materialised once
-in the shared checkpoint folder (lineage cut, survives executor loss) and its
-rows are counted; above ``max_rows`` the join stays a shuffle join, where AQE
-splits skewed partitions of the large side.
+A side is broadcast only after its size is proven.  A derived side is
+materialised once in the shared checkpoint folder (lineage cut, survives
+executor loss), with its rows and serialized bytes observed during that
+write; a plain table scan is measured in place on at most ``max_rows + 1``
+rows.  Above either bound the join stays a shuffle join, where AQE splits
+skewed partitions of the large side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from airshed.functions import strip_ws
-from pyspark.sql import Observation
-
 from airshed.session import scratch_path
 
 # Default ceilings for a broadcast side: one row per calendar day for
@@ -22,7 +22,7 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def _row_bytes() -> "F.Column":
+def _row_bytes() -> Column:
     """Serialized size of a row (JSON text length): a conservative size measure."""
     return F.octet_length(F.to_json(F.struct(F.col("*"))))
 
