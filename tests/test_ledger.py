@@ -118,3 +118,20 @@ def test_stream_replay_same_and_fresh_checkpoint(spark, tmpdir_path):
     q.awaitTermination(120)
     assert [r[0] for r in sorted(read_ledger(spark, ledger).collect())] == \
         ["a.csv", "b.csv", "d.csv", "e.csv", "no-time.csv"]
+
+
+def test_landing_time_stamp_is_utc_whatever_the_session_zone(spark, tmpdir_path):
+    import datetime as dt
+    src = os.path.join(tmpdir_path, "queue")
+    write_queue(src, "m.json", [message(rec("weather/x.csv", event_time=None))])
+    mtime = os.path.getmtime(os.path.join(src, "m.json"))
+    expect = dt.datetime.fromtimestamp(mtime, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        ledger = os.path.join(tmpdir_path, "ledger")
+        ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck")).awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    ts = read_ledger(spark, ledger).first().timestamp
+    assert ts.startswith(expect), (ts, expect)
