@@ -88,8 +88,14 @@ def nano_date(c, tz: str = "UTC") -> Column:
     return local.cast("date")
 
 
+def utc_text(ts) -> Column:
+    """An instant (TIMESTAMP) as UTC ISO text, independent of the session zone."""
+    wall = F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), epoch_ntz())
+    return F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def event_time_or(c, default: Column | None = None) -> Column:
-    """Event time, or a default when it is missing or empty text."""
+    """Event time, or a default (UTC now) when it is missing or empty text."""
     if default is None:
-        default = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        default = utc_text(F.current_timestamp())
     return F.coalesce(F.nullif(col(c), F.lit("")), default)

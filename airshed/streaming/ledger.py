@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.functions import epoch_ntz
+from airshed.functions import utc_text
 from airshed.operators.ledger import (
     POISON_MESSAGE, VALID_PREFIXES, ledger_rows, select_notices, split_poison,
 )
@@ -53,9 +53,7 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         # A record without eventTime is stamped with its landing time (the
         # message file's modification time), which a replay reproduces;
         # "now" would add a new ledger row on every replay.
-        # UTC wall clock, whatever the session zone (epoch micros -> NTZ).
-        landed_utc = F.timestamp_add("MICROSECOND", F.unix_micros("landed_at"), epoch_ntz())
-        default = F.date_format(landed_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if keep else None
+        default = utc_text("landed_at") if keep else None
         rows = ledger_rows(good.withColumn("batch_id", F.lit(batch_id)), default)
         upsert_ledger(rows, ledger_path, keys, order=("timestamp", "batch_id", "msg_pos", "rec_pos"))
     finally:

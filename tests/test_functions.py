@@ -122,3 +122,15 @@ def test_values_helpers(spark):
     assert [r.i for r in rows] == [12, None]
     assert rows[0].p.a == 1 and rows[1].p.a is None   # malformed text: struct of NULLs
     assert json.loads(rows[1].o) == {"m": 2.5, "e": "x"}
+
+
+def test_event_time_default_is_utc(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        got = spark.range(1).select(event_time_or(F.lit(None).cast("string")).alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((dt.datetime.fromisoformat(got) - now).total_seconds()) < 120
