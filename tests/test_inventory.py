@@ -55,3 +55,14 @@ def test_dates_from_keys_strict_and_tolerant(spark):
     with pytest.raises(ValueError, match="w/loose.csv"):
         dates_from_keys(bad)
     assert dates_from_keys(bad, strict=False).count() == 2
+
+
+def test_listing_glob_filter(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "weather")
+    for rel in ["a.csv", "b.json", "sub/c.csv"]:
+        p = os.path.join(root, rel)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w") as f:
+            f.write("x\n")
+    keys = sorted(r.key for r in list_objects(spark, root, glob="*.csv").collect())
+    assert keys == ["weather/a.csv", "weather/sub/c.csv"]

@@ -135,3 +135,14 @@ def test_landing_time_stamp_is_utc_whatever_the_session_zone(spark, tmpdir_path)
         spark.conf.set("spark.sql.session.timeZone", old)
     ts = read_ledger(spark, ledger).first().timestamp
     assert ts.startswith(expect), (ts, expect)
+
+
+def test_parse_notifications_keeps_arrival_positions(spark):
+    msgs = [json.dumps({"Records": [
+        {"body": json.dumps({"Records": [rec("pollution/a.csv"), rec("pollution/b.csv")]})},
+        {"body": json.dumps({"Records": [rec("weather/c.csv")]})}]}),
+        json.dumps({"Records": []}), json.dumps({"NoRecords": 1})]
+    rows = parse_notifications(messages_df(spark, msgs)).orderBy("msg_pos", "rec_pos").collect()
+    assert [(r.msg_pos, r.rec_pos, r.raw_key, r.bucket) for r in rows] == \
+        [(0, 0, "pollution/a.csv", "my-bucket"), (0, 1, "pollution/b.csv", "my-bucket"),
+         (1, 0, "weather/c.csv", "my-bucket")]

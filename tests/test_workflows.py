@@ -159,3 +159,17 @@ def test_incremental_enrich_only_new_days(spark, tmpdir_path):
                        write_mode="dynamic", days=["2022-04-02"])
     got = {r.time_date: r.tourist_estimate for r in read_partitioned(spark, out).collect()}
     assert got == {"2022-04-01 01:00:00": "1", "2022-04-02 05:00:00": "20"}
+
+
+def test_read_raw_two_levels_inferred_and_lookup_order(spark, tmpdir_path):
+    from airshed.sinks import write_lookup
+    from airshed.sources import read_raw
+    src = os.path.join(tmpdir_path, "raw")
+    write(os.path.join(src, "s1", "a.csv"), "time_date,v\n2022-04-01 02:00:00,1.5\n")
+    write(os.path.join(src, "s2", "b.csv"), "time_date,v\n2022-04-02 03:00:00,2\n")
+    df = read_raw(spark, src, infer=True)
+    assert dict(df.dtypes)["v"] == "double" and df.count() == 2
+    lk = lookup_from_rows(spark, [("2022-04-02", None), ("2022-04-01", 3)])
+    out = os.path.join(tmpdir_path, "lookup")
+    write_lookup(lk, out)
+    assert read_lines(out) == ["date_str,tourist_estimate", "2022-04-01,3", "2022-04-02,"]
