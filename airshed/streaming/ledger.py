@@ -26,6 +26,23 @@ from airshed.sources import parse_notifications
 DEFAULT_KEYS = ("file_name", "timestamp")
 
 
+def write_dead_letters(dead: DataFrame, batch_id: int, path: str) -> None:
+    """Dead letters, idempotent under replay when the source file is known.
+
+    Rows are partitioned by a hash of the message file they came from and
+    written with dynamic partition overwrite: replaying a batch (same or
+    fresh checkpoint) rewrites exactly those partitions with the same rows.
+    Without a source column they are appended.
+    """
+    cols = [F.lit(batch_id).alias("batch_id"), "bucket", "key", "event_time", "malformed", "body"]
+    if "source" not in dead.columns:
+        dead.select(*cols).write.mode("append").json(path)
+        return
+    (dead.select(*cols, "source", F.xxhash64("source").alias("source_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("source_id").json(path))
+
+
 def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
                          dead_letter_path: str | None = None,
                          prefixes: Sequence[str] = VALID_PREFIXES, on_poison: str = "route",
@@ -40,7 +57,7 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         raise ValueError(f"unknown on_poison {on_poison!r}")
     batch = batch.persist()  # parsed twice (good / dead); a micro-batch is bounded
     try:
-        keep = ("landed_at",) if "landed_at" in batch.columns else ()
+        keep = tuple(c for c in ("landed_at", "source") if c in batch.columns)
         notices = select_notices(parse_notifications(batch, "value", keep=keep), prefixes)
         good, dead = split_poison(notices)
         if on_poison == "fail":
@@ -48,12 +65,11 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
             if hit:
                 raise RuntimeError(f"{POISON_MESSAGE}: {hit[0]['key'] or 'malformed body'}")
         elif dead_letter_path:
-            dead.select(F.lit(batch_id).alias("batch_id"), "bucket", "key", "event_time",
-                        "malformed", "body").write.mode("append").json(dead_letter_path)
+            write_dead_letters(dead, batch_id, dead_letter_path)
         # A record without eventTime is stamped with its landing time (the
         # message file's modification time), which a replay reproduces;
         # "now" would add a new ledger row on every replay.
-        default = utc_text("landed_at") if keep else None
+        default = utc_text("landed_at") if "landed_at" in keep else None
         rows = ledger_rows(good.withColumn("batch_id", F.lit(batch_id)), default)
         upsert_ledger(rows, ledger_path, keys, order=("timestamp", "batch_id", "msg_pos", "rec_pos"))
     finally:
@@ -67,7 +83,8 @@ def ledger_stream(spark: SparkSession, source_dir: str, ledger_path: str, checkp
     """Start the ledger query; with ``available_now`` it drains what is there and stops."""
     src = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
            .load(source_dir)
-           .select("value", F.col("_metadata.file_modification_time").alias("landed_at")))
+           .select("value", F.col("_metadata.file_modification_time").alias("landed_at"),
+                   F.col("_metadata.file_path").alias("source")))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         process_notice_batch(batch, batch_id, ledger_path, dead_letter_path, prefixes,

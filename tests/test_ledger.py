@@ -108,10 +108,12 @@ def test_stream_replay_same_and_fresh_checkpoint(spark, tmpdir_path):
     q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck1"), dead_letter_path=dead)
     q.awaitTermination(120)
     assert sorted(tuple(r) for r in read_ledger(spark, ledger).collect()) == first
-    # fresh checkpoint: every batch is replayed, the ledger does not change
-    q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck2"))
+    # fresh checkpoint: every batch is replayed, neither the ledger nor the
+    # dead letters change
+    q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck2"), dead_letter_path=dead)
     q.awaitTermination(120)
     assert sorted(tuple(r) for r in read_ledger(spark, ledger).collect()) == first
+    assert spark.read.json(dead).count() == 1
     # new arrivals are added
     write_queue(src, "m3.json", [message(rec("weather/e.csv"))])
     q = ledger_stream(spark, src, ledger, os.path.join(tmpdir_path, "ck1"))
