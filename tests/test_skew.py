@@ -95,3 +95,17 @@ def test_stream_fail_mode_leaves_ledger_untouched(spark, tmpdir_path):
     with pytest.raises(Exception, match="DLQ"):
         q.awaitTermination(120)
     assert read_ledger(spark, ledger).count() == 0
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from airshed.plans.layout import write_bucketed
+    ev = spark.range(2000).select((F.col("id") % 50).alias("user_id"), F.col("id").alias("v"))
+    cust = spark.range(50).select(F.col("id").alias("c_custkey"),
+                                  F.concat(F.lit("loc"), F.col("id").cast("string")).alias("loc"))
+    e = write_bucketed(ev, "ev_bucketed", "user_id", 4)
+    c = write_bucketed(cust, "cust_bucketed", "c_custkey", 4)
+    j = e.join(c, e.user_id == c.c_custkey, "left")
+    rows = j.collect()
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert len(rows) == 2000 and all(r.loc == f"loc{r.user_id}" for r in rows)
