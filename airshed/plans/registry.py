@@ -3,7 +3,8 @@
 Every query reads the driver tables of one scale-factor folder (or data
 Spark derives from them) in full.  Floating results are rounded (6 decimals,
 correlations 8) on both sides so order-dependent summation cannot flip the
-value hash; integer sums are cast to bigint on the DuckDB side.
+value hash; the stand-in measures are chosen so that no true value sits on
+a rounding boundary.  Column names and types match the oracle's.
 """
 
 from __future__ import annotations
@@ -18,24 +19,24 @@ from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
 )
 from airshed.operators import (
-    all_dates, daily_weather, dates_from_keys, distinct_dates, distinct_rows_by_key_set, exposure_per_city,
-    exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather, last_wins,
-    lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
+    all_dates, daily_weather, dates_from_keys, distinct_dates, distinct_rows_by_key_set,
+    exposure_per_city, exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather,
+    last_wins, lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
     split_poison, top_exposed_days,
 )
 from airshed.operators.joins import enrich
 from airshed.plans import standins as S
-from airshed.session import scratch_path
-from airshed.sinks import read_ledger, write_by_date
-from airshed.streaming import ledger_stream
 from airshed.plans.workflows import (
     enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
 )
 from airshed.schemas import NORMALISED_WEATHER
+from airshed.session import scratch_path
+from airshed.sinks import read_ledger, write_by_date
 from airshed.sources import (
     list_objects, parse_notifications, read_lookup, read_partitioned, read_table,
-    with_source_file,
+    standardise_columns, with_source_file,
 )
+from airshed.streaming import ledger_stream
 
 # Parameters of the registered reports.
 REPORT_DAY = "2024-01-15"
@@ -79,7 +80,6 @@ def q_top_exposed_days(spark, root):
 
 
 def q_exposure_weather_corr(spark, root):
-    from airshed.sources import standardise_columns
     loc = S.TARGET_LOCATION
     g = S.geo(spark, root)
     located = S.located_geo(spark, root, loc, g)   # one size-checked side for both branches
@@ -90,7 +90,6 @@ def q_exposure_weather_corr(spark, root):
 
 
 def q_daily_weather(spark, root):
-    from airshed.sources import standardise_columns
     weather = standardise_columns(S.weather_readings(spark, root))
     return _round(daily_weather(hourly_weather(weather)))
 
