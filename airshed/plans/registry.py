@@ -94,6 +94,11 @@ def q_daily_weather(spark, root):
     return _round(daily_weather(hourly_weather(weather)))
 
 
+def q_hourly_weather(spark, root):
+    weather = standardise_columns(S.weather_readings(spark, root))
+    return _round(hourly_weather(weather))
+
+
 def q_dedup_key_variants(spark, root):
     return distinct_rows_by_key_set(S.pollution_enriched(spark, root), {
         "pm10_pm25_pm100": ["measurement_pm10Atmo", "measurement_pm25Atmo", "measurement_pm100Atmo"],
@@ -296,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exposure_per_country_on_day": q_exposure_per_country_on_day,
     "top_exposed_days": q_top_exposed_days,
     "exposure_weather_corr": q_exposure_weather_corr,
+    "hourly_weather": q_hourly_weather,
     "daily_weather": q_daily_weather,
     "dedup_key_variants": q_dedup_key_variants,
     "first_match_lookup": q_first_match_lookup,
@@ -436,6 +442,12 @@ SELECT CASE WHEN isfinite(corr(e, avg_wind_speed)) THEN round(corr(e, avg_wind_s
        CASE WHEN isfinite(corr(e, total_precipitation)) THEN round(corr(e, total_precipitation), 8) END
          AS corr_exposure_rain
 FROM j"""),
+    "hourly_weather": _with("""
+SELECT CAST(substr(time_date, 1, 10) AS DATE) AS day, location_name AS city,
+       substr(time_date, 12, 8) AS hh_mm_ss,
+       round(avg(weather_wind_speed), 6) AS weather_wind_speed_hourly,
+       round(avg(weather_precipitation), 6) AS weather_precipitation_hourly
+FROM weather GROUP BY 1, 2, 3"""),
     "daily_weather": _with("""
 SELECT day, city, round(avg_wind_speed, 6) AS avg_wind_speed,
        round(total_precipitation, 6) AS total_precipitation
