@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
+    valid_date,
 )
 from airshed.operators import (
     all_dates, daily_weather, dates_from_keys, distinct_dates, distinct_rows_by_key_set,
@@ -164,6 +165,12 @@ def q_quality_profile(spark, root):
     return profile(ev)
 
 
+def q_valid_dates(spark, root):
+    """Unpadded event dates (``2024-1-5``) validated and normalised to ``yyyy-MM-dd``."""
+    ev = read_table(spark, root, "events").select(F.date_format("ts", "yyyy-M-d").alias("raw"))
+    return ev.select("raw", valid_date("raw").alias("date_str")).distinct()
+
+
 def q_nano_to_date(spark, root):
     ev = read_table(spark, root, "events").select("event_id", "ts")
     nanos = ntz_micros("ts") * F.lit(1000)
@@ -313,6 +320,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_with_status": q_lookup_with_status,
     "normalise_readings": q_normalise_readings,
     "quality_profile": q_quality_profile,
+    "valid_dates": q_valid_dates,
     "nano_to_date": q_nano_to_date,
     "partition_roundtrip": q_partition_roundtrip,
     "normalise_weather_files": q_normalise_weather_files,
@@ -496,6 +504,8 @@ FROM weather"""),
 SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS file_count,
        count(*) FILTER (WHERE ts IS NULL) AS null_date_count
 FROM events""",
+    "valid_dates": """
+SELECT DISTINCT strftime(ts, '%Y-%-m-%-d') AS raw, strftime(ts, '%Y-%m-%d') AS date_str FROM events""",
     "nano_to_date": f"""
 SELECT event_id, epoch_us(ts) * 1000 AS time_nano,
        CAST(timezone('{NANO_ZONE}', timezone('UTC', ts)) AS DATE) AS local_date
