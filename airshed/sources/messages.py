@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed.schemas import ESTIMATE_RESPONSE, NOTIFICATION_BODY, QUEUE_MESSAGE
 
@@ -16,6 +17,14 @@ def parse_estimates(df: DataFrame, value_col: str = "response", keep=("date_str"
         F.col("entry.estimated_no_people").alias("estimated_no_people"))
 
 
+_CORRUPT = "_corrupt"
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+
+
 def parse_notifications(df: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     """Queue messages -> one row per storage record.
 
@@ -23,22 +32,32 @@ def parse_notifications(df: DataFrame, value_col: str = "value", keep=()) -> Dat
     own ``Records``: two ``from_json`` + two ``explode`` (plain explode: a
     message without records contributes nothing, like ``.get(..., [])``).
     ``msg_pos``/``rec_pos`` keep arrival order within a message.
-    Bodies that are not valid JSON are kept with ``malformed = true`` so the
-    caller can dead-letter them instead of losing them silently.
+    Each level is parsed once, in permissive mode with a corrupt-record
+    column: a line or body that is not JSON, or not shaped like a
+    notification (where hand-written code would fail), is kept as one row
+    with ``malformed = true`` so the caller can dead-letter it instead of
+    losing it silently.
     """
-    msgs = df.select(*keep, F.from_json(F.col(value_col), QUEUE_MESSAGE).alias("m"))
-    bodies = msgs.select(*keep, F.posexplode("m.Records").alias("msg_pos", "rec"))
-    bodies = bodies.select(*keep, "msg_pos", F.col("rec.body").alias("body"))
-    malformed = F.col("body").isNotNull() & F.try_parse_json(F.col("body")).isNull()
-    parsed = bodies.select(*keep, "msg_pos", "body", malformed.alias("malformed"),
-                           F.from_json("body", NOTIFICATION_BODY).alias("b"))
-    # One pass: a malformed body explodes into a single placeholder record,
-    # a good body into its records (none when the array is missing/empty).
+    raw = F.col(value_col)
+    msgs = df.select(*keep, raw.alias("_raw"),
+                     F.from_json(raw, _with_corrupt(QUEUE_MESSAGE), _PERMISSIVE).alias("m"))
+    outer_bad = F.col("m." + _CORRUPT).isNotNull()
+    records = F.when(outer_bad, F.array(F.struct(F.col("_raw").alias("body")))) \
+               .otherwise(F.col("m.Records"))
+    bodies = msgs.select(*keep, outer_bad.alias("_outer_bad"),
+                         F.posexplode(records).alias("msg_pos", "rec"))
+    parsed = bodies.select(
+        *keep, "msg_pos", F.col("rec.body").alias("body"), "_outer_bad",
+        F.from_json(F.col("rec.body"), _with_corrupt(NOTIFICATION_BODY), _PERMISSIVE).alias("b"))
+    malformed = F.col("_outer_bad") | F.col("b." + _CORRUPT).isNotNull()
+    parsed = parsed.select(*keep, "msg_pos", "body", malformed.alias("malformed"), "b")
+    # A malformed body explodes into a single placeholder record, a good body
+    # into its records (none when the array is missing/empty).
     rec_type = NOTIFICATION_BODY["Records"].dataType
-    records = F.when(F.col("malformed"), F.array(F.lit(None).cast(rec_type.elementType))) \
-               .otherwise(F.col("b.Records"))
+    inner = F.when(F.col("malformed"), F.array(F.lit(None).cast(rec_type.elementType))) \
+             .otherwise(F.col("b.Records"))
     out = parsed.select(*keep, "msg_pos", "body", "malformed",
-                        F.posexplode(records).alias("rec_pos", "r"))
+                        F.posexplode(inner).alias("rec_pos", "r"))
     return out.select(
         *keep, "msg_pos", "rec_pos",
         F.col("r.s3.bucket.name").alias("bucket"),

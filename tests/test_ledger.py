@@ -148,3 +148,12 @@ def test_parse_notifications_keeps_arrival_positions(spark):
     assert [(r.msg_pos, r.rec_pos, r.raw_key, r.bucket) for r in rows] == \
         [(0, 0, "pollution/a.csv", "my-bucket"), (0, 1, "pollution/b.csv", "my-bucket"),
          (1, 0, "weather/c.csv", "my-bucket")]
+
+
+def test_wrongly_shaped_bodies_and_lines_are_dead_lettered(spark):
+    msgs = [message(raw_body=json.dumps({"Records": 5})), message(raw_body="[1, 2]"),
+            "not json at all", message(raw_body="{}"), message(rec("weather/ok.csv"))]
+    good, dead = split_poison(notices(spark, msgs))
+    assert [r.file_name for r in good.collect()] == ["ok.csv"]
+    assert sorted(r.body for r in dead.collect()) == sorted(
+        [json.dumps({"Records": 5}), "[1, 2]", "not json at all"])
