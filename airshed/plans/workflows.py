@@ -49,7 +49,7 @@ def with_event_date(df: DataFrame, time_col: str = "time_date", fmt: str = TIME_
 
 
 def partition_by_date_job(spark: SparkSession, source_path: str, target_path: str,
-                          schema: T.StructType | None = None, time_col: str = "time_date",
+                          schema: T.StructType | str | None = None, time_col: str = "time_date",
                           nanos_col: str | None = None, tz: str = "UTC",
                           mode: str = "append", one_pass: bool = False) -> dict:
     """Read ``<source>/*/*`` CSV, profile it, write it partitioned by ``date``.

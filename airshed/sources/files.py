@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from airshed.schemas import LOOKUP, RENAMES
 
 
-def read_raw(spark: SparkSession, base: str, schema: T.StructType | None = None,
+def read_raw(spark: SparkSession, base: str, schema: T.StructType | str | None = None,
              depth: int = 2, infer: bool = False, encoding: str = "UTF-8") -> DataFrame:
     """Header CSV files ``depth`` folders below ``base`` (``depth=0``: ``base`` is the file/glob).
 
