@@ -92,7 +92,7 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str = "date_str", mode: str = "
            value_col: str = "tourist_estimate", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Attach the per-key lookup value to every row.
 
-    ``mode="left"``: unmatched keys get NULL (notebook behaviour).
+    ``mode="left"``: unmatched keys get NULL (tolerant mode).
     ``mode="strict"``: any key without a non-NULL value is an error, checked
     eagerly before anything is returned (an in-plan ``raise_error`` would be
     pruned by ``count()``), then the same left join runs.

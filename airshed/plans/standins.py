@@ -174,7 +174,7 @@ def visitor_lookup(spark: SparkSession, root: str, city: str = LOOKUP_CITY,
 
 
 def with_date_str(df: DataFrame, time_col: str = "time_date") -> DataFrame:
-    """``date`` and ``date_str`` from the time text (notebook semantics)."""
+    """``date`` and ``date_str`` from the time text (``to_date`` of the text, then formatted)."""
     d = day_of(time_col)
     return df.withColumn("date", d).withColumn("date_str", date_text(d))
 

@@ -25,7 +25,7 @@ RENAMES = {"weather_windSpeed": "weather_wind_speed"}
 
 POLLUTION_MEASURES = ("measurement_pm10Atmo", "measurement_pm25Atmo", "measurement_pm100Atmo")
 
-# Per-day visitor lookup.  The estimate stays nullable: the notebook builder
+# Per-day visitor lookup.  The estimate stays nullable: the tolerant builder
 # stores None when the city is missing from a response.
 LOOKUP = T.StructType([
     T.StructField("date_str", T.StringType(), False),
