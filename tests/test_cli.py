@@ -34,3 +34,23 @@ def test_cli_jobs_end_to_end(spark, tmpdir_path):
     out = main(["inventory", "--root", f"{t}/by_date", "--src-prefix", "by_date/",
                 "--dst-prefix", "archive/", "--target", f"{t}/plan"])
     assert out["planned"] == 2
+
+
+def test_cli_normalise_and_ledger(spark, tmpdir_path):
+    import glob
+    from airshed.sinks import read_ledger
+    from tests.test_workflows import GOLDEN, SAMPLE
+    t = tmpdir_path
+    write(f"{t}/weather_sample.csv", SAMPLE)
+    main(["normalise", "--source", f"{t}/weather_sample.csv", "--target", f"{t}/norm"])
+    lines = []
+    for p in sorted(glob.glob(f"{t}/norm/part-*")):
+        with open(p, encoding="utf-8") as f:
+            lines += f.read().splitlines()
+    assert lines == GOLDEN
+    body = json.dumps({"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "pollution/data.csv"}},
+                                    "eventTime": "2025-11-19T10:00:00Z"}]})
+    write(f"{t}/queue/m.json", json.dumps({"Records": [{"body": body}]}) + "\n")
+    main(["ledger", "--source", f"{t}/queue", "--ledger", f"{t}/ledger", "--checkpoint", f"{t}/ck"])
+    assert [tuple(r) for r in read_ledger(spark, f"{t}/ledger").collect()] == \
+        [("data.csv", "2025-11-19T10:00:00Z", 0)]
