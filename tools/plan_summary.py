@@ -27,6 +27,18 @@ PATTERNS = {
 }
 
 
+NOTES = """
+## Reading the table at 100 TB
+
+- **Broadcast joins.** In the exposure queries, nation, region and the materialised visitor lookup are broadcast after the bounded size check (`bounded_broadcast`). In the single-location reports (top days, correlation), the location-filtered customer geography is broadcast the same way, so events are never shuffled there.
+- **The fourth broadcast join** is events ⋈ customer. AQE converted it at runtime because the measured customer side is tiny at sf0.1. At scale that side exceeds `adaptive.autoBroadcastJoinThreshold`, so the join stays a sort-merge join on the customer key, with AQE skew-join splitting (see `tests/test_skew.py`).
+- **Hash shuffles, exposure queries:** the join shuffle of events and customer, the six-column DISTINCT (pre-deduplicated per task), and the (day, city) aggregate (pre-aggregated per task). The per-country report adds one shuffle on (day, country); the per-city report adds a range shuffle for `ORDER BY city`.
+- **Correlation:** two such branches (pollution and weather) whose (day, city) aggregates meet in the join without an extra shuffle. The single-partition exchange carries only per-task partial moments into the global `corr`.
+- **Date queries** read one column per table; partial DISTINCT/COUNT runs before their only shuffle.
+- **Scratch scans** are the written, size-checked lookups and the outputs that the file-based queries read back.
+"""
+
+
 def main():
     root = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", 8)
@@ -53,6 +65,7 @@ def main():
             desc.add(f"{table}({len(cols.group(1).split(',')) if cols else '?'})")
         desc = sorted(desc)
         print(f"| {name} | " + " | ".join(counts) + f" | {', '.join(desc)} |")
+    print(NOTES)
     spark.stop()
 
 
