@@ -54,3 +54,29 @@ def test_starts_with_any(spark, values):
     prefixes = ("a/", "b,", "%2")
     assert run(spark, values, lambda c: starts_with_any(c, prefixes)) == \
         [v.startswith(prefixes) for v in values]
+
+
+NAMES = st.sampled_from(["Iasi", "Iași", "IASI", "Cluj", "iasi", None])
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(NAMES, st.integers(0, 99)), max_size=5), min_size=1, max_size=20),
+       st.booleans())
+def test_first_match_is_the_first_hit_in_order(spark, responses, case_sensitive):
+    from pyspark.sql import types as T
+    from airshed.operators import first_match
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("info", T.ArrayType(
+        T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.IntegerType())])))])
+    df = spark.createDataFrame([(i, [{"name": a, "n": b} for a, b in r]) for i, r in enumerate(responses)],
+                               schema)
+    names = ["Iasi", "Iași"]
+    got = [r.h for r in df.select("i", first_match("info", names, case_sensitive)["n"].alias("h"))
+           .orderBy("i").collect()]
+
+    def py(entries):
+        for name, n in entries:
+            if name is not None and (name in names if case_sensitive
+                                     else name.lower() in [x.lower() for x in names]):
+                return n
+        return None
+    assert got == [py(r) for r in responses]
