@@ -80,3 +80,18 @@ def test_first_match_is_the_first_hit_in_order(spark, responses, case_sensitive)
                 return n
         return None
     assert got == [py(r) for r in responses]
+
+
+KEYS = st.text(alphabet=st.sampled_from(list("ab/.")), max_size=8).map(lambda s: "p/" + s)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(KEYS, st.sampled_from(["p/", "p", "q/x", "p//"])), min_size=1, max_size=30,
+                unique=True))
+def test_remap_plan_matches_listing_rule(spark, keys):
+    from airshed.operators import remap_plan
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = sorted((r.key, r.dest_key) for r in remap_plan(df, "p/", "archive/").collect())
+    exp = sorted((k, "archive/" + k[len("p/"):]) for k in keys
+                 if k.startswith("p/") and not (k.endswith("/") and k == "p/"))
+    assert got == exp
