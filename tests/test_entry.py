@@ -48,3 +48,18 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
     assert _rows(got, df.columns) == _rows(res.fetchall(), res.columns)
+
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+             "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plans_stay_jvm_side_without_cross_joins_or_row_caps(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan], plan
+    # a limit only where it is the feature (the top-k report)
+    if name != "top_exposed_days":
+        assert "Limit" not in plan and "TakeOrderedAndProject" not in plan, plan
