@@ -10,9 +10,15 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from airshed.session import build_session
+if __package__ in (None, ""):
+    # Run as a script (spark-submit airshed/__main__.py): only the driver
+    # imports this package -- there are no Python UDFs, so executors never do.
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from airshed.session import build_session  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
