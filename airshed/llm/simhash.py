@@ -73,14 +73,15 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEE
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(id, text_hash, fp) of every row; fp is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))],
+                                             ["id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("t")) \
-        .mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                       utf8(text_col).alias("t")).mapInArrow(run, "id long, text_hash long, fp long")
 
 
 # ---------------------------------------------------------------- Golay code
@@ -305,9 +306,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: (doc_id, fp long, component_id)."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int,
+            max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The stored fingerprints of all rows, and (fp, root, component_id) of each fingerprint."""
     marked = stored(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     roots = components(links(distinct, max_bits))
@@ -315,10 +316,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "fingerprint-roots")
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_fp = named.join(group, "root").select("fp", "component_id")
+    return marked, named.join(group, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per input row: (doc_id, fp long, component_id)."""
+    marked, per_fp = grouped(docs, id_col, text_col, shingle_words, max_bits)
     return marked.join(per_fp, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` with one document of each group: the smallest id (a null id last), then
+    the smallest text hash; of its repeated rows one.  Columns as given."""
+    marked, per_fp = grouped(docs, id_col, text_col, shingle_words, max_bits)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("m")
+    chosen = stored(marked.join(per_fp, "fp").groupBy("root").agg(first)
+                    .select(F.col("m.id").alias("_id"), F.col("m.text_hash").alias("_hash")), "kept")
+    kept = docs.join(chosen.hint("shuffle_hash"),
+                     F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")),
+                     "left_semi")
+    if marked.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
+        return kept
+    key = kept.select("*", F.xxhash64(text_col).alias("_hash"))
+    return key.dropDuplicates([id_col, "_hash"]).drop("_hash")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every row of ``documents``."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
