@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from airshed.llm import decontaminate, packing, quality, simhash
+from airshed.llm import decontaminate, packing, quality, simhash, substring
 
-MODULES = (decontaminate, packing, quality, simhash)
+MODULES = (decontaminate, packing, quality, simhash, substring)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

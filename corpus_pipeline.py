@@ -1,28 +1,50 @@
 """The corpus pipeline: five stages over ``documents``, each calling one corpus operator.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's rows as
-Parquet in the shared checkpoint folder and re-reads them as the next stage's documents.
+Parquet in the shared checkpoint folder and re-reads them as the next stage's documents.  All but
+the last stage return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import packing, simhash
+from airshed.llm import decontaminate, packing, quality, simhash, substring
 from airshed.llm.common import stored, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the trees (fitted on ``labels``) keep."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
+    """One document of each SimHash group: the smallest doc_id."""
     return simhash.keep_one(docs)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the 50-word passages that a smaller doc_id has; n_chars of what is left."""
+    return substring.without_repeats(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no 10-word window of a ``benchmark`` item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of what is left, placed in sequences of at most 4096 tokens."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
 #: The stages hold trained trees, fingerprints and token ids, which SQL can't express.
 ORACLE_SQL = None
