@@ -19,7 +19,9 @@ packed each; null doc_id stays null; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 20_000   # pieces that one task packs together
 RELEASED_BINS = 64      # emptiest bins of a group that are packed anew with other groups'
-WORD_CACHE = 400_000    # chunks whose ids a task remembers; it forgets all beyond that
+WORD_CACHE = 600_000    # chunks whose ids a task remembers; it forgets all beyond that
 
 
 def vocabulary_path() -> str:
@@ -44,25 +46,43 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_symbols() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where Latin-1 prints
+    it, else the next of those from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class ChunkIds(dict):
     """Little-endian 32-bit ids of white-space separated chunks, by the given tokenizer.
 
     The tokenizer drops white space and looks at no neighbours, so a text's ids are its chunks'
-    ids in turn.  Printable ASCII needs no normalising beyond lower case and its bytes are their
-    own symbols, so the model is asked for each part of the split directly; anything else goes
-    through the whole tokenizer."""
+    ids in turn.  Printable ASCII and the letters of Latin-1 need no normalising beyond lower case,
+    so the model is asked for each part of the split directly; anything else goes through the whole
+    tokenizer.  Both memories start anew at ``WORD_CACHE`` entries."""
 
-    PLAIN = re.compile(rb"[\x21-\x7e]+")
-    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
+        self.symbols = byte_symbols()
+
+    @classmethod
+    def kept(cls, path: str) -> "ChunkIds":
+        """The one of this Python worker, which goes on from task to task."""
+        known = vars(sys).setdefault("_airshed_chunk_ids", {})
+        if path not in known:
+            known[path] = cls(path)
+        return known[path]
 
     def part(self, text: str) -> bytes:
-        ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+        symbols = text if text.isascii() else "".join(map(self.symbols.__getitem__, text.encode()))
+        ids = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
         self.parts[text] = ids
         return ids
 
@@ -71,11 +91,12 @@ class ChunkIds(dict):
             self.clear()
         if len(self.parts) >= WORD_CACHE:
             self.parts.clear()
-        if self.PLAIN.fullmatch(chunk) and b"<|" not in chunk:
+        text = chunk.decode()
+        if self.PLAIN.fullmatch(text) and "<|" not in text:
             known = self.parts
-            ids = b"".join(known.get(p) or self.part(p) for p in self.PARTS.findall(chunk.decode().lower()))
+            ids = b"".join([known.get(p) or self.part(p) for p in self.PARTS.findall(text.lower())])
         else:
-            ids = np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self[chunk] = ids
         return ids
 
@@ -90,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     end, width = int(end_id).to_bytes(4, "little"), 4 * max_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, row = ChunkIds(tokenizer_path), 0
+        chunks, row = ChunkIds.kept(tokenizer_path), 0
         for b in batches:
             out = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
