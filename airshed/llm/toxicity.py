@@ -31,7 +31,7 @@ ship_by_value(__name__)
 TRAIN_ROWS = 20_000
 MAX_FEATURES = 6_000
 LEAST_TEXTS = 4        # a feature of fewer labelled texts is not learnt
-LEAST_Z = 3.0          # nor one whose shares differ by fewer standard errors
+LEAST_Z = 3.0          # nor one whose share of toxic texts is not larger by so many standard errors
 PREFIXES = (4, 5)
 FOLDS = 5
 WORD_CACHE = 600_000
@@ -98,7 +98,7 @@ class Model:
 
 
 def fit(rows: list[tuple[list[int], list[int] | None]], y: np.ndarray, width: int, swap_weight: float = 1.0,
-        l2: float = 2e-4, steps: int = 400, rate: float = 0.1) -> tuple[float, np.ndarray]:
+        l2: float = 2e-5, steps: int = 600, rate: float = 0.1) -> tuple[float, np.ndarray]:
     """Base and weights.  ``rows``: feature numbers of each text, and of its swapped form if it names
     a group; the loss adds ``swap_weight`` times the mean squared difference of their log-odds."""
     n = len(rows)
@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = texts.select("_y", "_t").mapInArrow(count, "f string, clean long, toxic long") \
         .groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     both = (F.col("clean") + F.col("toxic")) / (pos + neg)
-    z = F.abs(F.col("toxic") / pos - F.col("clean") / neg) / F.sqrt(both * (1 - both + 1e-9) * (1 / pos + 1 / neg))
+    z = (F.col("toxic") / pos - F.col("clean") / neg) / F.sqrt(both * (1 - both + 1e-9) * (1 / pos + 1 / neg))
     chosen = counts.filter(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).withColumn("z", z) \
         .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "f").limit(max_features)
     names = [r.f for r in chosen.select("f").collect()]
