@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from airshed.llm import decontaminate, packing, quality, simhash, substring, toxicity, warc
+from airshed.llm import (decontaminate, packing, quality, sharding, simhash, substring, tokencounts,
+                         toxicity, urlfilter, warc)
 
-MODULES = (decontaminate, packing, quality, simhash, substring, toxicity, warc)
+MODULES = (decontaminate, packing, quality, sharding, simhash, substring, tokencounts, toxicity, urlfilter, warc)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

@@ -12,7 +12,8 @@ that its header tells.  After a failed check the reader searches on for the next
 next version line, that passes them; the bytes between are logged as a gap (offset, length, reason).
 Archives are read in steps through the file system, never whole.
 
-Nulls and edges: a null payload is empty; a null url is written empty; a null id is smaller than any
+Nulls and edges: a null payload is empty; a null url is written empty, a
+url's control characters are left out; a null id is smaller than any
 other and is read back as null; repeated rows are written each; an empty table gives no archive and
 no rows; extra columns are ignored.
 """
@@ -198,6 +199,7 @@ def record_at(source: Bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]
 def salvage(file) -> Iterator[tuple[str, int, int, object]]:
     """("record", offset, length, (headers, block)) and ("gap", offset, length, reason), in order."""
     source, at, gap, reason = Bytes(file), 0, None, ""
+    starts = {MAGIC: 0, VERSION: 0}  # the next place of each, or the end
     while at < source.size:
         got = record_at(source, at)
         if not isinstance(got, str):
@@ -210,8 +212,11 @@ def salvage(file) -> Iterator[tuple[str, int, int, object]]:
             continue
         if gap is None:
             gap, reason = at, got
-        nexts = [p for p in (source.find(MAGIC, at + 1), source.find(VERSION, at + 1)) if p >= 0]
-        at = min(nexts, default=source.size)
+        for what, place in starts.items():
+            if place <= at:
+                place = source.find(what, at + 1)
+                starts[what] = source.size if place < 0 else place
+        at = min(starts.values())
     if gap is not None:
         yield "gap", gap, source.size - gap, reason
 
