@@ -270,7 +270,8 @@ def pack(parts: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: int = GRO
             starts = np.r_[True, bins[order][1:] != bins[order][:-1]]
             offset[order] = run - np.maximum.accumulate(np.where(starts, run, 0))
             fill = np.bincount(bins, lengths)
-            free = (bins >= len(fill) - RELEASED_BINS) & (fill[bins] < max_tokens)
+            emptiest = len(fill) - min(RELEASED_BINS, len(fill) // 4)  # a part only: rounds come to an end
+            free = (bins >= emptiest) & (fill[bins] < max_tokens)
             return pdf.assign(sequence_id=(round_no << 56) | (group << 24) | bins, offset=offset,
                               released=free & (not last))
         return solve

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -43,6 +44,7 @@ LEAST_REVISIT = 1000
 STEP = 1 << 20             # bytes read at a time
 MOST_RECORD = 1 << 30      # bytes of an inflated record; beyond that it counts as damaged
 MAGIC, VERSION, END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
+VERSION_LINE = re.compile(r"WARC/1\.\d")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -128,6 +130,9 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int] | str:
     except UnicodeDecodeError:
         return "headers damaged"
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    # a record that breaks off in its headers would go on with the next one's
+    if not VERSION_LINE.fullmatch(lines[0]) or len(head) < len(lines) - 1 or not all(":" in x for x in lines[1:]):
+        return "headers damaged"
     size = head.get("content-length", "")
     if not size.isdecimal():
         return "no Content-Length"
