@@ -1,8 +1,10 @@
 """Command-line entry points for spark-submit (``python -m airshed <job> ...``).
 
 Jobs: ``partition`` (W2), ``normalise`` (W1), ``lookup`` (W3, from landed
-JSON responses), ``enrich`` (W4), ``inventory`` (W10 copy plan) and
-``ledger`` (W9 stream).  On a cluster the master comes from spark-submit and
+JSON responses), ``enrich`` (W4), ``inventory`` (W10 copy plan), ``ledger``
+(W9 stream), ``compact`` (its versions), ``dates`` (those to request estimates
+for), and the reports ``per-city``, ``per-country``, ``top-days`` and
+``correlation``.  On a cluster the master comes from spark-submit and
 ``spark.checkpoint.dir`` must name a shared folder.
 """
 
@@ -52,7 +54,8 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--lookup", required=True)
     a.add_argument("--target", required=True)
     a.add_argument("--mode", default="left", choices=["left", "strict"])
-    a.add_argument("--write-mode", default="overwrite", choices=["overwrite", "dynamic", "append"])
+    a.add_argument("--write-mode", choices=["overwrite", "dynamic", "append"],
+                   help="default: overwrite, with --day dynamic")
     a.add_argument("--day", action="append", help="restrict to these dates (repeatable)")
 
     a = sub.add_parser("inventory", help="copy plan for the files below ROOT")
@@ -68,12 +71,64 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--dead-letters")
     a.add_argument("--on-poison", default="route", choices=["route", "fail"])
     a.add_argument("--prefix", action="append", help="watched prefix (repeatable)")
+
+    a = sub.add_parser("compact", help="fold the ledger's versions into one")
+    a.add_argument("--ledger", required=True)
+
+    for job, what in (("per-city", "exposure per day and city"), ("per-country", "exposure per day and country"),
+                      ("top-days", "most exposed days of a city"), ("correlation", "exposure against weather in a city")):
+        a = sub.add_parser(job, help=what)
+        a.add_argument("--source", required=True, help="enriched date= partitioned CSV")
+        a.add_argument("--target", required=True, help="where to write the report (CSV)")
+        if job in ("per-city", "per-country"):
+            a.add_argument("--day")
+            a.add_argument("--date-is-local-day", action="store_true",
+                           help="the date= folders hold the days of the time text: read that day's folder only")
+        else:
+            a.add_argument("--city", required=True)
+        if job == "top-days":
+            a.add_argument("--k", type=int, default=10)
+        if job == "correlation":
+            a.add_argument("--weather", required=True, help="date= partitioned weather CSV")
+
+    a = sub.add_parser("dates", help="sorted dates of several date= partitioned datasets")
+    a.add_argument("--root", action="append", required=True, help="dataset (repeatable)")
+    a.add_argument("--target", required=True)
     return p
 
 
+REPORT_COLUMNS = ("time_date string, location_name string, measurement_pm10Atmo double, measurement_pm25Atmo double, "
+                  "measurement_pm100Atmo double, tourist_estimate int")
+
+
+def report(spark, args):
+    """The DataFrame of one report job; columns are found by name, extra ones are left aside."""
+    from pyspark.sql import functions as F
+
+    from airshed import operators as O
+    from airshed.sources import read_partitioned, standardise_columns
+
+    def typed(path, ddl):
+        df = standardise_columns(read_partitioned(spark, path))
+        pairs = [c.split() for c in ddl.split(", ")]
+        return df.select(*[F.col(n).cast(k).alias(n) for n, k in pairs], "date")
+
+    df = typed(args.source, REPORT_COLUMNS)
+    if args.job in ("per-city", "per-country"):
+        run = O.exposure_per_city if args.job == "per-city" else O.exposure_per_country
+        return run(df, args.day, partition_col="date" if args.date_is_local_day else None)
+    if args.job == "top-days":
+        return O.top_exposed_days(df, args.city, args.k)
+    weather = typed(args.weather, "time_date string, location_name string, weather_wind_speed double, weather_precipitation double")
+    return O.exposure_weather_corr(df, weather, args.city)
+
+
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = build_session(app_name=f"airshed-{args.job}")
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     from airshed.plans import workflows as W
     from airshed.sinks import write_csv
     from airshed.sources import read_lookup
@@ -96,8 +151,18 @@ def main(argv: list[str] | None = None) -> dict:
         out = {"target": args.target}
     elif args.job == "inventory":
         plan = W.inventory_remap(spark, args.root, args.src_prefix, args.dst_prefix)
-        write_csv(plan, args.target)
-        out = {"planned": spark.read.option("header", True).csv(args.target).count()}
+        counted = Observation("plan")
+        write_csv(plan.observe(counted, F.count(F.lit(1)).alias("planned")), args.target)
+        out = dict(counted.get)
+    elif args.job in ("per-city", "per-country", "top-days", "correlation"):
+        write_csv(report(spark, args), args.target)
+        out = {"target": args.target}
+    elif args.job == "dates":
+        write_csv(W.dates_to_request(spark, *args.root), args.target)
+        out = {"target": args.target}
+    elif args.job == "compact":
+        from airshed.sinks import compact_ledger
+        out = {"folded": compact_ledger(spark, args.ledger)}
     else:
         from airshed.operators.ledger import VALID_PREFIXES
         from airshed.streaming import ledger_stream

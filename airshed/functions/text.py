@@ -35,8 +35,9 @@ def decode_key(c) -> Column:
 
 
 def encode_city(c) -> Column:
-    """Strip, then form-encode (space -> ``+``) for a query string."""
-    return F.url_encode(strip_ws(c))
+    """Strip, then encode for a query string: letters, digits and ``-._~`` stay, a space becomes ``+``."""
+    form = F.url_encode(strip_ws(c))  # leaves ``*`` and escapes ``~``
+    return F.replace(F.replace(form, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def file_name(c) -> Column:

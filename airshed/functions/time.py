@@ -73,7 +73,7 @@ def valid_date(c, strict: bool = True) -> Column:
     if not strict:
         return out
     return F.when(col(c).isNull(), F.lit(None).cast("string")).when(d.isNull(), F.raise_error(
-        F.concat(F.lit("date must be in YYYY-MM-DD format: "), col(c)))).otherwise(out)
+        F.concat(F.lit("not a calendar date (year-month-day): "), col(c)))).otherwise(out)
 
 
 def nano_date(c, tz: str = "UTC") -> Column:
@@ -82,7 +82,8 @@ def nano_date(c, tz: str = "UTC") -> Column:
     Built on TIMESTAMP_NTZ arithmetic so the answer does not depend on the
     session time zone.
     """
-    micros = F.floor(col(c) / F.lit(1000)).cast("long")
+    # decimal division is exact; a double would lose the last digits of 19
+    micros = F.floor(col(c).cast("decimal(20,0)") / F.lit(1000).cast("decimal(4,0)")).cast("long")
     utc_wall = F.timestamp_add("MICROSECOND", micros, epoch_ntz())
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_wall) if tz != "UTC" else utc_wall
     return local.cast("date")

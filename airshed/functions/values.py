@@ -19,8 +19,9 @@ def ms_to_kmh(c, strict: bool = True) -> Column:
 
 
 def estimate_int(c, strict: bool = False) -> Column:
-    """Visitor estimate as int (``int(x)``); NULL on junk unless strict."""
-    return col(c).cast("int") if strict else col(c).try_cast("int")
+    """Visitor estimate as int, a fraction cut off (12.7 -> 12); NULL on junk unless strict."""
+    number = col(c).cast("decimal(38,9)") if strict else col(c).try_cast("decimal(38,9)")
+    return number.cast("int") if strict else number.try_cast("int")
 
 
 def json_in(c, schema) -> Column:

@@ -80,12 +80,13 @@ def on_day(df: DataFrame, day, col: str = "day") -> DataFrame:
 
 
 def prune_to_day(enriched: DataFrame, day, partition_col: str = "date") -> DataFrame:
-    """Also filter the ``date=`` partition column when the input has one.
+    """Also filter the partition column that carries the day of the time text.
 
     The reports filter on the day derived from the time text, which a file
-    scan cannot use; datasets written by ``write_by_date`` carry the same day
-    as their partition value, so this extra predicate lets the scan read one
-    folder instead of all (PartitionFilters).  Results are unchanged.
+    scan cannot use; where the partition value is known to be the same day,
+    this extra predicate lets the scan read one folder instead of all
+    (PartitionFilters).  Where it may differ (UTC against local days, NULL
+    dates) it would lose rows, so callers must ask for it.
     """
     if day is None or partition_col not in enriched.columns:
         return enriched
@@ -98,12 +99,11 @@ def in_city(df: DataFrame, city: str, col: str = "city") -> DataFrame:
 
 def exposure_per_city(enriched: DataFrame, day=None,
                       measures: Sequence[str] = POLLUTION_MEASURES,
-                      partition_col: str | None = "date") -> DataFrame:
+                      partition_col: str | None = None) -> DataFrame:
     """Per (day, city) exposure, ordered by city (NULLs last); optional single day.
 
-    ``partition_col`` names the layout's day column used for pruning (it must
-    equal the day of the time text, as written by ``write_by_date``); pass
-    ``None`` when the input has a ``date`` column with another meaning.
+    ``partition_col`` names a partition column that equals the day of the time
+    text; a single-day report then reads that folder only.
     """
     pruned = prune_to_day(enriched, day, partition_col) if partition_col else enriched
     base = dedup_readings(pruned, measures)
@@ -127,7 +127,7 @@ def country_exposure(per_city: DataFrame, measures: Sequence[str] = POLLUTION_ME
 
 def exposure_per_country(enriched: DataFrame, day=None,
                          measures: Sequence[str] = POLLUTION_MEASURES,
-                         partition_col: str | None = "date") -> DataFrame:
+                         partition_col: str | None = None) -> DataFrame:
     """Per (day, country) exposure; optional single day (pruned like ``exposure_per_city``)."""
     pruned = prune_to_day(enriched, day, partition_col) if partition_col else enriched
     base = dedup_readings(pruned, measures)

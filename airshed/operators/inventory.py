@@ -42,6 +42,12 @@ def remap_plan(objects: DataFrame, src_prefix: str, dst_prefix: str,
                         file_name(k).alias("file_name"))
 
 
+def copy_count(objects: DataFrame, src_prefix: str, dst_prefix: str, key_col: str = "key") -> DataFrame:
+    """One row: how many objects a remap copies, and the message a copy job reports."""
+    n = remap_plan(objects, src_prefix, dst_prefix, key_col).agg(F.count(F.lit(1)).alias("copied"))
+    return n.select("copied", F.concat(F.lit("Copied "), F.col("copied").cast("string"), F.lit(" objects")).alias("message"))
+
+
 def graft_plan(objects: DataFrame, dst_prefix: str, key_col: str = "key") -> DataFrame:
     """(key, dest_key): same relative path below ``dst_prefix`` after the first segment."""
     k = F.col(key_col)
@@ -59,7 +65,7 @@ def dates_from_keys(objects: DataFrame, key_col: str = "key", prefix: str | None
     keys = drop_markers(objects, key_col, "all_markers", prefix)
     dated = keys.select(F.col(key_col), date_from_path(F.col(key_col)).alias("date_str"))
     if strict:
-        bad = dated.filter(F.col("date_str").isNull()).select(key_col).limit(1).collect()
-        if bad:
-            raise ValueError(f"Could not extract date from key: {bad[0][0]}")
+        bad = dated.filter(F.col("date_str").isNull()).agg(F.count(F.lit(1)).alias("n"), F.min(key_col).alias("k")).first()
+        if bad.n:
+            raise ValueError(f"{bad.n} object key(s) name no date= folder, the first is {bad.k}")
     return dated.filter(F.col("date_str").isNotNull()).select("date_str").distinct()

@@ -37,6 +37,20 @@ def split_poison(notices: DataFrame, poison: str = POISON_FILE) -> tuple[DataFra
     return notices.filter(~bad), notices.filter(bad)
 
 
+def account(records: DataFrame, prefixes: Sequence[str] = VALID_PREFIXES, poison: str = POISON_FILE) -> DataFrame:
+    """(outcome, n): what becomes of ``parse_notifications`` rows, each counted once.
+
+    ``dead``: malformed, or the poison file in a watched folder; ``ledger``:
+    other files in watched folders; ``ignored``: other folders and markers.
+    """
+    key = F.coalesce(decode_key("raw_key"), F.lit(""))
+    name = file_name(key)
+    watched = starts_with_any(key, prefixes) & (name != "")
+    outcome = (F.when(F.col("malformed") | (watched & (name == poison)), "dead")
+                .when(watched, "ledger").otherwise("ignored"))
+    return records.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def ledger_rows(good: DataFrame, default_time: Column | None = None) -> DataFrame:
     """``file_name, timestamp, status=0`` plus the arrival order columns."""
     order = [c for c in ("batch_id", "msg_pos", "rec_pos") if c in good.columns]

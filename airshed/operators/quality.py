@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def profile(df: DataFrame, date_col: str = "date", file_col: str | None = "_input_file") -> DataFrame:
-    """One row: row_count, file_count (distinct source files), null_date_count.
+def profile(df: DataFrame, date_col: str = "date", file_col: str | None = "_input_file",
+            corrupt_col: str | None = None) -> DataFrame:
+    """One row: row_count, file_count (distinct source files), null_date_count,
+    and with ``corrupt_col`` bad_row_count (rows with a value that did not fit).
 
     Fused into a single aggregate (one scan instead of three).
     """
@@ -15,4 +17,6 @@ def profile(df: DataFrame, date_col: str = "date", file_col: str | None = "_inpu
     if file_col:
         aggs.append(F.count_distinct(file_col).alias("file_count"))
     aggs.append(F.count_if(F.col(date_col).isNull()).alias("null_date_count"))
+    if corrupt_col:
+        aggs.append(F.count_if(F.col(corrupt_col).isNotNull()).alias("bad_row_count"))
     return df.agg(*aggs)

@@ -17,16 +17,18 @@ from pyspark.sql import types as T
 
 from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
-    valid_date,
+    strip_slash, valid_date,
 )
 from airshed.operators import (
-    all_dates, daily_weather, dates_from_keys, distinct_dates, distinct_rows_by_key_set,
+    account, all_dates, build_lookup, copy_count, daily_weather, dates_from_keys, distinct_dates,
+    distinct_rows_by_key_set,
     exposure_per_city, exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather,
-    last_wins, lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
+    last_wins, lookup_problems, lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
     split_poison, top_exposed_days,
 )
-from airshed.operators.joins import enrich
+from airshed.operators.joins import enrich, materialise
 from airshed.plans import standins as S
+from airshed.plans.views import register_dataset
 from airshed.plans.workflows import (
     enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
 )
@@ -34,7 +36,7 @@ from airshed.schemas import NORMALISED_WEATHER
 from airshed.session import scratch_path
 from airshed.sinks import read_ledger, write_by_date
 from airshed.sources import (
-    list_objects, parse_notifications, read_lookup, read_partitioned, read_table,
+    list_objects, parse_notifications, read_lookup, read_partitioned, read_raw, read_table,
     standardise_columns, with_source_file,
 )
 from airshed.streaming import ledger_stream
@@ -42,6 +44,7 @@ from airshed.streaming import ledger_stream
 # Parameters of the registered reports.
 REPORT_DAY = "2024-01-15"
 NANO_ZONE = "Europe/Belgrade"
+LOCAL_HOURS = 2
 REMAP_SRC, REMAP_DST = "https://", "archive/"
 GRAFT_DST = "enriched/"
 WATCHED = ("en/", "fr/", "de/")
@@ -124,7 +127,7 @@ def q_enrich_weather(spark, root):
 def q_enrich_strict(spark, root):
     lk = S.visitor_lookup(spark, root, city=S.TOTAL_ENTRY, on_missing="error")
     r = S.with_date_str(S.readings(spark, root))
-    return enrich(r, lk, mode="strict").select("event_id", "date_str", "tourist_estimate")
+    return enrich(r, lk, mode="strict", keys=_reading_dates(spark, root)).select("event_id", "date_str", "tourist_estimate")
 
 
 def _reading_dates(spark, root):
@@ -146,8 +149,12 @@ def q_all_dates_count(spark, root):
 
 
 def q_lookup_with_status(spark, root):
-    req = read_table(spark, root, "documents").select("doc_id", F.col("source").alias("city"))
-    svc = read_table(spark, root, "labels").select("doc_id", F.col("quality").alias("temperature"))
+    """Blank cities, unreachable services and missing fields among the requests."""
+    i = F.col("doc_id")
+    req = read_table(spark, root, "documents").select(
+        "doc_id", F.when(i % 7 == 0, None).when(i % 11 == 0, "  ").otherwise(F.col("source")).alias("city"))
+    svc = read_table(spark, root, "labels").select(
+        "doc_id", F.when(i % 5 == 0, None).otherwise(F.col("quality")).alias("temperature"))
     return lookup_with_status(req, svc, on="doc_id")
 
 
@@ -158,11 +165,41 @@ def q_normalise_readings(spark, root):
     return normalise_readings(S.weather_readings(spark, root))
 
 
+EVENT_LANDED = "event_id bigint, time_date string, amount double"
+
+
+def _landed_events(spark, root, folder) -> str:
+    """Events as landed CSV, one file per event type two levels below a root, with odd times and
+    amounts: every 7th event has no time, every 11th an invalid one, every 13th an amount in words."""
+    i, text = F.col("event_id"), F.date_format("ts", S.TIME_FMT)
+    base = scratch_path(spark, folder)
+    (read_table(spark, root, "events").select(
+        "event_type", "event_id",
+        F.when(i % 7 == 0, None).when(i % 11 == 0, F.concat(F.lit("2024-02-30 "), F.substring(text, 12, 8))).otherwise(text)
+        .alias("time_date"),
+        F.when(i % 13 == 0, "much").otherwise(F.col("value").cast("string")).alias("amount"))
+     .repartition("event_type").write.partitionBy("event_type").option("header", True).csv(f"{base}/landing"))
+    return f"{base}/landing"
+
+
 def q_quality_profile(spark, root):
-    ev = with_source_file(read_table(spark, root, "events"))
-    ev = ev.select("_input_file",
-                   day_of(F.date_format("ts", S.TIME_FMT), S.TIME_FMT).alias("date"))
-    return profile(ev)
+    """Profile of landed files with NULL and invalid times and values that do not fit."""
+    raw = read_raw(spark, _landed_events(spark, root, "profile"), EVENT_LANDED, depth=1, corrupt_col="_corrupt")
+    df = with_source_file(raw).withColumn("date", day_of("time_date", S.TIME_FMT))
+    return profile(df, corrupt_col="_corrupt")
+
+
+def q_partition_job_profile(spark, root):
+    """What the partition job reports of the same files, observed during its one pass."""
+    landed = _landed_events(spark, root, "job-raw")
+    stats = partition_by_date_job(spark, landed.rsplit("/", 1)[0], scratch_path(spark, "job-out"), schema=EVENT_LANDED)
+    return spark.createDataFrame([stats], "row_count bigint, file_count bigint, null_date_count bigint, bad_row_count bigint")
+
+
+def q_bad_rows(spark, root):
+    """Rows of the landed files whose amount is no number: kept, with the amount NULL."""
+    raw = read_raw(spark, _landed_events(spark, root, "bad-rows"), EVENT_LANDED, depth=1, corrupt_col="_corrupt")
+    return raw.filter(F.col("_corrupt").isNotNull()).select("event_id", "amount", F.col("_corrupt").contains("much").alias("kept"))
 
 
 def q_valid_dates(spark, root):
@@ -178,12 +215,21 @@ def q_nano_to_date(spark, root):
                      nano_date(nanos, NANO_ZONE).alias("local_date"))
 
 
+def q_nano_to_date_edges(spark, root):
+    """Nanoseconds just before a midnight, off the microsecond grid, after and before 1970."""
+    i = F.col("event_id")
+    back = F.when(i % 3 == 0, 1).when(i % 3 == 1, 100).otherwise(128).cast("bigint")
+    nanos = (ntz_micros(F.date_trunc("day", "ts")) * F.lit(1000) - back) * F.when(i % 2 == 0, 1).otherwise(-1)
+    ev = read_table(spark, root, "events").select("event_id", nanos.alias("time_nano"))
+    return ev.select("event_id", "time_nano", nano_date("time_nano").alias("utc_date"))
+
+
 def q_partition_roundtrip(spark, root):
-    """Write readings as date-partitioned CSV, read back, count per date."""
+    """Write readings as date-partitioned CSV and read every row back."""
     out = scratch_path(spark, "by-date")
-    write_by_date(S.with_date_str(S.readings(spark, root)).drop("date_str"), out)
-    back = read_partitioned(spark, out)
-    return back.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_by_date(S.with_date_str(S.readings(spark, root)).select(*cols, "date"), out)
+    return read_partitioned(spark, out, schema=T.StructType.fromDDL(POLLUTION_LANDED))
 
 
 # Stand-in raw weather layout as landed CSV text.
@@ -208,7 +254,8 @@ def q_partition_job(spark, root):
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "partitioned")
     S.weather_readings(spark, root).write.option("header", True).csv(f"{raw}/landing")
     partition_by_date_job(spark, raw, out, schema=WEATHER_LANDED)
-    return read_partitioned(spark, out).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    back = read_partitioned(spark, out, schema=T.StructType.fromDDL(WEATHER_LANDED))
+    return _round(back.select("date", "name", "time_nano", "time_date", "weather_temperature", "weather_windSpeed"))
 
 
 def q_enrich_partitioned_files(spark, root):
@@ -226,9 +273,66 @@ def q_enrich_partitioned_files(spark, root):
                        F.col("tourist_estimate").cast("int").alias("tourist_estimate"))
 
 
+def q_enrich_incremental_day(spark, root):
+    """All days enriched, then one day again with a new lookup: the other days stay."""
+    part, out = scratch_path(spark, "pollution-by-date"), scratch_path(spark, "pollution-enriched")
+    r = S.with_date_str(S.readings(spark, root)).select(*[c.split()[0] for c in POLLUTION_LANDED.split(", ")], "date")
+    write_by_date(r, part, mode="overwrite")
+    lookup, _ = materialise(S.visitor_lookup(spark, root), "lookup")
+    enrich_partitioned(spark, part, lookup, out, schema=POLLUTION_LANDED)
+    newer = lookup.withColumn("tourist_estimate", F.coalesce("tourist_estimate", F.lit(0)) + 1000)
+    enrich_partitioned(spark, part, newer, out, schema=POLLUTION_LANDED, days=[REPORT_DAY])
+    back = read_partitioned(spark, out)
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "date_str",
+                       F.col("tourist_estimate").cast("int").alias("tourist_estimate"))
+
+
+def q_exposure_per_city_local_day(spark, root):
+    """One local day of readings whose ``date`` is the UTC day: rows of both UTC days count."""
+    p = S.pollution_enriched(spark, root)
+    local = p.withColumn("time_date", F.date_format(F.timestamp_add("HOUR", F.lit(LOCAL_HOURS), F.col("ts")), S.TIME_FMT))
+    return _round(exposure_per_city(local, day=REPORT_DAY))
+
+
+def _odd_responses(spark, root) -> DataFrame:
+    """Estimate responses and, for some days, further ones: dated without zeros (even days of the
+    month, estimate 12.7), with an invalid date (every 5th day), with an estimate in words (every 3rd)."""
+    first, _ = materialise(S.estimate_responses(spark, root), "responses")
+    day = F.day(F.col("date_str").cast("date"))
+    one = lambda text: F.lit('{"info":[{"name":"Nation_7","estimated_no_people":' + text + "}]}")
+    return (first.select("date_str", "response", F.lit(1).alias("seq"))
+            .unionByName(first.filter(day % 2 == 0).select(
+                F.date_format(F.col("date_str").cast("date"), "yyyy-M-d").alias("date_str"), one("12.7").alias("response"), F.lit(2).alias("seq")))
+            .unionByName(first.filter(day % 5 == 0).select(
+                F.concat(F.substring("date_str", 1, 5), F.lit("13-45")).alias("date_str"), "response", F.lit(1).alias("seq")))
+            .unionByName(first.filter(day % 3 == 0).select("date_str", one('"many"').alias("response"), F.lit(0).alias("seq"))))
+
+
+def q_lookup_exact(spark, root):
+    """One row per date from repeated, unpadded and undated responses: the last by ``seq`` holds."""
+    return build_lookup(_odd_responses(spark, root), [S.LOOKUP_CITY], case_sensitive=False, order_col="seq")
+
+
+def q_lookup_problems(spark, root):
+    return lookup_problems(_odd_responses(spark, root), [S.LOOKUP_CITY], case_sensitive=False)
+
+
+def q_enriched_catalog_table(spark, root):
+    """The partitioned dataset as a catalog table, queried by SQL."""
+    part = scratch_path(spark, "catalog")
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_by_date(S.with_date_str(S.readings(spark, root)).select(*cols, "date"), part)
+    name = "readings_" + part.rsplit("-", 1)[-1]
+    register_dataset(spark, name, part, POLLUTION_LANDED)
+    return spark.sql(f"SELECT date, count(*) AS n, count(measurement_pm100Atmo) AS measured FROM {name} GROUP BY date")
+
+
 def q_first_non_empty(spark, root):
+    """The first argument is NULL or empty for some documents."""
     d = read_table(spark, root, "documents")
-    return d.select("doc_id", first_non_empty("lang", "source").alias("value"))
+    lang = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 5 == 0, None).otherwise(F.col("lang"))
+    source = F.when(F.col("doc_id") % 9 == 0, "").otherwise(F.concat(F.lit(" "), "source"))
+    return d.select("doc_id", first_non_empty(lang, source).alias("value"))
 
 
 # -------------------------------------------------------- objects / ledger
@@ -246,6 +350,26 @@ def q_graft_keys(spark, root):
     return graft_plan(_page_keys(spark, root), GRAFT_DST)
 
 
+def q_url_keys_special(spark, root):
+    """Names with the characters that URL encoders treat apart; keys with escapes and a stray percent sign."""
+    p = read_table(spark, root, "pages").withColumn("n", F.col("page_id").cast("string"))
+    name = F.concat(F.lit(" a~b*c-d_e.f "), "n", F.lit("+ș%/\t"))
+    key = F.concat(F.lit("x+y%20"), "n", F.lit("%C8%99/100%25"))
+    return p.select("page_id", encode_city(name).alias("encoded"), decode_key(key).alias("decoded"),
+                    strip_slash(F.concat("url", F.when(F.col("page_id") % 2 == 0, "//").otherwise(""))).alias("stripped"))
+
+
+def q_copied_objects(spark, root):
+    return copy_count(_page_keys(spark, root), REMAP_SRC, REMAP_DST)
+
+
+def q_ordered_dates(spark, root):
+    """Sorted distinct dates with their place."""
+    o = read_table(spark, root, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    dates = distinct_dates(_reading_dates(spark, root), o, ordered=True)
+    return dates.select("date", F.date_format("date", "yyyy-MM-dd").alias("date_str"))
+
+
 def q_url_keys(spark, root):
     p = read_table(spark, root, "pages")
     return p.select("page_id", decode_key("url").alias("decoded"),
@@ -267,6 +391,31 @@ def notification_messages(spark, root) -> DataFrame:
     return p.select("page_id", msg.alias("value"))
 
 
+def odd_messages(spark, root) -> DataFrame:
+    """Messages as above, most of them broken in one way each, by the last digit of the page id."""
+    p = read_table(spark, root, "pages").select("page_id", "url", (F.col("page_id") % 10).alias("d"))
+    unless = lambda d, c: F.when(F.col("d") != d, c)  # noqa: E731  NULL, which JSON leaves out
+    key = F.when(F.col("d") == 0, "en/dlq-test.txt").otherwise(F.regexp_extract("url", r"^[a-z]+://[^/]+/([^?#]*)", 1))
+    s3 = F.struct(F.struct(unless(3, F.lit("bucket")).alias("name")).alias("bucket"), F.struct(unless(2, key).alias("key")).alias("object"))
+    rec = F.struct(unless(4, s3).alias("s3"), unless(6, F.lit("2025-11-19T10:00:00Z")).alias("eventTime"))
+    body = F.when(F.col("d") == 1, F.concat(F.lit("{oops"), F.col("page_id").cast("string"))) \
+        .otherwise(F.to_json(F.struct(F.array(rec).alias("Records"))))
+    line = F.to_json(F.struct(F.array(F.struct(unless(5, body).alias("body"))).alias("Records")))
+    return p.select("page_id", F.when(F.col("d") == 7, F.concat(F.lit("no JSON "), F.col("page_id").cast("string"))).otherwise(line).alias("value"))
+
+
+def q_notification_dead_letters(spark, root):
+    recs = parse_notifications(odd_messages(spark, root), keep=("page_id",))
+    _good, dead = split_poison(select_notices(recs, WATCHED))
+    raw = F.when(F.col("body").rlike("^(\\{oops|no JSON)"), F.col("body"))
+    return dead.select("page_id", "malformed", "file_name", raw.alias("raw"), F.col("body").isNotNull().alias("raw_kept"))
+
+
+def q_notification_accounting(spark, root):
+    """Records in = ledger + ignored + dead."""
+    return account(parse_notifications(odd_messages(spark, root)), WATCHED)
+
+
 def q_api_dates_from_keys(spark, root):
     """Dates to request estimates for, from the keys of a written date-partitioned dataset."""
     part = scratch_path(spark, "weather_partitioned")
@@ -320,6 +469,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_with_status": q_lookup_with_status,
     "normalise_readings": q_normalise_readings,
     "quality_profile": q_quality_profile,
+    "partition_job_profile": q_partition_job_profile,
+    "bad_rows": q_bad_rows,
+    "nano_to_date_edges": q_nano_to_date_edges,
+    "enrich_incremental_day": q_enrich_incremental_day,
+    "exposure_per_city_local_day": q_exposure_per_city_local_day,
+    "lookup_exact": q_lookup_exact,
+    "lookup_problems": q_lookup_problems,
+    "enriched_catalog_table": q_enriched_catalog_table,
+    "url_keys_special": q_url_keys_special,
+    "copied_objects": q_copied_objects,
+    "ordered_dates": q_ordered_dates,
+    "notification_dead_letters": q_notification_dead_letters,
+    "notification_accounting": q_notification_accounting,
     "valid_dates": q_valid_dates,
     "nano_to_date": q_nano_to_date,
     "partition_roundtrip": q_partition_roundtrip,
@@ -411,6 +573,18 @@ f AS (SELECT page_id, key, string_split(key, '/')[-1] AS file_name, ts FROM d
         AND string_split(key, '/')[-1] <> '' AND string_split(key, '/')[-1] <> 'dlq-test.txt')
 """
 
+_ODD = """
+WITH r AS (
+  SELECT page_id, page_id % 10 AS d, regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1) AS raw_key FROM pages),
+m AS (SELECT *, url_decode(replace(raw_key, '+', ' ')) AS key FROM r)
+"""
+
+_PROFILE = """
+SELECT count(*) AS row_count, count(DISTINCT event_type) AS file_count,
+       count(*) FILTER (WHERE ts IS NULL OR event_id % 7 = 0 OR event_id % 11 = 0) AS null_date_count,
+       count(*) FILTER (WHERE event_id % 13 = 0) AS bad_row_count
+FROM events"""
+
 ORACLE: dict[str, str] = {
     "exposure_per_city": _with("""
 SELECT day, city, round(p10, 6) AS pollution_total_visitor_pm10,
@@ -486,6 +660,8 @@ SELECT date, count(*) AS n FROM (
   UNION ALL
   SELECT CAST(o_orderdate AS DATE) AS date FROM orders) GROUP BY date""",
     "lookup_with_status": """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '  ' ELSE source END AS source FROM documents),
+l AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN quality END AS quality FROM labels)
 SELECT d.doc_id, d.source AS city,
   CASE WHEN d.source IS NULL OR trim(d.source) = '' THEN 400
        WHEN l.doc_id IS NULL OR l.quality IS NULL THEN 502 ELSE 200 END AS statusCode,
@@ -494,16 +670,67 @@ SELECT d.doc_id, d.source AS city,
        WHEN l.quality IS NULL THEN '{"message":"Weather service response missing temperature field"}'
        ELSE CAST(to_json(struct_pack(city := trim(d.source),
                                      temperature := CAST(l.quality AS DOUBLE))) AS VARCHAR) END AS body
-FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+FROM d LEFT JOIN l ON d.doc_id = l.doc_id""",
     "normalise_readings": _with("""
 SELECT name, strftime(CAST(time_date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS datetime_iso,
        weather_temperature AS temperature_c, weather_wind_speed * 3.6 AS wind_speed_kmh
 FROM weather"""),
-    # Each driver table is one parquet file, so the distinct source-file count is 1.
-    "quality_profile": """
-SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS file_count,
-       count(*) FILTER (WHERE ts IS NULL) AS null_date_count
-FROM events""",
+    "quality_profile": _PROFILE,
+    "partition_job_profile": _PROFILE,
+    "bad_rows": """
+SELECT event_id, CAST(NULL AS DOUBLE) AS amount, true AS kept FROM events WHERE event_id % 13 = 0""",
+    "nano_to_date_edges": """
+WITH e AS (
+  SELECT event_id, (epoch_us(date_trunc('day', ts)) * 1000 - CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 100 ELSE 128 END)
+                   * CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS time_nano FROM events)
+SELECT event_id, time_nano,
+       CAST(make_timestamp((time_nano - ((time_nano % 1000) + 1000) % 1000) // 1000) AS DATE) AS utc_date FROM e""",
+    "enrich_incremental_day": _with(f"""
+SELECT event_id, date_str, CASE WHEN date_str <> '{REPORT_DAY}' THEN tourist_estimate
+                                WHEN date_str IN (SELECT date_str FROM lookup) THEN coalesce(tourist_estimate, 0) + 1000 END
+         AS tourist_estimate FROM pollution"""),
+    "exposure_per_city_local_day": _with(f"""
+, b AS (
+  SELECT DISTINCT CAST(ts + INTERVAL {LOCAL_HOURS} HOUR AS DATE) AS day, location_name AS city,
+         measurement_pm10Atmo, measurement_pm25Atmo, measurement_pm100Atmo, tourist_estimate FROM pollution)
+SELECT day, city, round(sum(coalesce(measurement_pm10Atmo, 0) * tourist_estimate), 6) AS pollution_total_visitor_pm10,
+       round(sum(coalesce(measurement_pm25Atmo, 0) * tourist_estimate), 6) AS pollution_total_visitor_pm25,
+       round(sum(coalesce(measurement_pm100Atmo, 0) * tourist_estimate), 6) AS pollution_total_visitor_pm100
+FROM b WHERE day = DATE '{REPORT_DAY}' GROUP BY day, city"""),
+    "lookup_exact": _with("""
+SELECT date_str, CASE WHEN day(CAST(date_str AS DATE)) % 2 = 0 THEN 12 ELSE tourist_estimate END AS tourist_estimate
+FROM lookup"""),
+    "lookup_problems": _with("""
+, d AS (SELECT tourist_estimate AS e, day(CAST(date_str AS DATE)) AS d FROM lookup)
+SELECT count(*) + count(*) FILTER (WHERE d % 2 = 0) + count(*) FILTER (WHERE d % 5 = 0) + count(*) FILTER (WHERE d % 3 = 0)
+         AS responses,
+       count(*) FILTER (WHERE d % 5 = 0) AS bad_dates, count(*) FILTER (WHERE e IS NULL) AS city_missing,
+       count(*) FILTER (WHERE d % 3 = 0) AS bad_estimates,
+       count(*) FILTER (WHERE d % 2 = 0) + count(*) FILTER (WHERE d % 3 = 0) AS repeated_dates FROM d"""),
+    "enriched_catalog_table": """
+SELECT CAST(ts AS DATE) AS date, count(*) AS n, count(*) FILTER (WHERE event_type <> 'error') AS measured
+FROM events GROUP BY 1""",
+    "url_keys_special": """
+SELECT page_id, replace(url_encode(trim(' a~b*c-d_e.f ' || page_id || '+ș%/')), '%20', '+') AS encoded,
+       'x y ' || page_id || 'ș/100%' AS decoded, rtrim(url, '/') AS stripped FROM pages""",
+    "copied_objects": f"""
+SELECT count(*) AS copied, 'Copied ' || count(*) || ' objects' AS message
+FROM pages WHERE starts_with(url, '{REMAP_SRC}') AND url <> '{REMAP_SRC}'""",
+    "ordered_dates": """
+SELECT date, strftime(date, '%Y-%m-%d') AS date_str FROM (
+  SELECT CAST(ts AS DATE) AS date FROM events WHERE ts IS NOT NULL
+  UNION
+  SELECT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderdate IS NOT NULL) ORDER BY date""",
+    "notification_dead_letters": _ODD + """
+SELECT page_id, d <> 0 AS malformed, CASE WHEN d = 0 THEN 'dlq-test.txt' WHEN d = 3 THEN string_split(key, '/')[-1] END AS file_name,
+       CASE d WHEN 1 THEN '{oops' || page_id WHEN 7 THEN 'no JSON ' || page_id END AS raw, true AS raw_kept
+FROM m WHERE d IN (0, 1, 2, 3, 4, 5, 7)""",
+    "notification_accounting": _ODD + """
+SELECT outcome, count(*) AS n FROM (
+  SELECT CASE WHEN d IN (0, 1, 2, 3, 4, 5, 7) THEN 'dead'
+              WHEN (starts_with(key, 'en/') OR starts_with(key, 'fr/') OR starts_with(key, 'de/'))
+                   AND string_split(key, '/')[-1] <> '' THEN 'ledger' ELSE 'ignored' END AS outcome FROM m)
+GROUP BY outcome""",
     "valid_dates": """
 SELECT DISTINCT strftime(ts, '%Y-%-m-%-d') AS raw, strftime(ts, '%Y-%m-%d') AS date_str FROM events""",
     "nano_to_date": f"""
@@ -514,13 +741,16 @@ FROM events""",
 SELECT name, strftime(CAST(time_date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS datetime_iso,
        weather_temperature AS temperature_c, weather_wind_speed * 3.6 AS wind_speed_kmh
 FROM weather"""),
-    "partition_job": """
-SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1""",
+    "partition_job": _with("""
+SELECT CAST(time_date[:10] AS DATE) AS date, name, epoch_us(ts) * 1000 AS time_nano, time_date,
+       round(weather_temperature, 6) AS weather_temperature, round(weather_wind_speed, 6) AS "weather_windSpeed" FROM weather"""),
     "enrich_partitioned_files": _with("SELECT event_id, date_str, tourist_estimate FROM pollution"),
-    "partition_roundtrip": """
-SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1""",
+    "partition_roundtrip": _with("""
+SELECT CAST(ts AS DATE) AS date, event_id, time_date, location_name, measurement_pm10Atmo, measurement_pm25Atmo,
+       measurement_pm100Atmo FROM readings"""),
     "first_non_empty": """
-SELECT doc_id, trim(coalesce(nullif(lang, ''), nullif(source, ''), '')) AS value FROM documents""",
+SELECT doc_id, trim(coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 5 = 0 THEN NULL ELSE lang END, ''),
+                             nullif(CASE WHEN doc_id % 9 = 0 THEN '' ELSE ' ' || source END, ''), '')) AS value FROM documents""",
     "prefix_remap": f"""
 SELECT url AS key, '{REMAP_DST}' || substr(url, {len(REMAP_SRC) + 1}) AS dest_key,
        string_split(url, '/')[-1] AS file_name
@@ -529,7 +759,7 @@ FROM pages WHERE starts_with(url, '{REMAP_SRC}') AND NOT (url = '{REMAP_SRC}' AN
 SELECT url AS key, '{GRAFT_DST}' || regexp_replace(url, '^[^/]*/', '') AS dest_key FROM pages""",
     "url_keys": """
 SELECT page_id, url_decode(replace(url, '+', ' ')) AS decoded,
-       replace(replace(replace(url_encode(trim(url)), '%20', '+'), '%2A', '*'), '~', '%7E') AS encoded,
+       replace(url_encode(trim(url)), '%20', '+') AS encoded,
        string_split(url, '/')[-1] AS file_name
 FROM pages""",
     "notification_ledger_stream": _NOTICES + """

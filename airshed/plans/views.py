@@ -12,6 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def register_dataset(spark: SparkSession, name: str, path: str, schema: str) -> DataFrame:
+    """A catalog table over a ``date=`` partitioned CSV dataset, for ``FROM name`` in SQL.
+
+    ``schema`` is the DDL of the data columns.  The table is external: dropping
+    it leaves the files.  Call again after new dates have been written.
+    """
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}, date DATE) USING csv "
+              f"OPTIONS (header 'true', enforceSchema 'false') PARTITIONED BY (date) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
 def register_views(spark: SparkSession, **views: DataFrame) -> list[str]:
     """``register_views(spark, pollution_enriched=df1, weather_enriched=df2)``."""
     for name, df in views.items():

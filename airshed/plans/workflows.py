@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.functions import date_text, day_of, nano_date
-from airshed.operators import build_lookup, enrich, normalise_readings, profile, remap_plan
+from airshed.operators import (
+    build_lookup, dates_from_keys, distinct_dates, enrich, normalise_readings, profile, remap_plan,
+)
 from airshed.sinks import write_by_date, write_csv, write_lookup
 from airshed.sources import list_objects, read_partitioned, read_raw, with_source_file
 
@@ -26,10 +28,10 @@ TIME_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def normalise_weather_file(spark: SparkSession, src: str, dst: str, schema: T.StructType | None = None,
-                           single_file: bool = True) -> DataFrame:
+                           single_file: bool = False) -> DataFrame:
     """Weather CSV -> ``name;datetime_iso;temperature_c;wind_speed_kmh``.
 
-    ``single_file`` is for per-station extracts; leave it off for bulk loads.
+    ``single_file`` (one task) is for extracts known to be small.
     """
     df = read_raw(spark, src, schema=schema, depth=0, infer=schema is None)
     out = normalise_readings(df)
@@ -51,30 +53,30 @@ def with_event_date(df: DataFrame, time_col: str = "time_date", fmt: str = TIME_
 def partition_by_date_job(spark: SparkSession, source_path: str, target_path: str,
                           schema: T.StructType | str | None = None, time_col: str = "time_date",
                           nanos_col: str | None = None, tz: str = "UTC",
-                          mode: str = "append", one_pass: bool = False) -> dict:
+                          mode: str = "append", one_pass: bool = True) -> dict:
     """Read ``<source>/*/*`` CSV, profile it, write it partitioned by ``date``.
 
-    Default: two passes over the input (the fused profile aggregate, then
-    the write) where a naive job makes four; ``file_count`` counts files
-    that contributed rows.  ``one_pass=True``: row and NULL-date counts are
-    observed while writing and ``file_count`` is the number of input files
-    listed (header-only files included) -- one read of the data.
+    One pass over the input: the profile (see ``operators.profile``) is
+    observed while writing; ``one_pass=False`` profiles first and writes then.
+    ``file_count`` counts files that contributed rows.  With a ``schema`` the
+    profile has ``bad_row_count`` too; bad values are written as NULL.
     Returns the profile as a dict.
     """
-    df = read_raw(spark, source_path.rstrip("/"), schema=schema, depth=2, infer=schema is None)
-    if one_pass:
-        df = with_event_date(df, time_col, nanos_col=nanos_col, tz=tz)
-        obs = Observation("partition-profile")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("row_count"),
-                              F.count_if(F.col("date").isNull()).alias("null_date_count"))
-        write_by_date(observed, target_path.rstrip("/"), mode=mode)
-        m = obs.get
-        return {"row_count": m["row_count"], "file_count": len(df.inputFiles()),
-                "null_date_count": m["null_date_count"]}
+    bad = "_corrupt" if schema is not None else None
+    df = read_raw(spark, source_path.rstrip("/"), schema=schema, depth=2, infer=schema is None, corrupt_col=bad)
     df = with_event_date(with_source_file(df), time_col, nanos_col=nanos_col, tz=tz)
-    stats = profile(df).first().asDict()
-    write_by_date(df.drop("_input_file"), target_path.rstrip("/"), mode=mode)
-    return stats
+    helpers = ["_input_file", *([bad] if bad else [])]
+    if not one_pass:
+        stats = profile(df, corrupt_col=bad).first().asDict()
+        write_by_date(df.drop(*helpers), target_path.rstrip("/"), mode=mode)
+        return stats
+    obs = Observation("partition-profile")
+    metrics = [F.count(F.lit(1)).alias("row_count"), F.size(F.collect_set("_input_file")).alias("file_count"),
+               F.count_if(F.col("date").isNull()).alias("null_date_count")]
+    if bad:
+        metrics.append(F.count_if(F.col(bad).isNotNull()).alias("bad_row_count"))
+    write_by_date(df.observe(obs, *metrics).drop(*helpers), target_path.rstrip("/"), mode=mode)
+    return dict(obs.get)
 
 
 def publish_lookup(responses: DataFrame, path: str, names: Sequence[str],
@@ -86,25 +88,37 @@ def publish_lookup(responses: DataFrame, path: str, names: Sequence[str],
 
 
 def enrich_partitioned(spark: SparkSession, src: str, lookup: DataFrame, dst: str,
-                       mode: str = "left", write_mode: str = "overwrite",
+                       mode: str = "left", write_mode: str | None = None,
                        schema: T.StructType | None = None,
                        days: Sequence[str] | None = None) -> DataFrame:
     """Attach ``tourist_estimate`` to a ``date=`` partitioned CSV dataset.
 
     ``date_str`` comes from the partition value; ``write_mode="dynamic"``
     replaces only the dates present in the input.  ``days`` restricts the
-    run to those partitions (pruned at listing time): with ``dynamic`` this
-    is an incremental run that reads and rewrites only the new dates.
+    run to those partitions (pruned at listing time) and is an incremental
+    run that reads and rewrites only these dates: ``dynamic`` is its default,
+    and ``overwrite``, which would erase all other days, is refused.
+    Without ``days`` the default is ``overwrite``.
     """
+    if days is not None and write_mode == "overwrite":
+        raise ValueError("days= with write_mode='overwrite' would erase the other days; use 'dynamic'")
+    write_mode = write_mode or ("overwrite" if days is None else "dynamic")
     df = read_partitioned(spark, src, schema)
     if days is not None:
         df = df.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]))
     df = df.withColumn("date_str", date_text("date"))
-    out = enrich(df, lookup, on="date_str", mode=mode)
-    write_by_date(out, dst, mode=write_mode)
+    dates = df.select("date", "date_str").distinct()  # partition values only
+    out = enrich(df, lookup, on="date_str", mode=mode, keys=dates)
+    write_by_date(out, dst, mode=write_mode, rebalance=False)  # the input is laid out by date already
     return out
 
 
 def inventory_remap(spark: SparkSession, root: str, src_prefix: str, dst_prefix: str) -> DataFrame:
     """Copy plan (key, dest_key, file_name) for the files below ``root``."""
     return remap_plan(list_objects(spark, root), src_prefix, dst_prefix)
+
+
+def dates_to_request(spark: SparkSession, *roots: str) -> DataFrame:
+    """Sorted dates named by the ``date=`` folders of several datasets: one estimate request each."""
+    keys = [dates_from_keys(list_objects(spark, r)) for r in roots]
+    return distinct_dates(*keys, col="date_str", ordered=True)

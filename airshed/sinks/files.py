@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_by_date(df: DataFrame, path: str, mode: str = "append", partition_col: str = "date",
-                  fmt: str = "csv", header: bool = True, max_records_per_file: int = 5_000_000) -> None:
+                  fmt: str = "csv", header: bool = True, max_records_per_file: int = 5_000_000,
+                  rebalance: bool = True) -> None:
     """Hive-style ``date=YYYY-MM-DD/`` layout.
 
     ``mode``: ``append`` (adds files), ``overwrite`` (replaces the whole
@@ -15,11 +16,12 @@ def write_by_date(df: DataFrame, path: str, mode: str = "append", partition_col:
     Rows are rebalanced on the partition column first: AQE keeps one task per
     date where dates are small and splits a hot date over several tasks
     instead of writing it from one, and ``maxRecordsPerFile`` caps file size.
+    ``rebalance=False`` skips that shuffle, for rows that come laid out by date.
     A NULL date lands in ``date=__HIVE_DEFAULT_PARTITION__`` and reads back NULL.
     """
     if mode not in ("append", "overwrite", "dynamic"):
         raise ValueError(f"unknown mode {mode!r}")
-    w = (df.hint("rebalance", partition_col).write.format(fmt)
+    w = ((df.hint("rebalance", partition_col) if rebalance else df).write.format(fmt)
          .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col))
     if fmt == "csv":
         w = w.option("header", header)

@@ -1,11 +1,14 @@
 """Keyed ledger (insert-or-replace) on plain files.
 
-No table format with MERGE is on the classpath, so the ledger is a series
-of immutable versions ``<path>/v=<n>/`` (Parquet).  An upsert reads the
-newest committed version, unions the batch, keeps the last row per key and
-writes version ``n+1``; readers always see a complete version.  The merge is
-idempotent, so redelivered batches (at-least-once sources) leave the ledger
-unchanged.  Single writer per ledger path.
+No table format with MERGE is on the classpath.  An upsert appends one
+version ``<path>/v=<n>/`` (Parquet) with the last row per key of its batch, so
+the bytes it writes depend on the batch alone; a reader takes, per key, the row
+of the newest committed version.  ``compact_ledger`` folds the versions into
+one and removes those it replaced; run it between batches when reading has
+become slow.  A version counts once Spark's ``_SUCCESS`` marker is there, so a
+write that broke off is unseen and its number is used again.  Replayed batches
+(at-least-once sources) append rows that win over their equals, which leaves
+the ledger as it is.  Single writer per ledger path.
 """
 
 from __future__ import annotations
@@ -14,10 +17,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed.operators.ledger import last_wins
 from airshed.schemas import LEDGER
 
+# A stored row: the ledger's columns, the key they are replaced by, the version.
+_STORED = T.StructType([*LEDGER.fields, T.StructField("_key", T.StringType()), T.StructField("_version", T.LongType())])
+_COLS = [f.name for f in LEDGER.fields]
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -25,25 +33,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of the versions that count: the newest folded one (``base=<n>``) and those after it."""
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
+    found = []
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+        kind, _, n = st.getPath().getName().partition("=")
+        if st.isDirectory() and kind in ("v", "base") and n.isdigit() \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found.append((int(n), kind, st.getPath().toString()))
+    base = max((n for n, kind, _ in found if kind == "base"), default=0)
+    return sorted((n, f) for n, kind, f in found if n > base or (kind == "base" and n == base))
+
+
+def _newest(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    rows = spark.read.schema(_STORED).parquet(*folders)
+    return last_wins(rows, ["_key"], ["_version"], [*_COLS, "_version"])
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Newest committed version (empty ledger when none)."""
-    vs = _versions(spark, path)
-    if not vs:
+    """The ledger's rows, one per key (empty when nothing was committed)."""
+    found = _versions(spark, path)
+    if not found:
         return spark.createDataFrame([], LEDGER)
-    return spark.read.parquet(f"{path.rstrip('/')}/v={vs[-1]:06d}")
+    return _newest(spark, [f for _, f in found]).select(*_COLS)
 
 
 def upsert_ledger(batch: DataFrame, path: str, keys: Sequence[str] = ("file_name", "timestamp"),
@@ -51,21 +66,31 @@ def upsert_ledger(batch: DataFrame, path: str, keys: Sequence[str] = ("file_name
     """Insert-or-replace ``batch`` rows by ``keys``; returns the new version number.
 
     The item key of the original store is not known; (file_name, timestamp)
-    is the default, ``("file_name",)`` keeps one row per file.
+    is the default, ``("file_name",)`` keeps one row per file.  Use the same
+    keys for all batches of one ledger.
 
     Existing rows rank before batch rows; within the batch the greatest
     ``order`` tuple wins.  Output columns follow the ledger schema.
     """
-    spark = batch.sparkSession
-    vs = _versions(spark, path)
-    cols = [f.name for f in LEDGER.fields]
-    order = [c for c in order if c not in cols or c in batch.columns]
-    extra = [c for c in order if c not in cols]
-    old = read_ledger(spark, path).select(*cols)
-    old = old.select(*cols, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in extra],
-                     F.lit(0).alias("_src"))
-    new = batch.select(*cols, *extra, F.lit(1).alias("_src"))
-    merged = last_wins(old.unionByName(new), keys, ["_src", *order], cols)
-    nxt = (vs[-1] + 1) if vs else 1
-    merged.select(*cols).write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={nxt:06d}")
-    return nxt
+    found = _versions(batch.sparkSession, path)
+    number = found[-1][0] + 1 if found else 1
+    order = [c for c in order if c in batch.columns] or list(keys)
+    key = F.to_json(F.struct(*[F.col(c) for c in keys]), {"ignoreNullFields": "false"})
+    rows = batch.select(*_COLS, *[c for c in order if c not in _COLS], key.alias("_key"))
+    last = last_wins(rows, ["_key"], order, _COLS)
+    last.select(*_COLS, "_key", F.lit(number).cast("long").alias("_version")) \
+        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={number:06d}")
+    return number
+
+
+def compact_ledger(spark: SparkSession, path: str) -> int:
+    """Fold all versions into one and remove the folders it replaces; returns how many these were."""
+    found = _versions(spark, path)
+    if len(found) < 2:
+        return 0
+    _newest(spark, [f for _, f in found]).select(*_COLS, "_key", "_version") \
+        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/base={found[-1][0]:06d}")
+    fs, _, jvm = _fs(spark, path)
+    for _, folder in found:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    return len(found)

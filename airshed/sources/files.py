@@ -10,16 +10,27 @@ from airshed.schemas import LOOKUP, RENAMES
 
 
 def read_raw(spark: SparkSession, base: str, schema: T.StructType | str | None = None,
-             depth: int = 2, infer: bool = False, encoding: str = "UTF-8") -> DataFrame:
+             depth: int = 2, infer: bool = False, encoding: str = "UTF-8",
+             corrupt_col: str | None = None) -> DataFrame:
     """Header CSV files ``depth`` folders below ``base`` (``depth=0``: ``base`` is the file/glob).
 
     An explicit schema is the default path; ``infer=True`` costs an extra pass
-    over the data and types ``time_date`` as timestamp.
+    over the data and types ``time_date`` as timestamp.  With a schema every
+    file's header must name its columns in this order, or reading fails; a
+    value that does not fit its type becomes NULL, and ``corrupt_col`` names a
+    column to keep the whole line of such a row.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     path = base.rstrip("/") + "/*" * depth if depth else base
     r = (spark.read.option("header", True).option("multiLine", False)
          .option("encoding", encoding).option("mode", "PERMISSIVE"))
     if schema is not None:
+        r = r.option("enforceSchema", False)
+        if corrupt_col:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+            # without pruning, so that a value no one selected is still checked
+            r = r.option("columnNameOfCorruptRecord", corrupt_col).option("columnPruning", False)
         r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
@@ -30,10 +41,10 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None
                      encoding: str = "UTF-8") -> DataFrame:
     """Header CSV below a ``date=YYYY-MM-DD/`` layout; ``date`` comes back from the folder names.
 
-    Without a schema every data column is text.  Filters on ``date`` prune
-    whole folders (PartitionFilters).
+    Without a schema every data column is text; with one, headers must match
+    it.  Filters on ``date`` prune whole folders (PartitionFilters).
     """
-    r = spark.read.option("header", True).option("encoding", encoding)
+    r = spark.read.option("header", True).option("encoding", encoding).option("enforceSchema", False)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path)

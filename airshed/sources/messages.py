@@ -33,35 +33,32 @@ def parse_notifications(df: DataFrame, value_col: str = "value", keep=()) -> Dat
     message without records contributes nothing, like ``.get(..., [])``).
     ``msg_pos``/``rec_pos`` keep arrival order within a message.
     Each level is parsed once, in permissive mode with a corrupt-record
-    column: a line or body that is not JSON, or not shaped like a
-    notification (where hand-written code would fail), is kept as one row
-    with ``malformed = true`` so the caller can dead-letter it instead of
-    losing it silently.
+    column.  Where hand-written code would fail, the row is kept with
+    ``malformed = true`` so the caller can dead-letter it: a line or body that
+    is not JSON or not shaped like a notification, a message record without
+    ``body``, a storage record without ``s3``, bucket name or key.  ``body``
+    is the raw text of every row (the whole line where there is no body), so
+    a dead letter can be sent again.
     """
     raw = F.col(value_col)
     msgs = df.select(*keep, raw.alias("_raw"),
                      F.from_json(raw, _with_corrupt(QUEUE_MESSAGE), _PERMISSIVE).alias("m"))
-    outer_bad = F.col("m." + _CORRUPT).isNotNull()
-    records = F.when(outer_bad, F.array(F.struct(F.col("_raw").alias("body")))) \
-               .otherwise(F.col("m.Records"))
-    bodies = msgs.select(*keep, outer_bad.alias("_outer_bad"),
-                         F.posexplode(records).alias("msg_pos", "rec"))
+    outer_bad = F.col("m." + _CORRUPT).isNotNull() | F.col("_raw").isNull()
+    no_body = F.lit(None).cast("string").alias("body")
+    records = F.when(outer_bad, F.array(F.struct(no_body))).otherwise(F.col("m.Records"))
+    bodies = msgs.select(*keep, "_raw", F.posexplode(records).alias("msg_pos", "rec"))
     parsed = bodies.select(
-        *keep, "msg_pos", F.col("rec.body").alias("body"), "_outer_bad",
+        *keep, "msg_pos", F.coalesce("rec.body", "_raw").alias("body"), F.col("rec.body").isNull().alias("_no_body"),
         F.from_json(F.col("rec.body"), _with_corrupt(NOTIFICATION_BODY), _PERMISSIVE).alias("b"))
-    malformed = F.col("_outer_bad") | F.col("b." + _CORRUPT).isNotNull()
-    parsed = parsed.select(*keep, "msg_pos", "body", malformed.alias("malformed"), "b")
+    malformed = F.col("_no_body") | F.col("b." + _CORRUPT).isNotNull()
+    parsed = parsed.select(*keep, "msg_pos", "body", malformed.alias("_bad"), "b")
     # A malformed body explodes into a single placeholder record, a good body
     # into its records (none when the array is missing/empty).
     rec_type = NOTIFICATION_BODY["Records"].dataType
-    inner = F.when(F.col("malformed"), F.array(F.lit(None).cast(rec_type.elementType))) \
+    inner = F.when(F.col("_bad"), F.array(F.lit(None).cast(rec_type.elementType))) \
              .otherwise(F.col("b.Records"))
-    out = parsed.select(*keep, "msg_pos", "body", "malformed",
-                        F.posexplode(inner).alias("rec_pos", "r"))
+    out = parsed.select(*keep, "msg_pos", "body", F.posexplode(inner).alias("rec_pos", "r"))
+    bucket, key = F.col("r.s3.bucket.name"), F.col("r.s3.object.key")
     return out.select(
-        *keep, "msg_pos", "rec_pos",
-        F.col("r.s3.bucket.name").alias("bucket"),
-        F.col("r.s3.object.key").alias("raw_key"),
-        F.col("r.eventTime").alias("event_time"),
-        "malformed",
-        F.when(F.col("malformed"), F.col("body")).alias("body"))
+        *keep, "msg_pos", "rec_pos", bucket.alias("bucket"), key.alias("raw_key"),
+        F.col("r.eventTime").alias("event_time"), (bucket.isNull() | key.isNull()).alias("malformed"), "body")

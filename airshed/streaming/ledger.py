@@ -26,6 +26,11 @@ from airshed.sources import parse_notifications
 DEFAULT_KEYS = ("file_name", "timestamp")
 
 
+def dead_letters_beside(ledger_path: str) -> str:
+    """Where dead letters go when no folder is named."""
+    return ledger_path.rstrip("/") + "-dead-letters"
+
+
 def write_dead_letters(dead: DataFrame, batch_id: int, path: str) -> None:
     """Dead letters, idempotent under replay when the source file is known.
 
@@ -49,8 +54,9 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
                          keys: Sequence[str] = DEFAULT_KEYS) -> None:
     """Apply one micro-batch (also usable on a static DataFrame of messages).
 
-    ``on_poison="route"``: poison files and malformed bodies go to the
-    dead-letter folder, the rest of the batch is applied.
+    ``on_poison="route"``: poison files and malformed records go to the
+    dead-letter folder (``<ledger>-dead-letters`` unless one is named), with
+    their raw text; the rest of the batch is applied.
     ``on_poison="fail"``: the batch fails before touching the ledger.
     """
     if on_poison not in ("route", "fail"):
@@ -64,8 +70,8 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
             hit = dead.select("key", "malformed").limit(1).collect()
             if hit:
                 raise RuntimeError(f"{POISON_MESSAGE}: {hit[0]['key'] or 'malformed body'}")
-        elif dead_letter_path:
-            write_dead_letters(dead, batch_id, dead_letter_path)
+        else:
+            write_dead_letters(dead, batch_id, dead_letter_path or dead_letters_beside(ledger_path))
         # A record without eventTime is stamped with its landing time (the
         # message file's modification time), which a replay reproduces;
         # "now" would add a new ledger row on every replay.

@@ -48,9 +48,34 @@ def test_cli_normalise_and_ledger(spark, tmpdir_path):
         with open(p, encoding="utf-8") as f:
             lines += f.read().splitlines()
     assert lines == GOLDEN
+    # Key and event time of the notification scenario.
     body = json.dumps({"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "pollution/data.csv"}},
                                     "eventTime": "2025-11-19T10:00:00Z"}]})
     write(f"{t}/queue/m.json", json.dumps({"Records": [{"body": body}]}) + "\n")
     main(["ledger", "--source", f"{t}/queue", "--ledger", f"{t}/ledger", "--checkpoint", f"{t}/ck"])
     assert [tuple(r) for r in read_ledger(spark, f"{t}/ledger").collect()] == \
         [("data.csv", "2025-11-19T10:00:00Z", 0)]
+
+
+def test_reports_dates_and_compaction(spark, tmpdir_path):
+    t = tmpdir_path
+    head = "time_date,location_name,measurement_pm10Atmo,measurement_pm25Atmo,measurement_pm100Atmo,tourist_estimate"
+    for day in (1, 2, 3):
+        rows = [f'2022-05-0{day} {h:02d}:00:00,"d, Iasi, Romania",{h},{h * day},1.5,100' for h in range(3)]
+        write(f"{t}/pollution/date=2022-05-0{day}/a.csv", "\n".join([head, *rows]) + "\n")
+        rows = [f'2022-05-0{day} {h:02d}:00:00,"d, Iasi, Romania",{h + day * day},0.{h}' for h in range(3)]
+        write(f"{t}/weather/date=2022-05-0{day}/a.csv",
+              "\n".join(["time_date,location_name,weather_windSpeed,weather_precipitation", *rows]) + "\n")
+    read = lambda p: spark.read.option("header", True).csv(p).collect()
+    src = ["--source", f"{t}/pollution"]
+    main(["per-city", *src, "--target", f"{t}/city", "--day", "2022-05-02"])
+    assert [(r.day, r.city, float(r.pollution_total_visitor_pm25)) for r in read(f"{t}/city")] == [("2022-05-02", "d, Iasi, Romania", 600.0)]
+    main(["per-country", *src, "--target", f"{t}/country"])
+    assert sorted((r.day, r.country) for r in read(f"{t}/country")) == [(f"2022-05-0{d}", "Romania") for d in (1, 2, 3)]
+    main(["top-days", *src, "--target", f"{t}/top", "--city", "d, Iasi, Romania", "--k", "2"])
+    assert sorted(r.day for r in read(f"{t}/top")) == ["2022-05-02", "2022-05-03"]
+    main(["correlation", *src, "--weather", f"{t}/weather", "--target", f"{t}/corr", "--city", "d, Iasi, Romania"])
+    assert len(read(f"{t}/corr")) == 1
+    main(["dates", "--root", f"{t}/pollution", "--root", f"{t}/weather", "--target", f"{t}/dates"])
+    assert sorted(r.date_str for r in read(f"{t}/dates")) == ["2022-05-01", "2022-05-02", "2022-05-03"]
+    assert main(["compact", "--ledger", f"{t}/none"]) == {"folded": 0}

@@ -63,7 +63,7 @@ def test_build_lookup_case_insensitive_and_error_mode(spark):
     got = {r.date_str: r.tourist_estimate
            for r in build_lookup(responses(spark), ["iasi"], case_sensitive=False).collect()}
     assert got["2022-04-01"] == 999 and got["2022-04-02"] == 50
-    with pytest.raises(RuntimeError, match="No 'iasi' entry found"):
+    with pytest.raises(RuntimeError, match="'iasi' is not listed"):
         build_lookup(responses(spark), ["iasi"], case_sensitive=False, on_missing="error")
 
 
@@ -102,3 +102,37 @@ def test_clear_scratch_removes_materialised_sides(spark):
     assert n == 5 and side.count() == 5
     assert clear_scratch(spark)
     assert not clear_scratch(spark)
+
+
+def one(date, value):
+    return date, json.dumps({"info": [{"name": "Iasi", "estimated_no_people": value}]})
+
+
+def test_lookup_has_one_row_per_date_or_fails(spark):
+    rows = [(*one("2024-01-05", 7), 1), (*one("2024-1-5", 12.7), 2), (*one("2024-01-06", "junk"), 1), (*one("bad", 3), 1), (*one(None, 3), 1),
+            ("2024-01-07", json.dumps({"info": []}), 1)]
+    df = spark.createDataFrame(rows, "date_str string, response string, seq int")
+    got = {r.date_str: r.tourist_estimate for r in build_lookup(df, ["Iasi"], order_col="seq").collect()}
+    assert got == {"2024-01-05": 12, "2024-01-06": None, "2024-01-07": None}
+    assert {r.date_str: r.tourist_estimate for r in build_lookup(df, ["Iasi"]).collect()}["2024-01-05"] == 12
+    from airshed.operators import lookup_problems
+    assert lookup_problems(df, ["Iasi"]).first().asDict() == {
+        "responses": 6, "bad_dates": 2, "city_missing": 1, "bad_estimates": 1, "repeated_dates": 1}
+    for bad, what in (("date_str = '2024-01-06'", "no number"), ("date_str = 'bad'", "calendar date"), ("date_str is null", "calendar date"),
+                      ("date_str = '2024-01-07'", "not listed")):
+        with pytest.raises(RuntimeError, match=what):
+            build_lookup(df.filter(bad), ["Iasi"], on_missing="error")
+
+
+def test_lookup_with_repeated_keys_is_refused(spark):
+    df = spark.createDataFrame([("2022-04-01",)], "date_str string")
+    with pytest.raises(ValueError, match="several rows"):
+        enrich(df, lookup_from_rows(spark, [("2022-04-01", 1), ("2022-04-01", 2)]))
+
+
+def test_lookup_by_status_shuffles_no_rows_to_one_task(spark):
+    req = spark.range(50).selectExpr("id as rid", "'x' as city")
+    svc = spark.range(50).selectExpr("id as rid", "1.0D as temperature")
+    df = lookup_with_status(req, svc, on="rid")
+    assert df.count() == 50
+    assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()

@@ -124,21 +124,20 @@ def test_distinct_rows_by_key_set_equals_separate_distincts(spark):
     assert got == exp == {"all": 4, "pm25": 3, "pm100": 4}
 
 
-def test_sql_over_registered_view_matches_dataframe_api(spark):
+def test_sql_over_registered_view_agrees_with_the_api(spark):
+    """SQL of its own over the view: the peak of each country and how pm10 and pm25 go together."""
     from airshed.plans.views import register_views
-    rows = [("2022-05-02 01:00:00", "d1, Iasi, Romania", None, 10.0, 11.0, 100),
-            ("2022-05-02 02:00:00", "d1, Iasi, Romania", None, 10.0, 11.0, 100),
-            ("2022-05-02 03:00:00", "d2, Cluj, Romania", 2.0, 5.0, 1.0, 100),
-            ("2022-05-03 03:00:00", "d2, Cluj, Romania", 2.0, 5.0, 1.0, None)]
-    register_views(spark, pollution_enriched=frame(spark, rows))
-    sql = spark.sql("""
-        WITH b AS (SELECT DISTINCT date(substr(time_date, 1, 10)) AS day, location_name AS city,
-                          measurement_pm10Atmo AS m10, measurement_pm25Atmo AS m25,
-                          measurement_pm100Atmo AS m100, tourist_estimate AS w
-                   FROM pollution_enriched)
-        SELECT day, city, SUM(COALESCE(m10, 0) * w) AS pollution_total_visitor_pm10,
-               SUM(COALESCE(m25, 0) * w) AS pollution_total_visitor_pm25,
-               SUM(COALESCE(m100, 0) * w) AS pollution_total_visitor_pm100
-        FROM b WHERE day = DATE '2022-05-02' GROUP BY day, city ORDER BY city""")
-    api = exposure_per_city(frame(spark, rows), day="2022-05-02")
-    assert [tuple(r) for r in sql.collect()] == [tuple(r) for r in api.collect()]
+    rows = [("2022-05-02 01:00:00", "d1, Iasi, Romania", 4.0, 10.0, 11.0, 100),
+            ("2022-05-02 02:00:00", "d2, Cluj, Romania", 3.0, 9.0, 12.0, 100),
+            ("2022-05-02 03:00:00", "d3, Nis, Serbia", 2.0, 5.0, 1.0, 50),
+            ("2022-05-03 03:00:00", "d3, Nis, Serbia", 9.0, 5.5, 1.0, 50)]
+    df = frame(spark, rows)
+    register_views(spark, readings_seen=df)
+    peaks = spark.sql("""
+        SELECT trim(element_at(split(location_name, ','), -1)) AS country, date(substr(time_date, 1, 10)) AS day,
+               max(measurement_pm25Atmo) AS peak, corr(measurement_pm10Atmo, measurement_pm25Atmo) AS together
+        FROM readings_seen WHERE date(substr(time_date, 1, 10)) = DATE '2022-05-02' GROUP BY ALL ORDER BY country""").collect()
+    assert [(r.country, r.peak) for r in peaks] == [("Romania", 10.0), ("Serbia", 5.0)]
+    assert peaks[0].together == pytest.approx(1.0)
+    days = {r.country for r in exposure_per_country(df, day="2022-05-02").collect()}
+    assert days == {r.country for r in peaks}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airshed.functions import (
-    country_of, date_from_path, day_of, decode_key, encode_city, event_time_or, file_name,
+    country_of, date_from_path, day_of, decode_key, encode_city, estimate_int, event_time_or, file_name,
     first_non_empty, graft, iso_text, ms_to_kmh, name_matches, nano_date, remap_prefix,
     strip_slash, valid_date,
 )
@@ -29,6 +29,19 @@ def test_decode_key(spark):
 
 def test_encode_city(spark):
     assert one_col(spark, ["  Novi Sad "], encode_city) == ["Novi+Sad"]
+    # letters, digits and -._~ stay as they are; everything else is escaped
+    assert one_col(spark, ["a~b*c", "x-y_z.1", "+ &=ș%"], encode_city) == ["a~b%2Ac", "x-y_z.1", "%2B+%26%3D%C8%99%25"]
+
+
+def test_nano_date_just_before_midnight(spark):
+    midnight = 1648771200000000000
+    vals = [midnight, midnight - 1, midnight - 100, midnight - 128, -1, -86400 * 10**9, -86400 * 10**9 - 1]
+    assert one_col(spark, vals, nano_date, "bigint") == \
+        [dt.date(2022, 4, 1), *[dt.date(2022, 3, 31)] * 3, dt.date(1969, 12, 31), dt.date(1969, 12, 31), dt.date(1969, 12, 30)]
+
+
+def test_estimate_int_cuts_fractions(spark):
+    assert one_col(spark, ["12.7", "-3.9", "1200", "junk", None], lambda c: F.coalesce(estimate_int(c), F.lit(-1))) == [12, -3, 1200, -1, -1]
 
 
 def test_file_name(spark):
@@ -77,7 +90,7 @@ def test_day_of_strict_and_tolerant(spark):
 def test_valid_date(spark):
     assert one_col(spark, ["2022-4-1", "2022-04-30"], valid_date) == ["2022-04-01", "2022-04-30"]
     assert one_col(spark, ["x"], lambda c: valid_date(c, strict=False)) == [None]
-    with pytest.raises(Exception, match="YYYY-MM-DD"):
+    with pytest.raises(Exception, match="calendar date"):
         spark.createDataFrame([("2022-13-45",)], "c string").select(valid_date("c")).collect()
 
 

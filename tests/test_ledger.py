@@ -157,3 +157,41 @@ def test_wrongly_shaped_bodies_and_lines_are_dead_lettered(spark):
     assert [r.file_name for r in good.collect()] == ["ok.csv"]
     assert sorted(r.body for r in dead.collect()) == sorted(
         [json.dumps({"Records": 5}), "[1, 2]", "not json at all"])
+
+
+def test_records_that_lack_a_field_are_dead_letters_with_their_text(spark, tmpdir_path):
+    no_key = {"s3": {"bucket": {"name": "b"}, "object": {}}, "eventTime": "t"}
+    no_bucket = {"s3": {"bucket": {}, "object": {"key": "weather/x.csv"}}}
+    msgs = [message(no_key), message(no_bucket), message({"eventTime": "t"}), json.dumps({"Records": [{}]}), json.dumps({"Records": [None]}),
+            message(rec("pollution/dlq-test.txt")), message(rec("weather/ok.csv")), message(rec("other/y.csv"))]
+    good, dead = split_poison(notices(spark, msgs))
+    assert [r.file_name for r in good.collect()] == ["ok.csv"]
+    bodies = [json.loads(m)["Records"][0] for m in msgs[:6]]
+    raw = [b["body"] if b and "body" in b else m for b, m in zip(bodies, msgs)]
+    assert sorted(r.body for r in dead.collect()) == sorted(raw)
+    from airshed.operators import account
+    assert {r.outcome: r.n for r in account(parse_notifications(messages_df(spark, msgs))).collect()} == \
+        {"dead": 6, "ledger": 1, "ignored": 1}
+    # without a named folder dead letters go beside the ledger
+    path = os.path.join(tmpdir_path, "ledger")
+    process_notice_batch(messages_df(spark, msgs), 0, path)
+    assert spark.read.json(path + "-dead-letters").count() == 6 and read_ledger(spark, path).count() == 1
+    with pytest.raises(RuntimeError):
+        process_notice_batch(messages_df(spark, msgs[:1]), 0, path, on_poison="fail")
+
+
+def test_bytes_per_batch_do_not_grow_with_the_ledger(spark, tmpdir_path):
+    from airshed.sinks import compact_ledger
+    path, sizes = os.path.join(tmpdir_path, "ledger"), []
+    for n in range(6):
+        b = spark.range(n * 200, n * 200 + 200).selectExpr("concat('f', id % 700) as file_name", f"'t{n}' as timestamp", "0 as status")
+        version = upsert_ledger(b, path, keys=("file_name",))
+        folder = os.path.join(path, f"v={version:06d}")
+        sizes.append(sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".parquet")))
+    assert max(sizes) < 1.5 * min(sizes)
+    before = sorted(tuple(r) for r in read_ledger(spark, path).collect())
+    assert len(before) == 700 and dict((r[0], r[1]) for r in before)["f0"] == "t3"
+    assert compact_ledger(spark, path) == 6 and compact_ledger(spark, path) == 0
+    assert sorted(tuple(r) for r in read_ledger(spark, path).collect()) == before
+    assert upsert_ledger(spark.createDataFrame([("f0", "t9", 0)], "file_name string, timestamp string, status int"), path, ("file_name",)) == 7
+    assert dict((r.file_name, r.timestamp) for r in read_ledger(spark, path).collect())["f0"] == "t9"
