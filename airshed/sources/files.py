@@ -29,12 +29,17 @@ def read_raw(spark: SparkSession, base: str, schema: T.StructType | str | None =
         r = r.option("enforceSchema", False)
         if corrupt_col:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
-            # without pruning, so that a value no one selected is still checked
-            r = r.option("columnNameOfCorruptRecord", corrupt_col).option("columnPruning", False)
+            r = r.option("columnNameOfCorruptRecord", corrupt_col)
         r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
-    return r.csv(path)
+    df = r.csv(path)
+    if schema is None or not corrupt_col:
+        return df
+    # The scan checks only the columns it is asked for: no characters of all of them, added to the
+    # line, keep every column in the plan wherever the line is used.
+    nothing = F.substring(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns if c != corrupt_col]), 1, 0)
+    return df.withColumn(corrupt_col, F.concat(F.col(f"`{corrupt_col}`"), nothing))
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None,
