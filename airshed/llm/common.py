@@ -1,4 +1,6 @@
-"""Helpers shared by the corpus operators: table access, stored intermediates, word splitting.
+"""Helpers shared by the corpus operators: table access and stored intermediates.
+
+Words by the rule ``[^\\x20\\x09-\\x0D]+`` are taken by ``bytes.split()``, which cuts at the same six bytes.
 
 ``stored`` cuts lineage with a Parquet table below ``spark.checkpoint.dir`` (a folder that the
 driver and every executor share), so the loss of an executor costs one re-read, never a recompute
@@ -15,7 +17,6 @@ from pyspark.sql import functions as F
 
 from airshed.session import scratch_path
 
-#: White space of the word rule ``[^\x20\x09-\x0D]+``; the same six bytes at which bytes.split() cuts.
 LONG_MAX = (1 << 63) - 1
 
 

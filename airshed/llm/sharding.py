@@ -41,21 +41,28 @@ ROUNDS = 3
 KEY = ("k1", "k2", "k3")
 
 
-def draw(keyed: DataFrame, share: Column, round_no: int) -> list[tuple[int, int, int]]:
-    """Sorted keys of the records whose hash, as a number from 0 to 1, is under ``share``."""
+def draw(keyed: DataFrame, share: Column, round_no: int) -> list[tuple[tuple[int, int, int], float]]:
+    """Sorted keys of the records whose hash, as a number from 0 to 1, is under ``share``, with the
+    weight of each: 1, or the share itself where that is more than a certainty."""
     chance = F.pmod(F.xxhash64(*KEY, F.lit(round_no)), F.lit(1 << 30)) / float(1 << 30)
-    return sorted(tuple(r) for r in keyed.filter(chance < share).select(*KEY).collect())
-
-
-def quantiles(keys: list[tuple[int, int, int]], ranges: int) -> list[tuple[int, int, int]]:
-    """At most ranges - 1 splitters; a group of equal texts (k1) is cut only if two of them fall in it."""
-    cuts = sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
+    found = keyed.filter(chance < share).select(*KEY, F.greatest(share, F.lit(1.0)).alias("w")).collect()
+    return sorted((tuple(r[:3]), r.w) for r in found)
+
+
+def quantiles(drawn: list[tuple[tuple[int, int, int], float]], ranges: int) -> list[tuple[int, int, int]]:
+    """At most ranges - 1 splitters at equal weights; a group of equal texts (k1) is cut only if two
+    of them fall in it."""
+    total, run, cuts = sum(w for _, w in drawn), 0.0, []
+    for key, w in drawn:
+        if int(run * ranges / total) < int((run + w) * ranges / total) and key != drawn[0][0]:
+            cuts.append(key)
+        run += w
     low = -(1 << 63)
-    out = []
+    out = set()
     for i, c in enumerate(cuts):
         alone = (i == 0 or cuts[i - 1][0] != c[0]) and (i + 1 == len(cuts) or cuts[i + 1][0] != c[0])
-        out.append((c[0], low, low) if alone else c)
-    return sorted(set(out))
+        out.add((c[0], low, low) if alone else c)
+    return sorted(out)
 
 
 def range_of(splitters: list[tuple[int, int, int]]) -> Column:
@@ -113,7 +120,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
         if not full:
             break
         more = draw(placed.filter(F.col("range").isin(full)), weight * ranges * DRAWS_PER_RANGE * OVERFULL, round_no)
-        splitters = sorted({*splitters, *more[::DRAWS_PER_RANGE]})
+        splitters = sorted({*splitters, *(key for key, _ in more[::DRAWS_PER_RANGE])})
     placed = stored(keyed.withColumn("range", range_of(splitters)), "ranges")
     counts = {r.range: (r.n, r.b) for r in placed.groupBy("range")
               .agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()}
