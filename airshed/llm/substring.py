@@ -31,6 +31,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,10 +43,10 @@ from airshed.llm.common import LONG_MAX, ship_by_value, stored, table, utf8
 ship_by_value(__name__)
 
 SPAN = 50
-SHARD_SEGMENTS = 1500
+SHARD_SEGMENTS = 500
 RUN = 64                 # windows of a segment at most
 SLICE_BYTES = 2_000_000  # text whose words a task holds as objects at a time
-WORD_CACHE = 500_000
+WORD_CACHE = 300_000
 WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
 
 
@@ -59,7 +60,7 @@ class WordHashes(dict):
 
 def anchors(words: np.ndarray, span: int) -> np.ndarray:
     """The anchor of the window at each word of a sequence of word hashes."""
-    gram = max(1, span // 3)
+    gram = max(1, span // 5)
     odd = 0x9E3779B97F4A7C15
     grams, width = words, 1
     while width < gram:  # hash of ``width`` words from here, doubled or extended to ``gram``
@@ -152,8 +153,8 @@ def segment_texts(found: DataFrame, span: int) -> DataFrame:
 
 
 def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
-    """(h, seg, least, owners): for distinct segments (h, seg, least id) the smallest owner of each
-    window; null owners where the shard is too large."""
+    """(h, seg, owners): for distinct segments (h, seg, least id), by shard ``h``, the smallest owner
+    of each window."""
     def solve(group: list[tuple[bytes, int]]) -> list[list[int]]:
         if len(group) == 1:
             seg, least = group[0]
@@ -166,41 +167,39 @@ def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
         return [automaton.owners(words, span) for words in texts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(h: int, group: list[tuple[bytes, int]], owners: list) -> pa.RecordBatch:
+        def out(solved: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([h] * len(group), pa.int64()), pa.array([g[0] for g in group], pa.binary()),
-                 pa.array([g[1] for g in group], pa.int64()), pa.array(owners, pa.list_(pa.int64()))],
-                ["h", "seg", "least", "owners"])
+                [pa.array([h for h, g, _ in solved for _ in g], pa.int64()),
+                 pa.array([s for _, g, _ in solved for s, _ in g], pa.binary()),
+                 pa.array([o for _, _, os in solved for o in os], pa.list_(pa.int64()))], ["h", "seg", "owners"])
 
-        h, group, large, ready = None, [], False, []
+        h, group, solved = None, [], []
         for b in batches:
             for key, seg, least in zip(*(c.to_pylist() for c in b.columns)):
                 if key != h:
                     if group:
-                        ready.append((h, group, [None] * len(group) if large else solve(group)))
-                    h, group, large = key, [], False
+                        solved.append((h, group, solve(group)))
+                    h, group = key, []
                 group.append((seg, least))
-                if len(group) > SHARD_SEGMENTS:  # passed on as they come
-                    yield out(h, group, [None] * len(group))
-                    group, large = [], True
-                if len(ready) >= 2000:
-                    yield joined(ready)
-                    ready = []
+                if len(solved) >= 2000:
+                    yield out(solved)
+                    solved = []
         if group:
-            ready.append((h, group, [None] * len(group) if large else solve(group)))
-        if ready:
-            yield joined(ready)
-
-    def joined(ready: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([h for h, g, _ in ready for _ in g], pa.int64()),
-             pa.array([s for _, g, _ in ready for s, _ in g], pa.binary()),
-             pa.array([x for _, g, _ in ready for _, x in g], pa.int64()),
-             pa.array([o for _, _, os in ready for o in os], pa.list_(pa.int64()))],
-            ["h", "seg", "least", "owners"])
+            solved.append((h, group, solve(group)))
+        yield out(solved)
 
     return segs.select("h", "seg", "least").repartition(F.col("h")).sortWithinPartitions("h", "least", "seg") \
-        .mapInArrow(run, "h long, seg binary, least long, owners array<long>")
+        .mapInArrow(run, "h long, seg binary, owners array<long>")
+
+
+def owners_by_window(segs: DataFrame, span: int) -> DataFrame:
+    """The same as ``owners_by_shard``, each window being a shard of its own."""
+    single = segs.select("h", "seg", "least", F.split(F.col("seg").cast("string"), " ").alias("w")) \
+        .select("h", "seg", "least", "w", F.explode(F.sequence(F.lit(0), F.size("w") - span)).alias("i")) \
+        .select("h", "seg", "least", "i", F.concat_ws(" ", F.slice("w", F.col("i") + 1, span)).alias("win"))
+    least = single.groupBy("win").agg(F.min("least").alias("owner"))
+    return single.join(least, "win").groupBy("h", "seg") \
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners"))
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
@@ -214,18 +213,11 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[Dat
     found = texts.join(regions.hint("shuffle_hash"), ["id", "text_hash"])
     places = stored(segment_texts(found, span), "segments")
     distinct = places.groupBy("h", "seg").agg(F.min("id").alias("least"))
-    solved = stored(owners_by_shard(distinct, span), "owners")
-    named = lambda df: df.select("h", F.xxhash64("seg").alias("d1"),
-                                 F.xxhash64("seg", F.lit(1)).alias("d2"), "owners")
-    # shards that were too large: each window is a shard of its own
-    words = F.split(F.col("seg").cast("string"), " ")
-    single = solved.filter("owners is null").select("h", "seg", "least", words.alias("w")) \
-        .select("h", "seg", "least", "w", F.explode(F.sequence(F.lit(0), F.size("w") - span)).alias("i")) \
-        .select("h", "seg", "least", "i", F.concat_ws(" ", F.slice("w", F.col("i") + 1, span)).alias("win"))
-    least = single.groupBy("win").agg(F.min("least").alias("owner"))
-    broken = single.join(least, "win").groupBy("h", "seg") \
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners"))
-    owners = named(solved.filter("owners is not null")).unionByName(named(broken))
+    large = stored(places.select("h", "d1", "d2").distinct().groupBy("h").count()
+                   .filter(F.col("count") > SHARD_SEGMENTS).select("h"), "large-shards")
+    owners = stored(owners_by_shard(distinct.join(large, "h", "left_anti"), span)
+                    .unionByName(owners_by_window(distinct.join(large, "h", "left_semi"), span))
+                    .select("h", F.xxhash64("seg").alias("d1"), F.xxhash64("seg", F.lit(1)).alias("d2"), "owners"), "owners")
     hit = places.select("id", "text_hash", "start", "h", "d1", "d2").join(owners, ["h", "d1", "d2"]) \
         .filter(F.array_min("owners") < F.col("id")) \
         .select("id", "text_hash", F.filter(
@@ -284,8 +276,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = found.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at"))
 
     @F.pandas_udf("string")
-    def cut(texts, starts):
-        import pandas as pd
+    def cut(texts: pd.Series, starts: pd.Series) -> pd.Series:
         return pd.Series([t if at is None or not len(at) else cut_text(t.encode(), at, span).decode()
                           for t, at in zip(texts, starts)], dtype=object)
 
