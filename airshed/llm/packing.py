@@ -38,7 +38,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 20_000   # pieces that one task packs together
 RELEASED_BINS = 64      # emptiest bins of a group that are packed anew with other groups'
-WORD_CACHE = 600_000    # chunks whose ids a task remembers; it forgets all beyond that
+WORD_CACHE = 350_000    # chunks whose ids a task remembers; it forgets all beyond that
 
 
 def vocabulary_path() -> str:
