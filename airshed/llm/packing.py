@@ -2,11 +2,11 @@
 
 Every document becomes token ids and an end id; one longer than a sequence is cut into pieces.
 The pieces are dealt at random over groups of about ``GROUP_PIECES`` and each group is packed by
-best fit in decreasing length, then improved by local search: a document of the emptiest bin moves
-into another bin's room, or is exchanged for a shorter one, or for two that are shorter together,
-or two of it for one longer than neither together.  Each step takes tokens from an emptier bin to a
-fuller one, so the sum of squared fills rises until a bin is empty or no step is left.  The emptiest
-bins of each group are then released and packed anew together, until one group is left, so that
+best fit in decreasing length, then improved by local search: a document moves into another bin's
+room, or is exchanged for a shorter one, or for two that are shorter together, or two for one
+shorter than both together.  Any two bins may do so if it raises the sum of squared fills, until no
+two have such a step.  The emptiest bins of each group are then released and packed anew together,
+until one group is left, so that
 the number of groups leaves no trace but its hardest bins.
 
 Only lengths travel: ids are reduced to a CRC-32 where they are made.  Groups are bounded by the
@@ -18,6 +18,7 @@ packed each; null doc_id stays null; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
+import heapq
 import re
 import sys
 import zlib
@@ -153,92 +154,201 @@ def best_fit(lengths: np.ndarray, room: int) -> np.ndarray:
     return bins
 
 
+class Offers:
+    """What can be taken out of the open bins (those neither empty nor full) in one step: nothing, a
+    piece or two; one entry of each size and bin.
+
+    A step gives g tokens of bin e and takes t < g of bin b.  Let ``after`` be b's room without the t.
+    The step fits if g <= after, and raises the sum of squared fills if b ends up fuller than e was,
+    that is, if after - g < room of e.  So e's best partner is a minimum over a window of ``after``, and
+    b's one a maximum over a window of g: both need one pass over the entries, whatever their number.
+    Entries of changed bins are struck out (``after`` = -1) and written anew at the end."""
+
+    def __init__(self, room: int):
+        self.room, self.used, self.live = room, 0, 0
+        self.size, self.after, self.bin = (np.full(1024, -1, np.int32) for _ in range(3))
+        self.place: dict[int, tuple[int, int]] = {}
+
+    def put(self, b: int, sizes: np.ndarray, free: int) -> None:
+        """Replace b's entries."""
+        if b in self.place:
+            at, end = self.place.pop(b)
+            self.after[at:end] = -1
+            self.live -= end - at
+        if not len(sizes):
+            return
+        if self.used + len(sizes) > len(self.size):
+            self.pack(len(sizes))
+        at, end = self.used, self.used + len(sizes)
+        self.size[at:end], self.after[at:end], self.bin[at:end] = sizes, sizes + free, b
+        self.place[b] = at, end
+        self.used, self.live = end, self.live + len(sizes)
+
+    def pack(self, more: int) -> None:
+        """Drop what is struck out, and make room."""
+        kept = np.flatnonzero(self.after[:self.used] >= 0)
+        size = 2 * (len(kept) + more) + 1024
+        for name in ("size", "after", "bin"):
+            column = np.full(size, -1, np.int32)
+            column[:len(kept)] = getattr(self, name)[kept]
+            setattr(self, name, column)
+        self.used, self.place = len(kept), {}
+        bins = self.bin[:self.used]
+        starts = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(kept) else kept
+        for at, end in zip(starts.tolist(), [*starts[1:].tolist(), self.used]):
+            self.place[int(bins[at])] = at, end
+
+    def of(self, b: int) -> np.ndarray:
+        at, end = self.place.get(b, (0, 0))
+        return self.size[at:end]
+
+    def taken(self, free: int, gives: np.ndarray, e: int) -> tuple[int, int, int] | None:
+        """(g, t, b): the step of the most tokens out of bin e that gives one of ``gives``."""
+        size, after = self.size[:self.used], self.after[:self.used]
+        hidden = self.place.get(e, (0, 0))
+        kept = after[hidden[0]:hidden[1]].copy()
+        after[hidden[0]:hidden[1]] = -1
+        least = np.full(self.room + 2, self.room + 1, np.int32)  # the smallest t of each after; -1 is last
+        np.minimum.at(least, after, size)
+        best = sliding(least[:-1], free, np.minimum)[gives]
+        gain = gives - best
+        k = int(np.argmax(gain))
+        found = None
+        if gain[k] > 0:
+            g, t = int(gives[k]), int(best[k])
+            at = np.flatnonzero((size == t) & (after >= g) & (after < g + free))
+            found = g, t, int(self.bin[at[np.argmin(after[at])]])
+        after[hidden[0]:hidden[1]] = kept
+        return found
+
+    def given(self, free: int, takes: np.ndarray, b: int) -> tuple[int, int, int] | None:
+        """(g, t, e): the step of the most tokens into bin b that takes one of ``takes``."""
+        size, after = self.size[:self.used], self.after[:self.used]
+        hidden = self.place.get(b, (0, 0))
+        kept = after[hidden[0]:hidden[1]].copy()
+        after[hidden[0]:hidden[1]] = -1
+        most = np.full(self.room + free + 2, -1, np.int32)  # the largest g + room of e, of each g
+        np.maximum.at(most, size, after)
+        wins = sliding(most, free, np.maximum)[takes + 1] > takes + free
+        found = None
+        if wins.any():
+            best = 0
+            for t in takes[wins].tolist():
+                at = np.flatnonzero((size > t) & (size <= t + free) & (after > t + free))
+                k = at[np.argmax(size[at])]
+                if size[k] - t > best:
+                    best, found = int(size[k]) - t, (int(size[k]), t, int(self.bin[k]))
+        after[hidden[0]:hidden[1]] = kept
+        return found
+
+
+def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over each place and the ``width`` - 1 after it, as far as there are."""
+    out, w = values.copy(), 1
+    while w < width:
+        step = min(w, width - w)
+        out[:-step] = pick(out[:-step], out[step:])
+        w += step
+    return out
+
+
 def improve(lengths: np.ndarray, bins: np.ndarray, room: int) -> np.ndarray:
-    """Empty bins by moves and exchanges that raise the sum of squared fills; bins of each piece."""
+    """Empty bins by moves and exchanges that raise the sum of squared fills, until no two bins have
+    one; bins of each piece.
+
+    A step is a move of a piece, or an exchange of one for one, one for two or two for one, between any
+    two bins.  Emptier bins give first.  A bin that changed gives and receives anew, so that at the end
+    every two bins were compared as they are; the order of steps bounds nothing."""
     bins = bins.copy()
     fill = np.bincount(bins, lengths, minlength=int(bins.max(initial=-1)) + 1).astype(np.int64)
-    least = -(-int(lengths.sum()) // room)
     members: dict[int, list[int]] = {}
     for i, b in enumerate(bins.tolist()):
         members.setdefault(b, []).append(i)
-
-    def put(i: int, b: int) -> None:
-        old = int(bins[i])
-        members[old].remove(i)
-        members.setdefault(b, []).append(i)
-        fill[old] -= lengths[i]
-        fill[b] += lengths[i]
-        bins[i] = b
-
-    def pairs() -> tuple[np.ndarray, np.ndarray]:
-        """Both pieces of every two in one bin with room; a bin's few pieces bound their number."""
-        a, b = [], []
-        for k, m in members.items():
-            if 2 <= len(m) <= 24 and fill[k] < room:
-                for x in range(len(m) - 1):
-                    a.extend([m[x]] * (len(m) - 1 - x))
-                    b.extend(m[x + 1:])
-        return np.array(a, np.int64), np.array(b, np.int64)
-
-    def step(e: int) -> bool:
-        """One step out of bin e; True if there was one."""
-        own = sorted(members[e], key=lambda i: -lengths[i])
-        free = room - fill
-        free[e] = 0
-        free[fill <= fill[e]] = 0  # tokens go to fuller bins only (ties: not at all)
-        for x in own:  # move
-            fit = np.flatnonzero((free >= lengths[x]) & (fill > 0))
-            if len(fit):
-                put(x, int(fit[np.argmin(free[fit])]))
-                return True
-        spare = free[bins]
-        best, choice = 0, None
-        for x in own:  # one for one
-            gain = lengths[x] - lengths
-            gain = np.where((gain > 0) & (gain <= spare), gain, 0)
-            y = int(np.argmax(gain))
-            if gain[y] > best:
-                best, choice = int(gain[y]), ([x], [y])
-        if choice is None:
-            first, second = pairs()
-            if len(first):  # one for two
-                both, slack = lengths[first] + lengths[second], free[bins[first]]
-                for x in own:
-                    gain = lengths[x] - both
-                    gain = np.where((gain > 0) & (gain <= slack), gain, 0)
-                    k = int(np.argmax(gain))
-                    if gain[k] > best:
-                        best, choice = int(gain[k]), ([x], [int(first[k]), int(second[k])])
-            for n, x in enumerate(own[:24]):  # two for one
-                for z in own[n + 1:24]:
-                    gain = lengths[x] + lengths[z] - lengths
-                    gain = np.where((gain > 0) & (gain <= spare), gain, 0)
-                    y = int(np.argmax(gain))
-                    if gain[y] > best:
-                        best, choice = int(gain[y]), ([x, z], [y])
-        if choice is None:
-            return False
-        give, take = choice
-        other = int(bins[take[0]])
-        for i in take:
-            put(i, e)
-        for i in give:
-            put(i, other)
-        return True
-
-    done: set[int] = set()  # bins that no step leaves, as all stood then
-    while int((fill > 0).sum()) > least:
-        open_bins = [int(b) for b in np.flatnonzero((fill > 0) & (fill < room)) if int(b) not in done]
-        if not open_bins:
-            break
-        e = min(open_bins, key=lambda b: fill[b])
-        moved = False
-        while fill[e] > 0 and step(e):
-            moved = True
-        if fill[e] > 0:
-            done.add(e)
-            if not moved and len(done) >= 8:  # the emptiest are stuck: fuller ones have less to give
-                break
+    length = lengths.tolist()
+    none, ones, twos = (Offers(room) for _ in range(3))
+    nothing = np.zeros(1, np.int64)
+
+    def offer(b: int) -> None:
+        """Enter what bin b has: of equal lengths one, of equal sums of two one."""
+        own = np.sort(lengths[members[b]])
+        free = room - int(fill[b])
+        if not len(own) or not free:
+            for o in (none, ones, twos):
+                o.put(b, own[:0], 0)
+            return
+        single = np.unique(own)
+        both = np.add.outer(single, single)[np.triu_indices(len(single), 1)]
+        twice = own[1:][own[1:] == own[:-1]]
+        none.put(b, nothing, free)
+        ones.put(b, single, free)
+        twos.put(b, np.unique(np.r_[both, 2 * twice]), free)
+
+    def pick(b: int, size: int, count: int) -> list[int]:
+        """So many pieces of bin b that have that size."""
+        if count == 0:
+            return []
+        seen: dict[int, int] = {}
+        for i in members[b]:
+            if count == 1 and length[i] == size:
+                return [i]
+            if count == 2 and size - length[i] in seen:
+                return [seen[size - length[i]], i]
+            seen[length[i]] = i
+        raise AssertionError("no such pieces")
+
+    def step(b: int, gives: bool) -> tuple[int, int] | None:
+        """One step out of bin b, or into it: the other bin, moves before exchanges of fewer pieces."""
+        free = room - int(fill[b])
+        for kinds in (((1, 0),), ((1, 1),), ((1, 2), (2, 1))):
+            best = None
+            for give, take in kinds:
+                mine = (none, ones, twos)[give if gives else take].of(b)
+                theirs = (none, ones, twos)[take if gives else give]
+                if not len(mine) or not theirs.live:
+                    continue
+                found = (theirs.taken if gives else theirs.given)(free, mine, b)
+                if found and (best is None or found[0] - found[1] > best[0] - best[1]):
+                    best, counts = found, (give, take)
+            if best:
+                g, t, other = best
+                e, to = (b, other) if gives else (other, b)
+                out, back = pick(e, g, counts[0]), pick(to, t, counts[1])
+                for i, old, new in [*((i, e, to) for i in out), *((i, to, e) for i in back)]:
+                    members[old].remove(i)
+                    members[new].append(i)
+                    bins[i] = new
+                fill[e] -= g - t
+                fill[to] += g - t
+                offer(e)
+                offer(to)
+                return e, to
+        return None
+
+    for b in members:
+        offer(b)
+    giving = [(int(fill[b]), b) for b in none.place]  # bins whose steps to all others are to be looked for
+    heapq.heapify(giving)
+    open_to = set(none.place)
+    receiving: set[int] = set()
+    while open_to or receiving:
+        if open_to:
+            level, b = heapq.heappop(giving)
+            if b not in open_to or level != fill[b]:
+                continue
+            gives = True
+        else:
+            b, gives = max(receiving, key=lambda k: (fill[k], k)), False
+        changed = step(b, gives) if b in none.place else None
+        if changed is None:
+            (open_to if gives else receiving).discard(b)
+            continue
+        for k in changed:
+            for todo in (open_to, receiving):
+                todo.discard(k)
+            if k in none.place:
+                open_to.add(k)
+                receiving.add(k)
+                heapq.heappush(giving, (int(fill[k]), k))
     return bins
 
 

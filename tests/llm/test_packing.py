@@ -1,4 +1,5 @@
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -70,3 +71,40 @@ def test_local_search_empties_bins_that_best_fit_leaves():
     assert len(set(P.improve(lengths, start, 100).tolist())) == 2
     lengths, start = np.array([60, 55, 40, 45]), np.array([0, 1, 2, 3])
     assert len(set(P.improve(lengths, start, 100).tolist())) == 2
+
+
+def rising_step(lengths, bins, room):
+    """A move or exchange (one or two pieces for at most two, not two for two) that raises the sum of
+    squared fills, by trying all; or None."""
+    members = {}
+    for i, b in enumerate(bins.tolist()):
+        members.setdefault(b, []).append(int(lengths[i]))
+    for e, own in members.items():
+        for b, other in members.items():
+            for give, take in ((1, 0), (1, 1), (1, 2), (2, 1)) if e != b else ():
+                for g in combinations(own, give):
+                    for t in combinations(other, take):
+                        if max(0, sum(own) - sum(other)) < sum(g) - sum(t) <= room - sum(other):
+                            return e, b, g, t
+
+
+def test_local_search_goes_on_until_no_step_raises_the_squares():
+    for k in (1, 3):  # best fit makes 11 bins of what fits into 9: 51 + 26 + 23 and 27 + 27 + 23 + 23
+        lengths = np.array([51] * 6 * k + [27] * 6 * k + [26] * 6 * k + [23] * 12 * k)
+        first = P.best_fit(lengths, 100)
+        assert len(set(first.tolist())) == 11 * k
+        assert len(set(P.improve(lengths, first, 100).tolist())) == 9 * k
+    # 40 bins that hold one small piece each, and no fuller one with room
+    assert len(set(P.improve(np.array([100] * 3 + [2] * 40), np.arange(43), 100).tolist())) == 4
+    # a bin of 30 pieces gives two for one, and its shortest for one
+    lengths = np.array([*range(1, 31), 90, 70])
+    start = np.array([0] * 30 + [1, 2])
+    assert rising_step(lengths, P.improve(lengths, start, 500), 500) is None
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        n = int(rng.integers(0, 50))
+        lengths = rng.integers(1, int(rng.integers(5, 100)), n)
+        start = P.best_fit(lengths, 100) if seed % 2 else rng.permutation(n)
+        bins = P.improve(lengths, start, 100)
+        assert np.bincount(bins, lengths).max(initial=0) <= 100
+        assert rising_step(lengths, bins, 100) is None
