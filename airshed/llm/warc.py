@@ -6,11 +6,14 @@ responses (one, unless rows repeat that id), the others revisits that refer to i
 archive under a name of its own and moves it into place when it is whole, so a task that runs again
 replaces its archives.
 
-Reading: a member (or, uncompressed, a record) is taken if it inflates with a right checksum, starts
-with a version line, has all the bytes that its Content-Length tells, and its payload has the digest
-that its header tells.  After a failed check the reader searches on for the next gzip member, or the
-next version line, that passes them; the bytes between are logged as a gap (offset, length, reason).
-Archives are read in steps through the file system, never whole.
+Reading: a record is taken if it starts with a version line, has all the bytes that its
+Content-Length tells, and its block and payload have the digests that its headers tell.  After a
+failed check the reader searches on for the next gzip member, or the next version line, that passes
+them, inside a member as in the archive; the bytes between are logged as a gap (offset, length,
+reason; one inside a whole member has the member's offset and length, and its reason tells the
+inflated bytes).  Of a member that is cut off or damaged, the records before that place are taken, if
+damaged only those with a digest (which tells nothing of the headers); the last record that inflates goes with the member's checksum.
+Archives and members are read in steps through the file system, never whole.
 
 Nulls and edges: a null payload is empty; a null url is written empty, a
 url's control characters are left out; a null id is smaller than any
@@ -42,8 +45,12 @@ ship_by_value(__name__)
 ARCHIVE_BYTES = 32 << 20
 LEAST_REVISIT = 1000
 STEP = 1 << 20             # bytes read at a time
-MOST_RECORD = 1 << 30      # bytes of an inflated record; beyond that it counts as damaged
+MOST_RECORD = 1 << 30      # bytes of one record; beyond that it counts as damaged
 MAGIC, VERSION, END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
+ONCE = {"warc-" + x for x in (
+    "type record-id date target-uri payload-digest block-digest ip-address refers-to refers-to-target-uri "
+    "refers-to-date truncated warcinfo-id filename profile identified-payload-type segment-origin-id "
+    "segment-number segment-total-length").split()} | {"content-length", "content-type"}  # headers that do not repeat
 VERSION_LINE = re.compile(r"WARC/1\.\d")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -129,9 +136,14 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int] | str:
         lines = data[:end].decode().split("\r\n")
     except UnicodeDecodeError:
         return "headers damaged"
-    head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    # a record that breaks off in its headers would go on with the next one's
-    if not VERSION_LINE.fullmatch(lines[0]) or len(head) < len(lines) - 1 or not all(":" in x for x in lines[1:]):
+    head: dict[str, str] = {}
+    for k, colon, v in (x.partition(":") for x in lines[1:]):
+        k, v = k.strip().lower(), v.strip()
+        # a record that breaks off in its headers would go on with the next one's
+        if not colon or k in head and k in ONCE:
+            return "headers damaged"
+        head[k] = f"{head[k]}, {v}" if k in head else v
+    if not VERSION_LINE.fullmatch(lines[0]):
         return "headers damaged"
     size = head.get("content-length", "")
     if not size.isdecimal():
@@ -152,53 +164,127 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int] | str:
     return head, block, end + 8 + len(block)
 
 
-def member_at(source: Bytes, at: int) -> tuple[bytes, int] | str:
-    """The inflated member at a place and its length in the file, or what is wrong."""
-    z, out, size, pos = zlib.decompressobj(31), [], 0, at
-    while not z.eof:
-        part = source.get(pos, min(STEP, source.size - pos)) if pos < source.size else b""
-        if not part:
-            return "member cut off"
-        try:
-            out.append(z.decompress(part, MOST_RECORD - size + 1))
-        except zlib.error:
-            return "member damaged"
-        size += len(out[-1])
-        if size > MOST_RECORD:
-            return "record too large"
-        if size and not out[0].startswith(VERSION[:len(out[0])]):
-            return "no version line"
-        pos += len(part)
-    return b"".join(out), pos - len(z.unused_data) - at
-
-
-def record_at(source: Bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int] | str:
-    """The records of the gzip member, or the one plain record, at a place, and the bytes they take."""
-    if source.get(at, 3) == MAGIC:
-        got = member_at(source, at)
-        if isinstance(got, str):
-            return got
-        data, used = got
-        records = []
-        while data:
-            one = parse(data)
-            if isinstance(one, str):
-                return one
-            records.append(one[:2])
-            data = data[one[2]:]
-        return (records, used) if records else "empty member"
+class Member(Bytes):
+    """A gzip member's inflated bytes by place, read in steps and onward only.  ``size`` of them come out
+    of the ``used`` bytes of the archive; ``fault`` is what is wrong with it, or empty."""
+
+    def __init__(self, source: Bytes, start: int):
+        self.source, self.start, self.size, self.used, self.fault = source, start, 0, 0, ""
+        held: list[bytes] | None = []
+        for part in self.inflate():
+            self.size += len(part)
+            if held is not None:
+                held.append(part)
+                if self.size > 16 * STEP:  # too much to hold: inflated again as it is read
+                    held = None
+        self.at, self.held = 0, b"".join(held or [])
+        self.more = iter(()) if held is not None else self.inflate()
+
+    def inflate(self) -> Iterator[bytes]:
+        z, pos, part = zlib.decompressobj(31), self.start, b""
+        while not z.eof:
+            if not part:
+                part = self.source.get(pos, STEP)
+                pos += len(part)
+            before = z.copy()
+            try:
+                out = z.decompress(part, 4 * STEP)
+            except zlib.error:
+                yield from self.until_fault(before, part)
+                self.fault = "member damaged"
+                return
+            if not part and not out and not z.eof:
+                self.fault = "member cut off"
+                return
+            part = z.unconsumed_tail
+            if out:
+                yield out
+        self.used = pos - len(z.unused_data) - self.start
+
+    @staticmethod
+    def until_fault(z, part: bytes) -> Iterator[bytes]:
+        """What comes out before the byte that does not inflate: an error keeps back a call's output."""
+        at, n = 0, len(part)
+        while n:
+            trial = z.copy()
+            try:
+                out = trial.decompress(part[at:at + n])
+            except zlib.error:
+                n //= 2
+                continue
+            z, at = trial, at + n
+            if out:
+                yield out
+
+    def get(self, at: int, n: int) -> bytes:
+        parts, have = [self.held[at - self.at:]], max(0, self.at + len(self.held) - at)
+        if have < n and at < self.size:
+            skip = max(0, at - self.at - len(self.held))
+            for part in self.more:
+                part, skip = part[skip:], max(0, skip - len(part))
+                parts.append(part)
+                have += len(part)
+                if have >= n:
+                    break
+            self.at, self.held = at, b"".join(parts)
+        return self.held[at - self.at:at - self.at + n]
+
+    def taken(self, size: int) -> int:
+        """The bytes of the archive that the first ``size`` inflated ones come from."""
+        z, pos, part = zlib.decompressobj(31), self.start, b""
+        while size:
+            if not part:
+                part = self.source.get(pos, STEP)
+                pos += len(part)
+            size -= len(z.decompress(part, min(size, 4 * STEP)))
+            part = z.unconsumed_tail
+        return pos - len(part) - len(z.unused_data) - self.start
+
+
+def record_at(source: Bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
+    """Headers, block and length of the plain record at a place, or what is wrong."""
     if source.get(at, len(VERSION)) != VERSION:
-        return "no member or version line"
-    size = STEP
+        return "no version line"
+    size = min(STEP, MOST_RECORD)
     while True:  # as much as the record needs
-        data = source.get(at, min(size, source.size - at))
+        data = source.get(at, size)
         one = parse(data)
-        if not isinstance(one, str):
-            return [one[:2]], one[2]
-        if one not in ("headers cut off", "block cut off", "no end of record") or len(data) >= source.size - at \
-                or size >= MOST_RECORD:
+        if one not in ("headers cut off", "block cut off", "no end of record") or len(data) < size:
             return one
-        size *= 4
+        if size >= MOST_RECORD:
+            return "record too large"
+        size = min(4 * size, MOST_RECORD)
+
+
+def vouched(head: dict[str, str]) -> bool:
+    """If a digest that ``parse`` checks was told."""
+    return head.get("warc-block-digest", "").startswith("sha1:") or \
+        head.get("warc-type") == "response" and head.get("warc-payload-digest", "").startswith("sha1:")
+
+
+def in_member(member: Member) -> Iterator[tuple[str, int, int, object]]:
+    """("record", begin, end, (headers, block)) and ("gap", begin, end, reason) of the inflated bytes."""
+    at, gap, reason = 0, None, ""
+    while at < member.size:
+        one = record_at(member, at)
+        if not isinstance(one, str):
+            head, block, n = one
+            if member.fault and at + n >= member.size or member.fault == "member damaged" and not vouched(head):
+                one = member.fault
+        if not isinstance(one, str):
+            if gap is not None:
+                yield "gap", gap, at, reason
+                gap = None
+            yield "record", at, at + n, (head, block)
+            at += n
+            continue
+        if gap is None:
+            gap, reason = at, one
+        at = member.find(VERSION, at + 1)
+        if at < 0:
+            break
+    if gap is not None:
+        yield "gap", gap, member.size, reason
 
 
 def salvage(file) -> Iterator[tuple[str, int, int, object]]:
@@ -206,23 +292,49 @@ def salvage(file) -> Iterator[tuple[str, int, int, object]]:
     source, at, gap, reason = Bytes(file), 0, None, ""
     starts = {MAGIC: 0, VERSION: 0}  # the next place of each, or the end
     while at < source.size:
-        got = record_at(source, at)
-        if not isinstance(got, str):
-            if gap is not None:
-                yield "gap", gap, at - gap, reason
-                gap = None
-            for r in got[0]:
-                yield "record", at, got[1], r
-            at += got[1]
+        wrong, n, lost = "", 0, at  # bytes that are done with, and where those begin that are lost
+        if source.get(at, len(MAGIC)) == MAGIC:
+            member, good, inner = Member(source, at), 0, None
+            for kind, begin, end, what in in_member(member):
+                if kind == "gap":
+                    inner = begin, end, what
+                    if good:
+                        if not member.fault or end < member.size:
+                            yield "gap", at, n, f"inflated bytes {begin} to {end}: {what}"
+                        inner = None
+                    continue
+                if gap is not None:
+                    yield "gap", gap, at - gap, reason
+                    gap = None
+                good, n = end, member.used or member.taken(end)
+                if inner is not None:
+                    yield "gap", at, n, f"inflated bytes {inner[0]} to {inner[1]}: {inner[2]}"
+                    inner = None
+                yield "record", at, n, what
+            if member.fault or not good:
+                wrong = member.fault or (inner[2] if inner else "empty member")
+                lost, n = at + n, n if member.fault else member.used
+        else:
+            one = record_at(source, at)
+            if isinstance(one, str):
+                wrong = "no member or version line" if one == "no version line" else one
+            else:
+                if gap is not None:
+                    yield "gap", gap, at - gap, reason
+                    gap = None
+                n = one[2]
+                yield "record", at, n, one[:2]
+        at += n
+        if not wrong:
             continue
         if gap is None:
-            gap, reason = at, got
+            gap, reason = lost, wrong
         for what, place in starts.items():
-            if place <= at:
-                place = source.find(what, at + 1)
+            if place < at + (not n):
+                place = source.find(what, at + (not n))
                 starts[what] = source.size if place < 0 else place
         at = min(starts.values())
-    if gap is not None:
+    if gap is not None:  # of length 0 if what is lost shares the archive's last byte with a record
         yield "gap", gap, source.size - gap, reason
 
 
@@ -329,11 +441,17 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("path").repartition(n, F.xxhash64("path")).mapInArrow(run, schema)
 
 
+def without_gaps(found: DataFrame) -> DataFrame:
+    """What ``read_archives`` found, if all of it is records; a gap is an error."""
+    lost = F.concat_ws(" ", F.lit("gap in"), "path", F.lit("at"), "offset", F.lit("of"), "length", F.lit("bytes:"), "reason")
+    return found.filter(F.when(F.col("kind") == "record", True).otherwise(F.raise_error(lost).cast("boolean")))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` written as WARC records and read back."""
     folder = scratch_path(spark, "warc")
     archives = write_archives(table(spark, sf_dir, "pages"), folder)
-    found = read_archives(archives, folder).filter("kind = 'record'")
+    found = without_gaps(read_archives(archives, folder))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest_hex").alias("payload_digest"),
                         F.col("type").alias("record_type"), "refers_to")
 

@@ -109,3 +109,68 @@ def test_spark_log_of_gaps(spark, tmp_path):
     got = W.read_archives(archives, str(tmp_path)).collect()
     assert [r.id for r in got if r.kind == "record"] == [0, 1, 2, 3, 5, 6, 7, 8]
     assert [(r.offset, r.length) for r in got if r.kind == "gap"] == [(sum(map(len, parts[:4])), 50)]
+
+
+def test_records_of_a_member_are_salvaged_one_by_one(monkeypatch):
+    rng = random.Random(1)
+    parts = [member(i, payload=rng.randbytes(3000)) for i in range(8)]
+    hurt = bytearray(parts[3])
+    hurt[-40] ^= 1
+    data = W.gzip_member(b"".join([*parts[:3], bytes(hurt), *parts[4:]])) + W.gzip_member(member(9))
+    first = W.gzip_member(b"".join(parts))
+    late = bytearray(first)
+    late[len(first) // 2 + 100] ^= 0x55  # in record 3, stored as it is: only the checksum and the digest tell
+    for step in (1 << 20, 64):
+        monkeypatch.setattr(W, "STEP", step)
+        found = read(data)
+        assert ids(found) == [0, 1, 2, 4, 5, 6, 7, 9]
+        assert ["payload" in f[3] or "block" in f[3] for f in found if f[0] == "gap"] == [True]
+        # the first record of a member, its last one
+        for at in (0, 7):
+            some = [bytes(20) + p if i == at else p for i, p in enumerate(parts)]
+            assert ids(read(W.gzip_member(b"".join(some)))) == list(range(8))
+        found = read(first[:len(first) * 3 // 5])  # cut off
+        assert ids(found) == [0, 1, 2, 3]
+        assert found[-1][0] == "gap" and found[-1][1] + found[-1][2] == len(first) * 3 // 5
+        found = read(first[:len(first) * 3 // 5] + W.gzip_member(member(9)))
+        assert ids(found) == [0, 1, 2, 3, 9]
+        found = read(bytes(late) + W.gzip_member(member(9)))
+        assert set(ids(found)) - {7} == {0, 1, 2, 4, 5, 6, 9} and len(ids(found)) == len(set(ids(found)))
+
+
+def test_a_cut_member_always_leaves_a_gap():
+    data = W.gzip_member(b"".join(member(i, payload=bytes([65 + i]) * 90) for i in range(4)))
+    for end in range(1, len(data)):
+        found = read(data[:end])
+        assert ids(found) == list(range(len(ids(found)))) and len(ids(found)) < 4
+        assert [f[0] for f in found].count("gap") == 1
+
+
+def test_a_record_is_bounded_not_its_member(monkeypatch):
+    monkeypatch.setattr(W, "MOST_RECORD", 4000)
+    monkeypatch.setattr(W, "STEP", 256)
+    parts = [member(i, payload=bytes([65 + i]) * 900) for i in range(20)]
+    assert ids(read(W.gzip_member(b"".join(parts)))) == list(range(20))
+    parts[5] = member(5, payload=b"x" * 9000)
+    assert ids(read(W.gzip_member(b"".join(parts)))) == [i for i in range(20) if i != 5]
+
+
+def test_headers_may_repeat():
+    twice = member(1).replace(b"Content-Type", b"WARC-Concurrent-To: <urn:a>\r\nWARC-Concurrent-To: <urn:b>\r\nContent-Type", 1)
+    for data in (twice + member(2), W.gzip_member(twice) + W.gzip_member(member(2))):
+        found = read(data)
+        assert ids(found) == [1, 2] and len(found) == 2
+        assert found[0][3][0]["warc-concurrent-to"] == "<urn:a>, <urn:b>"
+
+
+def test_a_gap_is_an_error_for_op10(spark, tmp_path):
+    parts = [W.gzip_member(member(i)) for i in range(3)]
+    for name, data in (("a", b"".join(parts)), ("b", parts[0] + bytes(50) + parts[2])):
+        (tmp_path / f"{name}.warc.gz").write_bytes(data)
+        archives = spark.createDataFrame([(str(tmp_path / f"{name}.warc.gz"),)], "path string")
+        got = W.without_gaps(W.read_archives(archives, str(tmp_path))).select("id")
+        if name == "a":
+            assert sorted(r.id for r in got.collect()) == [0, 1, 2]
+        else:
+            with pytest.raises(Exception, match="gap in"):
+                got.collect()
