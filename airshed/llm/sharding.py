@@ -8,7 +8,8 @@ key never ties.  The keyed sizes are stored once (no texts), and all steps read
 2. Splitters: quantiles of the sampled keys.  A splitter inside a group of equal texts is moved to
    the group's start, unless the group reaches over a whole range by itself.
 3. Ranges: every record finds its range by binary search; bytes and rows are counted exactly, and
-   ranges over ``OVERFULL`` times the mean in either are sampled again and subdivided.
+   ranges over ``OVERFULL`` times the mean in either are sampled again and subdivided; there too a
+   splitter moves to its group's start, unless the group has a whole mean range's weight of draws.
 4. Shards: neighbouring ranges, cut where their running bytes are nearest to each shard's share.
    A record's slot is the rows of its shard's earlier ranges plus its place in its range, so no
    task ever sorts a whole shard.
@@ -65,6 +66,17 @@ def quantiles(drawn: list[tuple[tuple[int, int, int], float]], ranges: int) -> l
     return sorted(out)
 
 
+def subdividing(drawn: list[tuple[tuple[int, int, int], float]]) -> list[tuple[int, int, int]]:
+    """Splitters from the draws of overfull ranges, of which a mean range has ``OVERFULL`` times as many
+    as at first; a group of equal texts (k1) is cut only if it has as many by itself."""
+    weights: dict[int, float] = {}
+    for key, w in drawn:
+        weights[key[0]] = weights.get(key[0], 0.0) + w
+    low = -(1 << 63)
+    return [key if weights[key[0]] >= DRAWS_PER_RANGE * OVERFULL else (key[0], low, low)
+            for key, _ in drawn[::DRAWS_PER_RANGE]]
+
+
 def range_of(splitters: list[tuple[int, int, int]]) -> Column:
     """The number of splitters that are not above a record's key, by binary search."""
     if not splitters:
@@ -120,7 +132,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
         if not full:
             break
         more = draw(placed.filter(F.col("range").isin(full)), weight * ranges * DRAWS_PER_RANGE * OVERFULL, round_no)
-        splitters = sorted({*splitters, *(key for key, _ in more[::DRAWS_PER_RANGE])})
+        splitters = sorted({*splitters, *subdividing(more)})
     placed = stored(keyed.withColumn("range", range_of(splitters)), "ranges")
     counts = {r.range: (r.n, r.b) for r in placed.groupBy("range")
               .agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()}

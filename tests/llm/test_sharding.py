@@ -38,6 +38,19 @@ def test_hot_groups_and_repeated_rows_are_subdivided(docs_of, monkeypatch):
     check(many, S.shard_by_bytes(docs_of(many), 4).collect(), 4, near=0.11)
 
 
+def test_subdividing_an_overfull_range_keeps_small_groups_together(docs_of, monkeypatch):
+    monkeypatch.setattr(S, "quantiles", lambda drawn, ranges: [])  # all rows in one range at first
+    rows = [(i, f"group {i // 3} " * 5) for i in range(3000)] + [(9000 + i, "hot copy " * 5) for i in range(1500)]
+    out = S.shard_by_bytes(docs_of(rows), 16, ranges_per_shard=1).collect()
+    check(rows, out, 16, near=0.5)
+    split = {}
+    for r in out:
+        split.setdefault(r.text_crc32, set()).add(r.shard)
+    hot = zlib.crc32(("hot copy " * 5).encode())
+    assert len(split[hot]) > 1  # several ranges by itself
+    assert all(len(s) == 1 for crc, s in split.items() if crc != hot)
+
+
 def test_small_and_empty_tables(docs_of):
     rows = [(None, None), (1, ""), (1, ""), (2, "a" * 100_000)]
     check(rows, S.shard_by_bytes(docs_of(rows), 16).collect(), 16)
