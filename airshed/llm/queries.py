@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from airshed.llm import (decontaminate, neighbours, packing, periodic, quality, sharding, simhash, substring,
-                         tokencounts, toxicity, urlfilter, warc)
+from airshed.llm import (collocations, decontaminate, neighbours, packing, periodic, quality, sharding, simhash,
+                         substring, tokencounts, toxicity, urlfilter, warc)
 
-MODULES = (decontaminate, neighbours, packing, periodic, quality, sharding, simhash, substring, tokencounts, toxicity,
-           urlfilter, warc)
+MODULES = (collocations, decontaminate, neighbours, packing, periodic, quality, sharding, simhash, substring,
+           tokencounts, toxicity, urlfilter, warc)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
