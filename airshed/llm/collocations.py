@@ -1,34 +1,34 @@
 """Phrase collocations by Toivonen mining.
 
-Phrases of 2 to 5 words that occur ``LEAST`` times or more in the texts of a language are found in four
-steps, all over exact strings:
-
-1. Sample: the documents whose id hashes into one part of ``SAMPLE`` are stored, and the phrases that
-   occur there at a lowered threshold are the proposal, a set closed under parts.
-2. Full pass: every text is read once; counted are all words, and every phrase whose two parts without
-   the last and without the first word are proposed.  That is the proposal and its whole negative
-   border, as far as it occurs.
-3. Border failures: phrases found frequent that were not proposed.  While there are any, all phrases
-   known to be frequent are the next proposal, and a further pass counts those phrases whose parts are
-   proposed now and were not before.  Without a failure the counts hold every frequent phrase: the parts
-   of a frequent phrase are frequent, so they were counted, proposed, and it was counted with them.
+Phrases of 2 to 5 words that occur ``LEAST`` times or more in the texts of a language are found so:
+
+1. Sample: the documents whose id hashes into one part of ``SAMPLE`` are stored.  The words and word
+   pairs that occur there at a lowered threshold are the proposal; its negative border are the other
+   words and the other pairs of proposed words.
+2. Border pass over all texts: the border is counted by 64-bit hashes, which takes a third of the
+   bytes that strings take.  A border phrase whose hash reaches ``LEAST`` is a border failure (or shares
+   its hash with one, which costs some work and changes nothing).
+3. Expansion pass over all texts: counted exactly, as strings, are the proposal, the failures, all pairs
+   of a failed word with a frequent one, and every longer phrase all of whose pairs are among these.
+   This closes the search: the words of a frequent phrase are frequent, so proposed or failed, hence its
+   pairs are proposed, failed or counted here, and so is the phrase itself.  No count is left out
+   whatever the sample proposes; a poor sample only makes this pass longer.
 4. Scores: each cut of a candidate meets the counts of its two parts in a join; a candidate that always
    occurs inside one longer by a word is dropped; the best of each language are ranked in two steps.
 
-A proposal is sent to the tasks as a bitmap of phrase hashes of at most ``MOST_BITS`` bits.  What it lets
-through wrongly is counted besides and has no effect, so the result is exact whatever its size.  A task
-counts a few megabytes of text at a time (phrases named exactly, by pairs of shorter names), Spark adds
-the counts up by phrase, before and after the shuffle, and only frequent phrases are stored.
+A proposal is sent to the tasks as a bitmap of hashes of at most ``MOST_BITS`` bits.  What it lets through
+wrongly is counted besides and has no effect, so the result is exact whatever its size.  A task counts a
+few megabytes of text at a time, Spark adds the counts up before and after the shuffle, and only frequent
+phrases are stored.
 
-Nulls and edges: a null text is empty, a null language ``und``; a null id is a hash of its own in the
-sample; repeated rows count as often as they are there; one word repeated counts overlapping phrases; a
-language without a candidate has no rows; an empty table gives none; extra columns are ignored.
+Nulls and edges: a null text is empty, a null language ``und``; null ids fall into the sample together or
+not at all; repeated rows count as often as they are there; one word repeated counts overlapping phrases;
+a language without a candidate has no rows; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,7 @@ SCORE = ("(cast(1000 * a as decimal(19, 0)) * cast(n as decimal(18, 0))) div "
          "(cast(l as decimal(19, 0)) * cast(r as decimal(18, 0)))")
 #: Characters that end a piece: . , ; : ! ? and the line ends 0A to 0D.
 TO_STOP = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b".........")
-COUNTS = "lang string, k int, phrase string, h long, proposed boolean, n long"
+COUNTS = "lang string, k int, phrase string, n long"
 
 
 class Proposal:
@@ -82,77 +82,96 @@ def proposal_of(phrases: DataFrame) -> Proposal:
     return Proposal(bits)
 
 
-def count_slice(lang: str, texts: list[bytes], proposals: list[Proposal], sizes: tuple[int, ...],
-                checked: int) -> Iterator[pa.RecordBatch]:
-    """Counts of one language's texts: of the phrases of ``sizes`` words whose parts the last proposal
-    has and no earlier one had.  Parts of more than ``checked`` words need no proposal."""
-    words = b".".join(texts).lower().translate(TO_STOP).replace(b".", b" . ").split()
-    numbers = {b".": 0}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
-    seed = xxhash.xxh64_intdigest(lang)
-    own = np.array([xxhash.xxh64_intdigest(w, seed) for w in numbers], np.uint64)
-
-    def rows(k: int, first: np.ndarray, h: np.ndarray, known: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        phrases = [words[s] for s in first.tolist()] if k == 1 else [b" ".join(words[s:s + k]) for s in first.tolist()]
+class Words:
+    """The words of some texts of one language: numbers (0 where a piece ends), places, hashes."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        self.words = b".".join(texts).lower().translate(TO_STOP).replace(b".", b" . ").split()
+        numbers = {b".": 0}
+        self.ids = np.array([numbers.setdefault(w, len(numbers)) for w in self.words], np.int64)
+        seed = xxhash.xxh64_intdigest(lang)
+        self.size, self.own = len(numbers), np.array([xxhash.xxh64_intdigest(w, seed) for w in numbers], np.uint64)
+
+    def pairs(self, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs of two words of whose numbers ``good`` holds, and the pairs' hashes."""
+        ok = good[self.ids] & (self.ids > 0)
+        at = np.flatnonzero(ok[:-1] & ok[1:])
+        h = self.own[self.ids[at]] * np.uint64(0x9E3779B97F4A7C15) + self.own[self.ids[at + 1]]
+        return at, (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def hashed_slice(lang: str, texts: list[bytes], proposal: Proposal | None) -> Iterator[pa.RecordBatch]:
+    """(h, n): counts by hash of all words and pairs, or of a proposal's negative border."""
+    text = Words(lang, texts)
+    n = np.bincount(text.ids, minlength=text.size)
+    n[0] = 0
+    proposed = proposal.has(text.own) if proposal else np.ones(text.size, bool)
+    border = n > 0 if proposal is None else (n > 0) & ~proposed
+    _, h = text.pairs(proposed)
+    h, m = np.unique(h, return_counts=True)
+    if proposal:
+        out = ~proposal.has(h)
+        h, m = h[out], m[out]
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[text.own[border], h].view(np.int64)), pa.array(np.r_[n[border], m].astype(np.int64))], ["h", "n"])
+
+
+def exact_slice(lang: str, texts: list[bytes], proposal: Proposal, wanted: Proposal, longest: int) -> Iterator[pa.RecordBatch]:
+    """(lang, k, phrase, n): counts of the words and pairs that ``wanted`` has, of pairs of such words that
+    were not both proposed, and of longer phrases of such pairs; and with k = 0 of all words."""
+    text = Words(lang, texts)
+
+    def rows(k: int, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        phrases = [b" ".join(text.words[s:s + k]) for s in first.tolist()]
         m = len(phrases)
         return pa.RecordBatch.from_arrays(
             [pa.array([lang] * m, pa.string()), pa.array(np.full(m, k, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()),
-             pa.array(h.view(np.int64)), pa.array(known), pa.array(n.astype(np.int64))],
-            ["lang", "k", "phrase", "h", "proposed", "n"])
-
-    _, first, count = np.unique(ids, return_index=True, return_counts=True)
-    real = ids[first] > 0
-    if 1 in sizes:
-        of, n = first[real], count[real]
-        h = own[ids[of]]
-        yield rows(1, of, h, proposals[-1].has(h) if proposals else np.zeros(len(h), bool), n)
-        yield pa.RecordBatch.from_arrays(  # all words of the language
-            [pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([0], pa.int64()), pa.array([True]),
-             pa.array([int(n.sum())], pa.int64())], ["lang", "k", "phrase", "h", "proposed", "n"])
-    names, hashes = ids, own[ids]
-    # by proposal, the places where it has the phrase (and its parts)
-    has = [p.has(own)[ids] & (ids > 0) for p in proposals] or [ids > 0]
-    for k in range(2, max(sizes) + 1):
-        reach = [x[:-1] & x[1:] for x in has]  # both parts, from each place
-        at = np.flatnonzero(reach[-1])
+             pa.array(n.astype(np.int64))], ["lang", "k", "phrase", "n"])
+
+    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]),
+                                      pa.array([int((text.ids > 0).sum())], pa.int64())], ["lang", "k", "phrase", "n"])
+    good, known = wanted.has(text.own), proposal.has(text.own)
+    number, first, n = np.unique(text.ids, return_index=True, return_counts=True)
+    own = good[number] & (number > 0)
+    yield rows(1, first[own], n[own])
+    at, h = text.pairs(good)
+    at = at[wanted.has(h) | ~(known[text.ids[at]] & known[text.ids[at + 1]])]
+    names = text.ids
+    for k in range(2, longest + 1):
         if not len(at):
             return
-        key = names[at] * len(numbers) + ids[at + k - 1]
-        _, first, back, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        one = at[first]
-        h = hashes[one] * np.uint64(0x9E3779B97F4A7C15) + own[ids[one + k - 1]]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        known = [p.has(h) if k <= checked else np.ones(len(h), bool) for p in proposals] or [np.ones(len(h), bool)]
-        if k in sizes:
-            before = reduce(np.logical_or, (r[one] for r in reach[:-1]), np.zeros(len(one), bool))
-            yield rows(k, one[~before], h[~before], known[-1][~before], n[~before])
-        names, hashes = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.uint64)
-        names[at], hashes[at] = back, h[back]
-        for b, r in enumerate(reach):
-            has[b] = np.zeros(len(r), bool)
-            has[b][at] = r[at] & known[b][back]
-
-
-def counted(docs: DataFrame, proposals: list[Proposal], sizes: tuple[int, ...], checked: int = LONGEST) -> DataFrame:
-    """Exact counts over ``docs`` (lang, t) of the phrases that ``count_slice`` takes."""
+        _, first, back, n = np.unique(names[at] * text.size + text.ids[at + k - 1], return_index=True, return_inverse=True,
+                                      return_counts=True)
+        yield rows(k, at[first], n)
+        names = np.full(len(text.ids), -1, np.int64)
+        names[at] = back
+        at = at[:-1][np.diff(at) == 1]  # the next place begins such a phrase as well
+
+
+def by_slices(docs: DataFrame, schema: str, count: Callable, proposals: list[Proposal], *more) -> DataFrame:
+    """What ``count`` gives for each language's slices of ``docs`` (lang, t)."""
     held = docs.sparkSession.sparkContext.broadcast([p.bits for p in proposals])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
-        size, known = 0, [Proposal(bits) for bits in held.value]
+        size, known = 0, [Proposal(bits) for bits in held.value] or [None]
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
                 waiting.setdefault(lang, []).append(t.as_py())
                 size += len(waiting[lang][-1])
                 if size >= SLICE_BYTES:
                     for lang, texts in waiting.items():
-                        yield from count_slice(lang, texts, known, sizes, checked)
+                        yield from count(lang, texts, *known, *more)
                     waiting, size = {}, 0
         for lang, texts in waiting.items():
-            yield from count_slice(lang, texts, known, sizes, checked)
+            yield from count(lang, texts, *known, *more)
+
+    return docs.select("lang", "t").mapInArrow(run, schema)
+
 
-    return docs.select("lang", "t").mapInArrow(run, COUNTS).groupBy("lang", "phrase") \
-        .agg(F.max("k").alias("k"), F.max("h").alias("h"), F.max("proposed").alias("proposed"), F.sum("n").alias("n"))
+def frequent_hashes(docs: DataFrame, least: int, *proposals: Proposal) -> DataFrame:
+    """Hashes of words and pairs (of a proposal's border) that occur ``least`` times together."""
+    return by_slices(docs, "h long, n long", hashed_slice, list(proposals)).groupBy("h").agg(F.sum("n").alias("n")) \
+        .filter(F.col("n") >= least).select("h")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE,
@@ -162,26 +181,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), utf8(text_col).alias("t"), F.xxhash64(id_col).alias("i"))
     part = stored(texts.filter(F.pmod("i", F.lit(sample)) == 0).select("lang", "t"), "collocation-sample")
-    lowered = max(2, int(LOWERED * least / sample))
-    short = stored(counted(part, [], (1, 2)).filter((F.col("n") >= lowered) & (F.col("k") > 0)), "sample-short")
-    pairs = proposal_of(short.select("h"))
-    proposed = short
-    if longest > 2:
-        long_ = counted(part, [pairs], tuple(range(3, longest + 1)), 2).filter(F.col("n") >= lowered)
-        proposed = short.unionByName(stored(long_, "sample-long"))
-
-    proposals = [proposal_of(proposed.filter(F.col("k") < longest).select("h"))]
-    passes: list[DataFrame] = []
-    sizes = tuple(range(1, longest + 1))
-    while True:
-        found = counted(texts, proposals, sizes).filter((F.col("k") == 0) | (F.col("n") >= least))
-        passes.append(stored(found, f"frequent-{len(passes)}"))
-        failures = passes[-1].filter(~F.col("proposed") & (F.col("k") < longest))
-        if failures.isEmpty():
-            return reduce(DataFrame.unionByName, passes).select("lang", "phrase", "k", "n")
-        known = reduce(DataFrame.unionByName, passes).filter((F.col("k") > 0) & (F.col("k") < longest))
-        proposals.append(proposal_of(known.select("h")))
-        sizes = tuple(range(2, longest + 1))
+    proposed = stored(frequent_hashes(part, max(2, int(LOWERED * least / sample))), "proposed")
+    proposal = proposal_of(proposed)
+    failed = stored(frequent_hashes(texts, least, proposal), "border-failures")
+    wanted = proposal_of(proposed.unionByName(failed))
+    found = by_slices(texts, COUNTS, exact_slice, [proposal, wanted], longest).groupBy("lang", "phrase", "k") \
+        .agg(F.sum("n").alias("n")).filter((F.col("k") == 0) | (F.col("n") >= least))
+    return stored(found, "frequent-phrases")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, **columns) -> DataFrame:
