@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from airshed.functions import (
     day_of, decode_key, encode_city, file_name, first_non_empty, nano_date, ntz_micros,
-    strip_slash, valid_date,
+    strip_slash, utc_text, valid_date,
 )
 from airshed.operators import (
     account, all_dates, build_lookup, copy_count, daily_weather, dates_from_keys, distinct_dates,
@@ -28,13 +28,14 @@ from airshed.operators import (
 )
 from airshed.operators.joins import enrich, materialise
 from airshed.plans import standins as S
-from airshed.plans.views import register_dataset
+from airshed.plans.landing import enrich_files, land_files, landed_files, quarantined, read_landed
+from airshed.plans.views import drop_day, register_dataset, register_day
 from airshed.plans.workflows import (
     enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
 )
 from airshed.schemas import NORMALISED_WEATHER
 from airshed.session import scratch_path
-from airshed.sinks import read_ledger, write_by_date
+from airshed.sinks import read_dead_letters, read_ledger, upsert_ledger, write_by_date, write_csv
 from airshed.sources import (
     list_objects, parse_notifications, read_lookup, read_partitioned, read_raw, read_table,
     standardise_columns, with_source_file,
@@ -43,6 +44,7 @@ from airshed.streaming import ledger_stream
 
 # Parameters of the registered reports.
 REPORT_DAY = "2024-01-15"
+NEXT_DAY = "2024-01-16"
 NANO_ZONE = "Europe/Belgrade"
 LOCAL_HOURS = 2
 REMAP_SRC, REMAP_DST = "https://", "archive/"
@@ -165,20 +167,21 @@ def q_normalise_readings(spark, root):
     return normalise_readings(S.weather_readings(spark, root))
 
 
+LANDED_PIECES = 4  # files of an event type: a hot one is written by several tasks
 EVENT_LANDED = "event_id bigint, time_date string, amount double"
 
 
 def _landed_events(spark, root, folder) -> str:
-    """Events as landed CSV, one file per event type two levels below a root, with odd times and
+    """Events as landed CSV, some files per event type two levels below a root, with odd times and
     amounts: every 7th event has no time, every 11th an invalid one, every 13th an amount in words."""
     i, text = F.col("event_id"), F.date_format("ts", S.TIME_FMT)
     base = scratch_path(spark, folder)
     (read_table(spark, root, "events").select(
-        "event_type", "event_id",
+        F.concat_ws("-", "event_type", i % LANDED_PIECES).alias("piece"), "event_id",
         F.when(i % 7 == 0, None).when(i % 11 == 0, F.concat(F.lit("2024-02-30 "), F.substring(text, 12, 8))).otherwise(text)
         .alias("time_date"),
         F.when(i % 13 == 0, "much").otherwise(F.col("value").cast("string")).alias("amount"))
-     .repartition("event_type").write.partitionBy("event_type").option("header", True).csv(f"{base}/landing"))
+     .repartition("piece").write.partitionBy("piece").option("header", True).csv(f"{base}/landing"))
     return f"{base}/landing"
 
 
@@ -202,6 +205,87 @@ def q_bad_rows(spark, root):
     return raw.filter(F.col("_corrupt").isNotNull()).select("event_id", "amount", F.col("_corrupt").contains("much").alias("kept"))
 
 
+def _land_events(spark, root):
+    """The landed events put through quarantine: (source, target, quarantine)."""
+    src, out, bad = _landed_events(spark, root, "landing"), scratch_path(spark, "landed"), scratch_path(spark, "quarantine")
+    stats = land_files(spark, src, out, bad, EVENT_LANDED, depth=1)
+    if stats["read"] != stats["accepted"] + stats["rejected"]:
+        raise RuntimeError(f"lines are missing: {stats}")
+    return src, out, bad
+
+
+def q_quarantine_accounting(spark, root):
+    """Lines read = accepted + rejected, by file."""
+    _, _, bad = _land_events(spark, root)
+    piece = F.regexp_extract("file", "piece=([^/]+)/", 1)
+    return landed_files(spark, bad).select(piece.alias("piece"), "accepted", "rejected")
+
+
+def q_quarantine_reasons(spark, root):
+    """Every rejected line with its reason."""
+    _, _, bad = _land_events(spark, root)
+    return quarantined(spark, bad).select(F.split("line", ",")[0].cast("bigint").alias("event_id"), "reason", "copies",
+                                          F.split("line", ",")[2].alias("amount_text"))
+
+
+def q_quarantine_reload(spark, root):
+    """Amounts in words are mended and their files landed again; lines with no date stay out."""
+    src, out, bad = _land_events(spark, root)
+    mended = quarantined(spark, bad).filter(F.col("reason") == "amount: no double") \
+        .select("file", "line", F.regexp_replace("line", "much$", "0.5").alias("mended"))
+    mended, _ = materialise(mended, "mended")
+    land_files(spark, src, out, bad, EVENT_LANDED, mended=mended)
+    return read_landed(spark, out, EVENT_LANDED).select("event_id", "date", "amount")
+
+
+def _pollution_files(spark, root, folder, rows):
+    """Rows as ``date=<day>/<name>.csv``-like files: two of a day, by event id."""
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_by_date(rows.select(*cols, "date"), folder, mode="append")
+
+
+def q_enrich_relanded_file(spark, root):
+    """Two files a day, enriched file by file; then one day's second file lands again under a new estimate:
+    its own rows are replaced, all others stay."""
+    part, out = scratch_path(spark, "pollution-files"), scratch_path(spark, "pollution-enriched-files")
+    readings, _ = materialise(S.with_date_str(S.readings(spark, root)), "readings")
+    lookup, _ = materialise(S.visitor_lookup(spark, root), "lookup")
+    for half in (0, 1):
+        _pollution_files(spark, root, part, readings.filter(F.col("event_id") % 2 == half))
+    enrich_files(spark, part, lookup, out, POLLUTION_LANDED)
+    # the files of that day that hold odd event ids
+    day = F.lit(REPORT_DAY).cast("date")
+    odd = spark.read.option("header", True).option("enforceSchema", False).schema(POLLUTION_LANDED).csv(part) \
+        .filter((F.col("date") == day) & (F.col("event_id") % 2 == 1))
+    names = [r.f for r in odd.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("f")).distinct().collect()]
+    newer = lookup.withColumn("tourist_estimate", F.coalesce("tourist_estimate", F.lit(0)) + 1000)
+    enrich_files(spark, part, newer, out, POLLUTION_LANDED, files=[f"date={REPORT_DAY}/{n}" for n in names])
+    back = spark.read.option("header", True).csv(out)
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "date_str",
+                       F.col("tourist_estimate").cast("int").alias("tourist_estimate"))
+
+
+def q_full_copy_csv(spark, root):
+    """Enriched readings written whole as one CSV dataset and read back."""
+    out = scratch_path(spark, "full-copy")
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_csv(S.pollution_enriched(spark, root).select(*cols, "date_str", "tourist_estimate"), out)
+    return read_raw(spark, out, POLLUTION_LANDED + ", date_str string, tourist_estimate int", depth=0)
+
+
+def q_catalog_days(spark, root):
+    """A registered dataset after one day was dropped from the catalog and another one registered again."""
+    part = scratch_path(spark, "catalog-days")
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_by_date(S.with_date_str(S.readings(spark, root)).select(*cols, "date"), part)
+    name = "days_" + part.rsplit("-", 1)[-1]
+    register_dataset(spark, name, part, POLLUTION_LANDED)
+    drop_day(spark, name, REPORT_DAY)
+    drop_day(spark, name, NEXT_DAY)
+    register_day(spark, name, NEXT_DAY)
+    return spark.sql(f"SELECT date, count(*) AS n FROM {name} GROUP BY date")
+
+
 def q_valid_dates(spark, root):
     """Unpadded event dates (``2024-1-5``) validated and normalised to ``yyyy-MM-dd``."""
     ev = read_table(spark, root, "events").select(F.date_format("ts", "yyyy-M-d").alias("raw"))
@@ -435,6 +519,52 @@ def q_notification_ledger_stream(spark, root):
     return read_ledger(spark, ledger)
 
 
+def _odd_stream(spark, root) -> tuple[str, str]:
+    """(queue, ledger): odd messages drained by the stream, then all of them delivered once more."""
+    src, ledger = scratch_path(spark, "odd-queue"), scratch_path(spark, "odd-ledger")
+    odd_messages(spark, root).select("value").write.text(src)
+    for n in (1, 2):  # a fresh checkpoint: every message comes again
+        q = ledger_stream(spark, src, ledger, scratch_path(spark, f"odd-ckpt-{n}"), prefixes=WATCHED, keys=("file_name",))
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return src, ledger
+
+
+def q_stream_odd_ledger(spark, root):
+    """The ledger of the odd messages, delivered twice; without eventTime the file's landing time holds."""
+    src, ledger = _odd_stream(spark, root)
+    landed = spark.read.text(src).select(utc_text("_metadata.file_modification_time").alias("timestamp")).distinct()
+    rows = read_ledger(spark, ledger).join(landed.withColumn("landed", F.lit(True)), "timestamp", "left")
+    return rows.select("file_name", F.when(F.col("landed"), "landing time").otherwise(F.col("timestamp")).alias("timestamp"), "status")
+
+
+def q_stream_odd_dead_letters(spark, root):
+    """Their dead letters, committed with the ledger rows: each once, though delivered twice."""
+    _, ledger = _odd_stream(spark, root)
+    raw = F.when(F.col("body").rlike("^(\\{oops|no JSON)"), F.col("body"))
+    return read_dead_letters(spark, ledger).groupBy("malformed", F.element_at(F.split("key", "/"), -1).alias("file_name"), raw.alias("raw")) \
+        .agg(F.sum("copies").cast("bigint").alias("n"))
+
+
+LEDGER_BATCHES = 10
+
+
+def q_ledger_many_batches(spark, root):
+    """Notifications applied in batches, of which the first ones are folded meanwhile: the last row of each file."""
+    recs = parse_notifications(notification_messages(spark, root), keep=("page_id",))
+    good, _dead = split_poison(select_notices(recs, WATCHED))
+    rows, _ = materialise(good.select("file_name", F.col("event_time").alias("timestamp"), F.lit(0).alias("status"), "page_id"), "notices")
+    ledger = scratch_path(spark, "ledger-batches")
+    # in the order of the times, which grow with the page id
+    last = rows.agg(F.max("page_id")).first()[0] or 0
+    step = last // LEDGER_BATCHES + 1
+    for n in range(LEDGER_BATCHES):
+        part = rows.filter((F.col("page_id") >= n * step) & (F.col("page_id") < (n + 1) * step))
+        upsert_ledger(part, ledger, ("file_name",), ("timestamp", "page_id"))
+    return read_ledger(spark, ledger)
+
+
 def q_notification_ledger(spark, root):
     recs = parse_notifications(notification_messages(spark, root), keep=("page_id",))
     good, _dead = split_poison(select_notices(recs, WATCHED))
@@ -496,6 +626,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notification_ledger_stream": q_notification_ledger_stream,
     "api_dates_from_keys": q_api_dates_from_keys,
     "ledger_last_wins": q_ledger_last_wins,
+    "quarantine_accounting": q_quarantine_accounting,
+    "quarantine_reasons": q_quarantine_reasons,
+    "quarantine_reload": q_quarantine_reload,
+    "enrich_relanded_file": q_enrich_relanded_file,
+    "full_copy_csv": q_full_copy_csv,
+    "catalog_days": q_catalog_days,
+    "stream_odd_ledger": q_stream_odd_ledger,
+    "stream_odd_dead_letters": q_stream_odd_dead_letters,
+    "ledger_many_batches": q_ledger_many_batches,
 }
 
 
@@ -579,8 +718,8 @@ WITH r AS (
 m AS (SELECT *, url_decode(replace(raw_key, '+', ' ')) AS key FROM r)
 """
 
-_PROFILE = """
-SELECT count(*) AS row_count, count(DISTINCT event_type) AS file_count,
+_PROFILE = f"""
+SELECT count(*) AS row_count, count(DISTINCT event_type || '-' || event_id % {LANDED_PIECES}) AS file_count,
        count(*) FILTER (WHERE ts IS NULL OR event_id % 7 = 0 OR event_id % 11 = 0) AS null_date_count,
        count(*) FILTER (WHERE event_id % 13 = 0) AS bad_row_count
 FROM events"""
@@ -769,5 +908,37 @@ SELECT DISTINCT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_str FROM events""
     "notification_ledger": _NOTICES + """
 SELECT page_id, file_name, ts AS timestamp, 0 AS status FROM f""",
     "ledger_last_wins": _NOTICES + """
+SELECT file_name, max(ts) AS timestamp, 0 AS status FROM f GROUP BY file_name""",
+    "quarantine_accounting": f"""
+SELECT event_type || '-' || event_id % {LANDED_PIECES} AS piece, count(*) FILTER (WHERE NOT bad) AS accepted,
+       count(*) FILTER (WHERE bad) AS rejected
+FROM (SELECT *, event_id % 13 = 0 OR (event_id % 11 = 0 AND event_id % 7 <> 0) AS bad FROM events) GROUP BY 1""",
+    "quarantine_reasons": """
+SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'amount: no double' ELSE 'time_date: no date' END AS reason, 1::BIGINT AS copies,
+       CASE WHEN event_id % 13 = 0 THEN 'much' ELSE CAST(value AS VARCHAR) END AS amount_text
+FROM events WHERE event_id % 13 = 0 OR (event_id % 11 = 0 AND event_id % 7 <> 0)""",
+    "quarantine_reload": """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS date,
+       CASE WHEN event_id % 13 = 0 THEN 0.5::DOUBLE ELSE value END AS amount
+FROM events WHERE event_id % 11 <> 0 OR event_id % 7 = 0""",
+    "enrich_relanded_file": _with(f"""
+SELECT event_id, date_str, CASE WHEN date_str <> '{REPORT_DAY}' OR event_id % 2 = 0 THEN tourist_estimate
+                                WHEN date_str IN (SELECT date_str FROM lookup) THEN coalesce(tourist_estimate, 0) + 1000 END
+         AS tourist_estimate FROM pollution"""),
+    "full_copy_csv": _with("""
+SELECT event_id, time_date, location_name, measurement_pm10Atmo, measurement_pm25Atmo, measurement_pm100Atmo,
+       date_str, tourist_estimate FROM pollution"""),
+    "catalog_days": f"""
+SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events WHERE CAST(ts AS DATE) <> DATE '{REPORT_DAY}' GROUP BY 1""",
+    "stream_odd_ledger": _ODD + """
+SELECT string_split(key, '/')[-1] AS file_name, CASE WHEN bool_or(d = 6) THEN 'landing time' ELSE '2025-11-19T10:00:00Z' END AS timestamp,
+       0 AS status
+FROM m WHERE d IN (6, 8, 9) AND (starts_with(key, 'en/') OR starts_with(key, 'fr/') OR starts_with(key, 'de/'))
+  AND string_split(key, '/')[-1] <> '' GROUP BY 1""",
+    "stream_odd_dead_letters": _ODD + """
+SELECT d <> 0 AS malformed, CASE WHEN d = 0 THEN 'dlq-test.txt' WHEN d = 3 THEN string_split(key, '/')[-1] END AS file_name,
+       CASE d WHEN 1 THEN '{oops' || page_id WHEN 7 THEN 'no JSON ' || page_id END AS raw, count(*) AS n
+FROM m WHERE d IN (0, 1, 2, 3, 4, 5, 7) GROUP BY 1, 2, 3""",
+    "ledger_many_batches": _NOTICES + """
 SELECT file_name, max(ts) AS timestamp, 0 AS status FROM f GROUP BY file_name""",
 }

@@ -7,13 +7,15 @@
 * ``enrich_partitioned``      ``date=`` partitioned CSV + lookup -> enriched,
                               ``date=`` partitioned CSV
 * ``inventory_remap``         object listing below a root -> copy plan
+
+``plans.landing`` lands raw files one by one, with a quarantine of rejected lines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +23,10 @@ from airshed.functions import date_text, day_of, nano_date
 from airshed.operators import (
     build_lookup, dates_from_keys, distinct_dates, enrich, normalise_readings, profile, remap_plan,
 )
+from airshed.operators.joins import bounded_broadcast
 from airshed.sinks import write_by_date, write_csv, write_lookup
 from airshed.sources import list_objects, read_partitioned, read_raw, with_source_file
+from airshed.sources.files import misfit
 
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -53,30 +57,66 @@ def with_event_date(df: DataFrame, time_col: str = "time_date", fmt: str = TIME_
 def partition_by_date_job(spark: SparkSession, source_path: str, target_path: str,
                           schema: T.StructType | str | None = None, time_col: str = "time_date",
                           nanos_col: str | None = None, tz: str = "UTC",
-                          mode: str = "append", one_pass: bool = True) -> dict:
+                          mode: str = "append", one_pass: bool = True, rejected: str | None = None) -> dict:
     """Read ``<source>/*/*`` CSV, profile it, write it partitioned by ``date``.
 
     One pass over the input: the profile (see ``operators.profile``) is
     observed while writing; ``one_pass=False`` profiles first and writes then.
     ``file_count`` counts files that contributed rows.  With a ``schema`` the
-    profile has ``bad_row_count`` too; bad values are written as NULL.
-    Returns the profile as a dict.
+    profile has ``bad_row_count`` too: lines with a value that does not fit
+    are left out of the target and kept below ``rejected`` (beside the target
+    unless named) as Parquet (file, line, reason); only if there are any are
+    the files read once more for them.  ``land_files`` lands file by file and
+    takes mended lines back.  Returns the profile as a dict.
     """
     bad = "_corrupt" if schema is not None else None
     df = read_raw(spark, source_path.rstrip("/"), schema=schema, depth=2, infer=schema is None, corrupt_col=bad)
     df = with_event_date(with_source_file(df), time_col, nanos_col=nanos_col, tz=tz)
     helpers = ["_input_file", *([bad] if bad else [])]
-    if not one_pass:
+    good = df.filter(F.col(bad).isNull()) if bad else df
+    if one_pass:
+        obs = Observation("partition-profile")
+        numbered, files = with_file_numbers(df)
+        metrics = [F.count(F.lit(1)).alias("row_count"), *seen_files(files), F.count_if(F.col("date").isNull()).alias("null_date_count")]
+        if bad:
+            metrics.append(F.count_if(F.col(bad).isNotNull()).alias("bad_row_count"))
+        seen = numbered.observe(obs, *metrics)
+        write_by_date((seen.filter(F.col(bad).isNull()) if bad else seen).drop(*helpers, FILE_NUMBER), target_path.rstrip("/"), mode=mode)
+        found = dict(obs.get)
+        count = sum(bin(int.from_bytes(found.pop(c) or b"")).count("1") for c in [c for c in found if c.startswith(FILE_NUMBER)])
+        stats = {"row_count": found.pop("row_count"), "file_count": count, **found}
+    else:
         stats = profile(df, corrupt_col=bad).first().asDict()
-        write_by_date(df.drop(*helpers), target_path.rstrip("/"), mode=mode)
-        return stats
-    obs = Observation("partition-profile")
-    metrics = [F.count(F.lit(1)).alias("row_count"), F.size(F.collect_set("_input_file")).alias("file_count"),
-               F.count_if(F.col("date").isNull()).alias("null_date_count")]
-    if bad:
-        metrics.append(F.count_if(F.col(bad).isNotNull()).alias("bad_row_count"))
-    write_by_date(df.observe(obs, *metrics).drop(*helpers), target_path.rstrip("/"), mode=mode)
-    return dict(obs.get)
+        write_by_date(good.drop(*helpers), target_path.rstrip("/"), mode=mode)
+    if stats.get("bad_row_count"):
+        declared = T.StructType([f for f in df.schema.fields if f.name not in ("date", *helpers)])
+        lines = df.filter(F.col(bad).isNotNull()).select(F.col("_input_file").alias("file"), F.col(bad).alias("line"),
+                                                         misfit(declared, bad).alias("reason"))
+        lines.write.mode("append" if mode == "append" else "overwrite").parquet(rejected or target_path.rstrip("/") + "-rejected")
+    return stats
+
+
+FILE_NUMBER = "_file_number"
+BITMAP = 32_768  # bits of one bitmap_construct_agg buffer
+
+
+def with_file_numbers(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` with the number of each row's ``_input_file`` among the files of its plan, and how many these are.
+
+    The names are those of Spark's own file index, sent once as a checked broadcast.
+    """
+    names = df.inputFiles()
+    short = lambda c: F.regexp_replace(c, "^([^:/]+):/+", "$1:/")  # noqa: E731  file:///x and file:/x are one
+    numbers = df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(sorted(names))], f"name string, {FILE_NUMBER} bigint")
+    side, _ = bounded_broadcast(numbers.select(short("name").alias("_name"), FILE_NUMBER), materialise_side=False)
+    return df.join(side, short("_input_file") == F.col("_name"), "left").drop("_name"), len(names)
+
+
+def seen_files(files: int) -> list[Column]:
+    """Aggregates whose set bits are the file numbers met: 4 KB for 32,768 files, no set of names."""
+    n = F.col(FILE_NUMBER)
+    return [F.bitmap_construct_agg(F.when((n >= lo) & (n < lo + BITMAP), n - lo)).alias(f"{FILE_NUMBER}_{lo}")
+            for lo in range(0, max(files, 1), BITMAP)]
 
 
 def publish_lookup(responses: DataFrame, path: str, names: Sequence[str],

@@ -64,6 +64,20 @@ LEDGER = T.StructType([
     T.StructField("status", T.IntegerType()),
 ])
 
+# A notification that cannot be applied, with its raw text and its place.
+DEAD_LETTER = T.StructType([
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("msg_pos", T.IntegerType()),
+    T.StructField("rec_pos", T.IntegerType()),
+    T.StructField("bucket", T.StringType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("event_time", T.StringType()),
+    T.StructField("malformed", T.BooleanType()),
+    T.StructField("body", T.StringType()),
+    T.StructField("copies", T.LongType()),
+])
+
 NORMALISED_WEATHER = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("datetime_iso", T.StringType()),

@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.schemas import LOOKUP, RENAMES
 
 
-def read_raw(spark: SparkSession, base: str, schema: T.StructType | str | None = None,
+def ddl_of(schema: T.StructType) -> str:
+    """DDL text of a flat schema."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def misfit(schema: T.StructType, line_col: str) -> Column:
+    """Why a kept line did not fit: the first column whose text is no value of its type, or the field count."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    t = F.from_csv(line_col, ddl_of(texts), {"mode": "PERMISSIVE"})
+    wrong = [F.when(F.col(f"`{f.name}`").isNull() & t[f.name].isNotNull(), F.lit(f"{f.name}: no {f.dataType.simpleString()}"))
+             for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    return F.coalesce(*wrong, F.lit("wrong number of fields"))
+
+
+def read_raw(spark: SparkSession, base: str | list[str], schema: T.StructType | str | None = None,
              depth: int = 2, infer: bool = False, encoding: str = "UTF-8",
              corrupt_col: str | None = None) -> DataFrame:
-    """Header CSV files ``depth`` folders below ``base`` (``depth=0``: ``base`` is the file/glob).
+    """Header CSV files ``depth`` folders below ``base`` (``depth=0``: ``base`` is the file/glob; a list
+    names the files).
 
     An explicit schema is the default path; ``infer=True`` costs an extra pass
     over the data and types ``time_date`` as timestamp.  With a schema every
-    file's header must name its columns in this order, or reading fails; a
-    value that does not fit its type becomes NULL, and ``corrupt_col`` names a
-    column to keep the whole line of such a row.
+    file's header must name its columns in this order, or reading fails; so
+    does a value that does not fit its type, unless ``corrupt_col`` names a
+    column to keep the whole line of such a row (the value is then NULL).
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    path = base.rstrip("/") + "/*" * depth if depth else base
+    path = base.rstrip("/") + "/*" * depth if depth and isinstance(base, str) else base
     r = (spark.read.option("header", True).option("multiLine", False)
-         .option("encoding", encoding).option("mode", "PERMISSIVE"))
+         .option("encoding", encoding).option("mode", "PERMISSIVE" if corrupt_col or schema is None else "FAILFAST"))
     if schema is not None:
         r = r.option("enforceSchema", False)
         if corrupt_col:
@@ -42,22 +57,25 @@ def read_raw(spark: SparkSession, base: str, schema: T.StructType | str | None =
     return df.withColumn(corrupt_col, F.concat(F.col(f"`{corrupt_col}`"), nothing))
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                      encoding: str = "UTF-8") -> DataFrame:
     """Header CSV below a ``date=YYYY-MM-DD/`` layout; ``date`` comes back from the folder names.
 
     Without a schema every data column is text; with one, headers must match
-    it.  Filters on ``date`` prune whole folders (PartitionFilters).
+    it and a value that does not fit its type is an error.  Filters on
+    ``date`` prune whole folders (PartitionFilters).
     """
     r = spark.read.option("header", True).option("encoding", encoding).option("enforceSchema", False)
     if schema is not None:
-        r = r.schema(schema)
+        r = r.option("mode", "FAILFAST").schema(schema)
     return r.csv(path)
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Per-day visitor lookup CSV (``date_str,tourist_estimate``)."""
-    return spark.read.option("header", True).schema(LOOKUP).csv(path)
+    """Per-day visitor lookup CSV (``date_str,tourist_estimate``); another header, or an estimate that is
+    no whole number, is an error."""
+    return (spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+            .schema(LOOKUP).csv(path))
 
 
 def lookup_from_rows(spark: SparkSession, rows) -> DataFrame:

@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from airshed.functions import date_from_path
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The fully qualified form Spark's file sources report (``file:/x``, ``s3a://b/x``)."""
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """(file system, path, JVM) of Hadoop's API for a path."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The fully qualified form Spark's file sources report (``file:/x``, ``s3a://b/x``)."""
+    fs, p, _ = hadoop_path(spark, path)
     return fs.makeQualified(p).toString().rstrip("/")
 
 

@@ -3,10 +3,11 @@
 Queue messages (one JSON document per line, ``{"Records": [{"body": ...}]}``)
 land in a folder; ``readStream.text`` picks them up, every micro-batch is
 parsed (two ``from_json`` + ``explode``), filtered (watched prefix -> folder
-marker -> poison file) and upserted into the keyed ledger.  The checkpoint is
-the redelivery boundary: after a failure the batch is replayed and the
-idempotent upsert makes the replay harmless (at-least-once in, exactly-once
-effect on the ledger).
+marker -> poison file) and upserted into the keyed ledger.  Ledger rows and dead
+letters of a micro-batch are committed by one write, so readers see both or
+neither.  The checkpoint is the redelivery boundary: after a failure the batch
+is replayed and the idempotent upsert makes the replay harmless (at-least-once
+in, exactly-once effect on ledger and dead letters).
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def dead_letters_beside(ledger_path: str) -> str:
 
 
 def write_dead_letters(dead: DataFrame, batch_id: int, path: str) -> None:
-    """Dead letters, idempotent under replay when the source file is known.
+    """Export of a batch's committed dead letters as JSON lines, for tools that send them again;
+    idempotent under replay when the source file is known.
 
     Rows are partitioned by a hash of the message file they came from and
     written with dynamic partition overwrite: replaying a batch (same or
@@ -55,8 +57,10 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     """Apply one micro-batch (also usable on a static DataFrame of messages).
 
     ``on_poison="route"``: poison files and malformed records go to the
-    dead-letter folder (``<ledger>-dead-letters`` unless one is named), with
-    their raw text; the rest of the batch is applied.
+    ledger's dead letters (``read_dead_letters``) with their raw text, in the
+    same commit as the rest of the batch; once that is made they are exported
+    to the dead-letter folder (``<ledger>-dead-letters`` unless one is named).
+    A job that ends between the two replays the batch and exports it then.
     ``on_poison="fail"``: the batch fails before touching the ledger.
     """
     if on_poison not in ("route", "fail"):
@@ -66,18 +70,22 @@ def process_notice_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         keep = tuple(c for c in ("landed_at", "source") if c in batch.columns)
         notices = select_notices(parse_notifications(batch, "value", keep=keep), prefixes)
         good, dead = split_poison(notices)
+        letters = None
         if on_poison == "fail":
             hit = dead.select("key", "malformed").limit(1).collect()
             if hit:
                 raise RuntimeError(f"{POISON_MESSAGE}: {hit[0]['key'] or 'malformed body'}")
         else:
-            write_dead_letters(dead, batch_id, dead_letter_path or dead_letters_beside(ledger_path))
+            source = F.col("source") if "source" in keep else F.lit(None).cast("string")
+            letters = dead.withColumns({"batch_id": F.lit(batch_id).cast("long"), "source": source})
         # A record without eventTime is stamped with its landing time (the
         # message file's modification time), which a replay reproduces;
         # "now" would add a new ledger row on every replay.
         default = utc_text("landed_at") if "landed_at" in keep else None
         rows = ledger_rows(good.withColumn("batch_id", F.lit(batch_id)), default)
-        upsert_ledger(rows, ledger_path, keys, order=("timestamp", "batch_id", "msg_pos", "rec_pos"))
+        upsert_ledger(rows, ledger_path, keys, order=("timestamp", "batch_id", "msg_pos", "rec_pos"), dead=letters)
+        if letters is not None:
+            write_dead_letters(dead, batch_id, dead_letter_path or dead_letters_beside(ledger_path))
     finally:
         batch.unpersist()
 

@@ -186,8 +186,8 @@ def test_bytes_per_batch_do_not_grow_with_the_ledger(spark, tmpdir_path):
     for n in range(6):
         b = spark.range(n * 200, n * 200 + 200).selectExpr("concat('f', id % 700) as file_name", f"'t{n}' as timestamp", "0 as status")
         version = upsert_ledger(b, path, keys=("file_name",))
-        folder = os.path.join(path, f"v={version:06d}")
-        sizes.append(sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".parquet")))
+        folder = os.path.join(path, f"part=v-{version:06d}")
+        sizes.append(sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")))
     assert max(sizes) < 1.5 * min(sizes)
     before = sorted(tuple(r) for r in read_ledger(spark, path).collect())
     assert len(before) == 700 and dict((r[0], r[1]) for r in before)["f0"] == "t3"
@@ -195,3 +195,85 @@ def test_bytes_per_batch_do_not_grow_with_the_ledger(spark, tmpdir_path):
     assert sorted(tuple(r) for r in read_ledger(spark, path).collect()) == before
     assert upsert_ledger(spark.createDataFrame([("f0", "t9", 0)], "file_name string, timestamp string, status int"), path, ("file_name",)) == 7
     assert dict((r.file_name, r.timestamp) for r in read_ledger(spark, path).collect())["f0"] == "t9"
+
+
+SCHEMA = "file_name string, timestamp string, status int"
+
+
+def folders(path):
+    return sorted(d for d in os.listdir(path) if d.startswith("part="))
+
+
+def test_versions_stay_bounded_over_fifty_batches_and_a_reader_keeps_its_files(spark, tmpdir_path):
+    path, want = os.path.join(tmpdir_path, "ledger"), {}
+    under_way, expected = None, None
+    for n in range(50):
+        rows = [(f"f{(n * 7 + i) % 40}", f"t{n:03d}", n) for i in range(5)]
+        upsert_ledger(spark.createDataFrame(rows, SCHEMA), path, ("file_name",))
+        want.update({r[0]: r for r in rows})
+        if n % 10 == 5:
+            if under_way is not None and n == 15:
+                pass
+            under_way, expected = read_ledger(spark, path), dict(want)
+            under_way._jdf.queryExecution().sparkPlan()  # its files are chosen now
+        if n % 10 == 8:  # three batches and perhaps a fold later
+            assert {r[0]: tuple(r) for r in under_way.collect()} == expected
+    assert {r[0]: tuple(r) for r in read_ledger(spark, path).collect()} == want
+    assert len(folders(path)) <= 2 * (2 * 8 + 1)
+    from airshed.sinks import ledger as sink
+    assert len(sink._current(sink._folders(spark, path))) <= 2 * sink.FOLD_AFTER + 1
+
+
+def test_a_batch_and_a_keyed_read_touch_only_their_buckets(spark, tmpdir_path):
+    from airshed.sinks.ledger import BUCKETS, bucket_of
+    path = os.path.join(tmpdir_path, "ledger")
+    many = spark.range(500).selectExpr("concat('f', id) as file_name", "'t1' as timestamp", "0 as status")
+    upsert_ledger(many, path, ("file_name",))
+    upsert_ledger(spark.createDataFrame([("f7", "t2", 0)], SCHEMA), path, ("file_name",))
+    from pyspark.sql import functions as F
+    own = spark.range(1).select(bucket_of(F.lit("f7")).alias("b")).first().b
+    buckets = lambda v: sorted(os.listdir(os.path.join(path, f"part=v-{v:06d}", "_table=ledger")))
+    assert len(buckets(1)) == BUCKETS and buckets(2) == [f"_bucket={own}"]
+    one = read_ledger(spark, path, "f7")
+    assert [tuple(r) for r in one.collect()] == [("f7", "t2", 0)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_table" in plan and f"(_bucket" in plan
+    files = {r.f for r in spark.read.option("basePath", path).parquet(*[os.path.join(path, d) for d in folders(path)])
+             .filter((F.col("_table") == "ledger") & (F.col("_bucket") == own)).selectExpr("_metadata.file_path as f").collect()}
+    assert files and all(f"_bucket={own}/" in f for f in files)
+
+
+def test_rows_and_dead_letters_of_a_batch_show_together(spark, tmpdir_path, monkeypatch):
+    """Killed after the commit, before the export; killed within the write; replayed either time."""
+    from airshed.sinks import ledger as sink
+    from airshed.sinks import read_dead_letters
+    from airshed.streaming import ledger as stream
+    path = os.path.join(tmpdir_path, "ledger")
+    batch = messages_df(spark, [message(rec("weather/ok.csv")), message(rec("pollution/dlq-test.txt")), "no JSON", "no JSON"]) \
+        .selectExpr("value", "'file:/q/m1' as source", "timestamp '2025-01-02 03:04:05' as landed_at")
+    state = lambda: (sorted(tuple(r) for r in read_ledger(spark, path).collect()),
+                     sorted((r.body, r.copies) for r in read_dead_letters(spark, path).collect() if "JSON" in r.body),
+                     sum(r.copies for r in read_dead_letters(spark, path).collect()))
+    whole = ([("ok.csv", "2025-11-19T10:00:00Z", 0)], [("no JSON", 2)], 3)
+
+    def broken(*_a, **_k):
+        raise RuntimeError("killed")
+
+    kept = sink._write
+    monkeypatch.setattr(sink, "_write", broken)
+    with pytest.raises(RuntimeError, match="killed"):
+        process_notice_batch(batch, 0, path)
+    assert state() == ([], [], 0)
+    # the files of a write that broke off are there, without the marker
+    monkeypatch.setattr(sink, "_write", kept)
+    os.makedirs(os.path.join(path, "part=v-000001", "_table=ledger", "_bucket=1"))
+    assert state() == ([], [], 0)
+    monkeypatch.setattr(stream, "write_dead_letters", broken)
+    with pytest.raises(RuntimeError, match="killed"):
+        process_notice_batch(batch, 0, path)
+    assert state() == whole
+    monkeypatch.undo()
+    for n in (0, 0, 5):  # replayed under its own and under another number
+        process_notice_batch(batch, n, path)
+        assert state() == whole
+    assert spark.read.json(path + "-dead-letters").count() == 3

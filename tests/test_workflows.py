@@ -190,7 +190,31 @@ def test_csv_headers_are_checked_and_bad_values_counted(spark, tmpdir_path):
     # the same columns in another order are not read by position
     write(os.path.join(src, "t", "b.csv"), "id,v,time_date\n3,2.5,2022-04-02 02:00:00\n")
     with pytest.raises(Exception, match="header|Header"):
+        read_raw(spark, src, schema, corrupt_col="_bad").collect()
+
+
+def test_nothing_becomes_null_unseen(spark, tmpdir_path):
+    """Without a place for bad lines a bad value is an error; so are another header and junk in a lookup."""
+    from airshed.sources import read_raw
+    src, dst = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "dst")
+    write(os.path.join(src, "s", "a.csv"), "id,time_date,v\n1,2022-04-01 02:00:00,1.5\n2,2022-04-01 03:00:00,abc\n3,2022-04-01\n")
+    schema = "id int, time_date string, v double"
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
         read_raw(spark, src, schema).collect()
+    partition_by_date_job(spark, src, dst, schema=schema)
+    assert [r.id for r in read_partitioned(spark, dst, schema).collect()] == [1]
+    assert sorted((r.line, r.reason) for r in spark.read.parquet(dst + "-rejected").collect()) == \
+        [("2,2022-04-01 03:00:00,abc", "v: no double"), ("3,2022-04-01", "wrong number of fields")]
+    part = os.path.join(tmpdir_path, "part")
+    write(os.path.join(part, "date=2022-04-01", "x.csv"), "id,pm\n1,much\n")
+    lookup = lookup_from_rows(spark, [("2022-04-01", 1)])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        enrich_partitioned(spark, part, lookup, os.path.join(tmpdir_path, "out"), schema="id int, pm double")
+    for name, text, error in (("swapped", "tourist_estimate,date_str\n5,2022-04-01\n", "eader"),
+                              ("junk", "date_str,tourist_estimate\n2022-04-01,many\n", "MALFORMED|Malformed")):
+        write(os.path.join(tmpdir_path, name, "l.csv"), text)
+        with pytest.raises(Exception, match=error):
+            read_lookup(spark, os.path.join(tmpdir_path, name)).collect()
 
 
 def test_dataset_as_catalog_table(spark, tmpdir_path):
@@ -202,4 +226,19 @@ def test_dataset_as_catalog_table(spark, tmpdir_path):
     register_dataset(spark, name, out, "time_date string, pm double")
     q = spark.sql(f"SELECT pm FROM {name} WHERE date = DATE '2022-04-02'")
     assert [r.pm for r in q.collect()] == [2.5]
+    # one day hidden and shown again; removed folders leave the catalog
+    from airshed.plans.views import drop_day, register_day
+    drop_day(spark, name, "2022-04-01")
+    assert spark.table(name).count() == 1
+    register_day(spark, name, "2022-04-01")
+    assert spark.table(name).count() == 2
+    # a second folder, or other columns, under the same name
+    other = os.path.join(tmpdir_path, "other")
+    write_by_date(df.limit(1).withColumn("date", F.to_date(F.substring("time_date", 1, 10))), other, mode="overwrite")
+    for path, ddl in ((other, "time_date string, pm double"), (out, "time_date string, pm string")):
+        with pytest.raises(ValueError, match="exists over"):
+            register_dataset(spark, name, path, ddl)
+    assert register_dataset(spark, name, other, "time_date string, pm double", replace=True).count() == 1
+    register_dataset(spark, name, out, "time_date string, pm double", replace=True)
+    q = spark.sql(f"SELECT pm FROM {name} WHERE date = DATE '2022-04-02'")
     assert "PartitionFilters: [isnotnull(date" in q._jdf.queryExecution().executedPlan().toString()
