@@ -1,6 +1,6 @@
 """Command-line entry points for spark-submit (``python -m airshed <job> ...``).
 
-Jobs: ``partition`` (W2), ``normalise`` (W1), ``lookup`` (W3, from landed
+Jobs: ``partition`` (W2), ``land`` (W2 file by file, with a quarantine), ``normalise`` (W1), ``lookup`` (W3, from landed
 JSON responses), ``enrich`` (W4), ``inventory`` (W10 copy plan), ``ledger``
 (W9 stream), ``compact`` (its versions), ``dates`` (those to request estimates
 for), and the reports ``per-city``, ``per-country``, ``top-days`` and
@@ -49,10 +49,21 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--case-insensitive", action="store_true")
     a.add_argument("--on-missing", default="null", choices=["null", "error"])
 
-    a = sub.add_parser("enrich", help="date= partitioned CSV + lookup CSV -> enriched CSV")
+    a = sub.add_parser("land", help="CSV two levels below SOURCE -> date=/file= CSV, rejected lines in quarantine")
     a.add_argument("--source", required=True)
-    a.add_argument("--lookup", required=True)
     a.add_argument("--target", required=True)
+    a.add_argument("--quarantine", required=True)
+    a.add_argument("--schema", required=True, help="DDL schema of the CSV files")
+    a.add_argument("--time-col", default="time_date")
+    a.add_argument("--nanos-col", help="derive the date from epoch nanoseconds (sensor files)")
+    a.add_argument("--tz", default="UTC")
+    a.add_argument("--file", action="append", help="land these files only (paths below SOURCE, repeatable)")
+    a.add_argument("--mended", help="JSON lines with file, line and mended: rejected lines with a new text")
+
+    a = sub.add_parser("enrich", help="date= partitioned CSV + lookup CSV -> enriched CSV")
+    a.add_argument("--source", required=True, action="append", help="repeatable, each with its --target")
+    a.add_argument("--lookup", required=True)
+    a.add_argument("--target", required=True, action="append")
     a.add_argument("--mode", default="left", choices=["left", "strict"])
     a.add_argument("--write-mode", choices=["overwrite", "dynamic", "append"],
                    help="default: overwrite, with --day dynamic")
@@ -137,6 +148,11 @@ def main(argv: list[str] | None = None) -> dict:
                                       time_col=args.time_col,
                                       nanos_col=args.nanos_col, tz=args.tz, mode=args.mode,
                                       one_pass=args.one_pass)
+    elif args.job == "land":
+        from airshed.plans.landing import land_files
+        mended = None if args.mended is None else spark.read.schema("file string, line string, mended string").json(args.mended)
+        out = land_files(spark, args.source, args.target, args.quarantine, args.schema, args.file, mended,
+                         time_col=args.time_col, nanos_col=args.nanos_col, tz=args.tz)
     elif args.job == "normalise":
         W.normalise_weather_file(spark, args.source, args.target, single_file=False)
         out = {"target": args.target}
@@ -146,8 +162,10 @@ def main(argv: list[str] | None = None) -> dict:
                          args.on_missing)
         out = {"target": args.target}
     elif args.job == "enrich":
-        W.enrich_partitioned(spark, args.source, read_lookup(spark, args.lookup), args.target,
-                             mode=args.mode, write_mode=args.write_mode, days=args.day)
+        if len(args.source) != len(args.target):
+            raise SystemExit("give one --target for each --source")
+        W.enrich_datasets(spark, dict(zip(args.source, args.target)), read_lookup(spark, args.lookup),
+                          mode=args.mode, write_mode=args.write_mode, days=args.day)
         out = {"target": args.target}
     elif args.job == "inventory":
         plan = W.inventory_remap(spark, args.root, args.src_prefix, args.dst_prefix)

@@ -12,5 +12,6 @@ from airshed.operators.joins import bounded_broadcast, enrich, lookup_with_statu
 from airshed.operators.ledger import (  # noqa: F401
     account, last_wins, ledger_rows, select_notices, split_poison,
 )
+from airshed.operators.maintained import MaintainedExposure, co_moments, corr_of_moments, merged_moments  # noqa: F401
 from airshed.operators.quality import profile  # noqa: F401
 from airshed.operators.weather import daily_weather, hourly_weather, normalise_readings  # noqa: F401

@@ -108,7 +108,7 @@ def bounded_broadcast_all(*dfs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 def enrich(df: DataFrame, lookup: DataFrame, on: str = "date_str", mode: str = "left",
            value_col: str = "tourist_estimate", max_rows: int = MAX_BROADCAST_ROWS,
-           keys: DataFrame | None = None) -> DataFrame:
+           keys: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """Attach the per-key lookup value to every row.
 
     ``mode="left"``: unmatched keys get NULL (tolerant mode).
@@ -118,11 +118,14 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str = "date_str", mode: str = "
     ``keys``: a cheaper DataFrame with the same keys, for that check (such as
     the dates of a partition listing), so ``df`` is not computed twice.
     A lookup with two rows for one key is an error: the join would repeat rows.
+    ``unique=True`` spares the check for a lookup that is grouped by its key,
+    such as ``build_lookup``'s.
     """
     if mode not in ("left", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
     side, _ = bounded_broadcast(lookup.select(on, value_col), max_rows)
-    twice = side.filter(F.col(on).isNotNull()).groupBy(on).count().filter("count > 1").agg(F.min(on)).first()[0]
+    twice = None if unique else \
+        side.filter(F.col(on).isNotNull()).groupBy(on).count().filter("count > 1").agg(F.min(on)).first()[0]
     if twice is not None:
         raise ValueError(f"lookup has several rows for {on}={twice}")
     if mode == "strict":

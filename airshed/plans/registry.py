@@ -20,10 +20,10 @@ from airshed.functions import (
     strip_slash, utc_text, valid_date,
 )
 from airshed.operators import (
-    account, all_dates, build_lookup, copy_count, daily_weather, dates_from_keys, distinct_dates,
+    MaintainedExposure, account, all_dates, build_lookup, co_moments, corr_of_moments, copy_count, daily_weather, dates_from_keys, distinct_dates,
     distinct_rows_by_key_set,
     exposure_per_city, exposure_per_country, exposure_weather_corr, graft_plan, hourly_weather,
-    last_wins, lookup_problems, lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
+    last_wins, merged_moments, per_day_pollution, lookup_problems, lookup_with_status, normalise_readings, profile, remap_plan, select_notices,
     split_poison, top_exposed_days,
 )
 from airshed.operators.joins import enrich, materialise
@@ -31,16 +31,16 @@ from airshed.plans import standins as S
 from airshed.plans.landing import enrich_files, land_files, landed_files, quarantined, read_landed
 from airshed.plans.views import drop_day, register_dataset, register_day
 from airshed.plans.workflows import (
-    enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
+    enrich_datasets, enrich_partitioned, normalise_weather_file, partition_by_date_job, publish_lookup,
 )
-from airshed.schemas import NORMALISED_WEATHER
+from airshed.schemas import NORMALISED_WEATHER, POLLUTION_MEASURES
 from airshed.session import scratch_path
 from airshed.sinks import read_dead_letters, read_ledger, upsert_ledger, write_by_date, write_csv
 from airshed.sources import (
     list_objects, parse_notifications, read_lookup, read_partitioned, read_raw, read_table,
     standardise_columns, with_source_file,
 )
-from airshed.streaming import ledger_stream
+from airshed.streaming import inventory_stream, ledger_stream, read_inventory
 
 # Parameters of the registered reports.
 REPORT_DAY = "2024-01-15"
@@ -88,13 +88,44 @@ def q_top_exposed_days(spark, root):
 def q_exposure_weather_corr(spark, root):
     loc = S.TARGET_LOCATION
     g = S.geo(spark, root)
-    located = S.located_geo(spark, root, loc, g)   # one size-checked side for both branches
-    weather = standardise_columns(S.weather_readings(spark, root, located=located))
-    pollution = S.pollution_enriched(spark, root, g=g, located=located)
+    joined = S.located_events(spark, root, loc, g)  # the location's events, for both branches
+    weather = standardise_columns(S.weather_readings(spark, root, joined=joined))
+    pollution = S.pollution_enriched(spark, root, g=g, joined=joined)
     c = exposure_weather_corr(pollution, weather, loc)
     return _round(c, 8)
 
 
+def q_corr_all_cities(spark, root):
+    """The same correlation for every city and half of the month at once, from stored co-moments per day."""
+    joined, _ = materialise(S.all_located_events(spark, root), "located-events")
+    weather = daily_weather(hourly_weather(standardise_columns(S.weather_readings(spark, root, joined=joined))))
+    exposure = per_day_pollution(S.pollution_enriched(spark, root, joined=joined))
+    pairs, _ = materialise(exposure.join(weather, ["day", "city"]), "city-days")
+    out = []
+    for y, name in (("avg_wind_speed", "wind"), ("total_precipitation", "rain")):
+        daily, _ = materialise(co_moments(pairs, ["city", "day"], "pollution_total_visitor_pm25", y), f"moments-{name}")
+        half = daily.withColumn("half", F.when(F.dayofmonth("day") <= 15, 1).otherwise(2))
+        parts = merged_moments(half, ["city", "half"])                   # of each half
+        whole = merged_moments(parts, ["city"]).withColumn("half", F.lit(0))  # and of both, from these
+        out.append(parts.unionByName(whole).select("city", "half", F.lit(name).alias("against"), F.col("n").alias("days"),
+                                                   F.when(F.col("n") > 2, corr_of_moments()).alias("corr")))
+    return _round(out[0].unionByName(out[1]), 8)
+
+
+def q_exposure_maintained(spark, root):
+    """Exposure kept in totals: all readings come in, then one day is enriched anew; its old rows are
+    taken away and the new ones added, and the batch is sent twice."""
+    kept = MaintainedExposure(spark, scratch_path(spark, "maintained"))
+    readings, _ = materialise(S.pollution_enriched(spark, root).select(
+        "time_date", "location_name", *POLLUTION_MEASURES, "date_str", "tourist_estimate"), "enriched")
+    kept.apply("all", added=readings)
+    day = readings.filter(F.col("date_str") == REPORT_DAY)
+    anew = day.withColumn("tourist_estimate", F.coalesce("tourist_estimate", F.lit(0)) + 1000)
+    for _ in range(2):
+        kept.apply("again", added=anew, removed=day)
+    return _round(kept.per_city())
+
+
 def q_daily_weather(spark, root):
     weather = standardise_columns(S.weather_readings(spark, root))
     return _round(daily_weather(hourly_weather(weather)))
@@ -507,6 +538,37 @@ def q_api_dates_from_keys(spark, root):
     return dates_from_keys(list_objects(spark, part))
 
 
+def q_api_dates_incremental(spark, root):
+    """The same dates from an inventory that lists only what landed since its last run, in two rounds."""
+    part, table, ckpt = (scratch_path(spark, x) for x in ("weather_partitioned", "inventory", "inventory-ckpt"))
+    rows, _ = materialise(S.with_date_str(S.weather_readings(spark, root)).drop("date_str"), "weather")
+    listed = []
+    for half in (0, 1):
+        write_by_date(rows.filter(F.dayofmonth("date") % 2 == half), part)
+        q = inventory_stream(spark, part, table, ckpt, glob="*.csv")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        listed.append(read_inventory(spark, table).count())
+    if list_objects(spark, part, "*.csv").count() != listed[1]:
+        raise RuntimeError("an object was listed twice or not at all")
+    return dates_from_keys(read_inventory(spark, table))
+
+
+def q_enrich_two_datasets(spark, root):
+    """Pollution and weather, partitioned by date, enriched in one run with one strict lookup."""
+    parts = [scratch_path(spark, x) for x in ("pollution-by-date", "weather-by-date")]
+    outs = [scratch_path(spark, x) for x in ("pollution-enriched", "weather-enriched")]
+    cols = [c.split()[0] for c in POLLUTION_LANDED.split(", ")]
+    write_by_date(S.with_date_str(S.readings(spark, root)).select(*cols, "date"), parts[0])
+    write_by_date(S.with_date_str(S.weather_readings(spark, root)).drop("date_str"), parts[1])
+    lookup = S.visitor_lookup(spark, root, city=S.TOTAL_ENTRY, on_missing="error")
+    enrich_datasets(spark, dict(zip(parts, outs)), lookup, schemas={parts[0]: POLLUTION_LANDED, parts[1]: WEATHER_LANDED})
+    count = lambda path, name: read_partitioned(spark, path).groupBy(
+        F.lit(name).alias("dataset"), "date_str", F.col("tourist_estimate").cast("int").alias("tourist_estimate")).agg(F.count(F.lit(1)).alias("n"))
+    return count(outs[0], "pollution").unionByName(count(outs[1], "weather"))
+
+
 def q_notification_ledger_stream(spark, root):
     """Queue messages landed as text files, drained by the streaming ledger, ledger read back."""
     src, ledger, ck = (scratch_path(spark, "queue"), scratch_path(spark, "ledger"),
@@ -635,6 +697,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_odd_ledger": q_stream_odd_ledger,
     "stream_odd_dead_letters": q_stream_odd_dead_letters,
     "ledger_many_batches": q_ledger_many_batches,
+    "corr_all_cities": q_corr_all_cities,
+    "exposure_maintained": q_exposure_maintained,
+    "api_dates_incremental": q_api_dates_incremental,
+    "enrich_two_datasets": q_enrich_two_datasets,
 }
 
 
@@ -941,4 +1007,33 @@ SELECT d <> 0 AS malformed, CASE WHEN d = 0 THEN 'dlq-test.txt' WHEN d = 3 THEN
 FROM m WHERE d IN (0, 1, 2, 3, 4, 5, 7) GROUP BY 1, 2, 3""",
     "ledger_many_batches": _NOTICES + """
 SELECT file_name, max(ts) AS timestamp, 0 AS status FROM f GROUP BY file_name""",
+    "corr_all_cities": _with("""
+, pp AS (
+  SELECT day, city, sum(coalesce(measurement_pm25Atmo, 0) * tourist_estimate) AS e
+  FROM (SELECT DISTINCT CAST(substr(time_date, 1, 10) AS DATE) AS day, location_name AS city,
+               measurement_pm25Atmo, tourist_estimate FROM pollution) GROUP BY day, city),
+j AS (SELECT p.city, CASE WHEN day(p.day) <= 15 THEN 1 ELSE 2 END AS half, p.e, w.avg_wind_speed AS wind, w.total_precipitation AS rain
+      FROM pp p JOIN daily_w w ON p.day = w.day AND p.city = w.city WHERE p.e IS NOT NULL),
+l AS (SELECT city, half, e, 'wind' AS against, wind AS y FROM j WHERE wind IS NOT NULL
+      UNION ALL SELECT city, half, e, 'rain', rain FROM j WHERE rain IS NOT NULL),
+h AS (SELECT * FROM l UNION ALL SELECT city, 0, e, against, y FROM l)
+SELECT city, CAST(half AS INTEGER) AS half, against, count(*) AS days,
+       CASE WHEN count(*) > 2 AND min(e) < max(e) AND min(y) < max(y) THEN round(corr(e, y), 8) END AS corr
+FROM h GROUP BY city, half, against"""),
+    "exposure_maintained": _with(f"""
+, b AS (
+  SELECT DISTINCT CAST(substr(time_date, 1, 10) AS DATE) AS day, location_name AS city, measurement_pm10Atmo, measurement_pm25Atmo,
+         measurement_pm100Atmo, CASE WHEN date_str = '{REPORT_DAY}' THEN coalesce(tourist_estimate, 0) + 1000 ELSE tourist_estimate END AS t
+  FROM pollution)
+SELECT day, city, round(sum(coalesce(measurement_pm10Atmo, 0) * t), 6) AS pollution_total_visitor_pm10,
+       round(sum(coalesce(measurement_pm25Atmo, 0) * t), 6) AS pollution_total_visitor_pm25,
+       round(sum(coalesce(measurement_pm100Atmo, 0) * t), 6) AS pollution_total_visitor_pm100
+FROM b GROUP BY day, city"""),
+    "api_dates_incremental": """
+SELECT DISTINCT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_str FROM events""",
+    "enrich_two_datasets": _with("""
+, t AS (SELECT date_str, CAST(count(DISTINCT user_id) AS INTEGER) AS tourist_estimate FROM clicks GROUP BY date_str),
+r AS (SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_str, count(*) AS n FROM readings GROUP BY 1)
+SELECT dataset, r.date_str, t.tourist_estimate, r.n
+FROM r JOIN t ON r.date_str = t.date_str, (VALUES ('pollution'), ('weather')) AS d(dataset)"""),
 }

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import date_text, day_of, ntz_micros
-from airshed.operators.joins import bounded_broadcast, bounded_broadcast_all, enrich
+from airshed.operators.joins import bounded_broadcast, bounded_broadcast_all, enrich, materialise
 from airshed.operators.estimates import build_lookup
 from airshed.sources import read_table
 
@@ -80,6 +80,19 @@ def _located(spark: SparkSession, root: str, g: DataFrame | None, location: str
     return (g if g is not None else geo(spark, root)), "left"
 
 
+def located_events(spark: SparkSession, root: str, location: str, g: DataFrame | None = None) -> DataFrame:
+    """The events of one location with it, written once for a report that needs them twice."""
+    side = located_geo(spark, root, location, g)
+    ev = _events(spark, root)
+    stored, _ = materialise(ev.join(side, ev.user_id == F.col("c_custkey"), "inner").select(*ev.columns, "location_name"), "located-events")
+    return stored
+
+
+def all_located_events(spark: SparkSession, root: str) -> DataFrame:
+    """All events with their location."""
+    return _joined(spark, root, None, None, None, None).select("event_id", "ts", "user_id", "event_type", "value", "k", "location_name")
+
+
 def on_event_day(ev: DataFrame, day) -> DataFrame:
     """``ts`` within one calendar day, as a plain range: pushed to the Parquet
     scan, where min/max statistics skip row groups of other days."""
@@ -101,18 +114,23 @@ def _events(spark: SparkSession, root: str, day=None) -> DataFrame:
                      F.get_json_object("props", "$.k").try_cast("int").alias("k"))
 
 
+def _joined(spark: SparkSession, root: str, g: DataFrame | None, location: str | None, day, located: DataFrame | None) -> DataFrame:
+    ev = _events(spark, root, day)
+    g, how = _located(spark, root, g, location, located)
+    return ev.join(g, ev.user_id == F.col("c_custkey"), how)
+
+
 def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
-             location: str | None = None, day=None, located: DataFrame | None = None) -> DataFrame:
+             location: str | None = None, day=None, located: DataFrame | None = None,
+             joined: DataFrame | None = None) -> DataFrame:
     """Raw pollution readings (one per event) with their station location.
 
     events x customer is a shuffle join on the customer key; a customer with
     a third of all events is split by AQE's skew-join handling.  With
     ``location`` only that location's readings are produced (see ``_located``);
-    with ``day`` only that day's.
+    with ``day`` only that day's; ``joined`` gives the joined events.
     """
-    ev = _events(spark, root, day)
-    g, how = _located(spark, root, g, location, located)
-    r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
+    r = joined if joined is not None else _joined(spark, root, g, location, day, located)
     k = F.col("k").cast("double")
     return r.select(
         "event_id", "ts", "user_id", "event_type",
@@ -124,11 +142,10 @@ def readings(spark: SparkSession, root: str, g: DataFrame | None = None,
 
 
 def weather_readings(spark: SparkSession, root: str, g: DataFrame | None = None,
-                     location: str | None = None, located: DataFrame | None = None) -> DataFrame:
+                     location: str | None = None, located: DataFrame | None = None,
+                     joined: DataFrame | None = None) -> DataFrame:
     """Raw weather readings in the sample's column layout (``weather_windSpeed`` in m/s)."""
-    ev = _events(spark, root)
-    g, how = _located(spark, root, g, location, located)
-    r = ev.join(g, ev.user_id == F.col("c_custkey"), how)
+    r = joined if joined is not None else _joined(spark, root, g, location, None, located)
     k = F.col("k").cast("double")
     return r.select(
         F.concat(F.col("user_id").cast("string"), F.lit(" - "), F.col("location_name")).alias("name"),
@@ -181,18 +198,18 @@ def with_date_str(df: DataFrame, time_col: str = "time_date") -> DataFrame:
 
 def pollution_enriched(spark: SparkSession, root: str, mode: str = "left",
                        location: str | None = None, day=None, g: DataFrame | None = None,
-                       located: DataFrame | None = None) -> DataFrame:
+                       located: DataFrame | None = None, joined: DataFrame | None = None) -> DataFrame:
     """Readings joined with the visitor lookup; ``location`` / ``day`` restrict
     the readings early for single-location or single-day reports (``day``
-    also restricts the lookup).  ``g`` / ``located`` reuse geographies that
+    also restricts the lookup).  ``g`` / ``located`` / ``joined`` reuse what
     another branch of the same report already built."""
     g = g if g is not None else geo(spark, root)
-    return enrich(with_date_str(readings(spark, root, g, location, day, located)),
-                  visitor_lookup(spark, root, g=g, day=day), mode=mode)
+    return enrich(with_date_str(readings(spark, root, g, location, day, located, joined)),
+                  visitor_lookup(spark, root, g=g, day=day), mode=mode, unique=True)
 
 
 def weather_enriched(spark: SparkSession, root: str, mode: str = "left") -> DataFrame:
     from airshed.sources import standardise_columns
     g = geo(spark, root)
     w = standardise_columns(weather_readings(spark, root, g))
-    return enrich(with_date_str(w), visitor_lookup(spark, root, g=g), mode=mode)
+    return enrich(with_date_str(w), visitor_lookup(spark, root, g=g), mode=mode, unique=True)

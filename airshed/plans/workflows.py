@@ -21,9 +21,9 @@ from pyspark.sql import types as T
 
 from airshed.functions import date_text, day_of, nano_date
 from airshed.operators import (
-    build_lookup, dates_from_keys, distinct_dates, enrich, normalise_readings, profile, remap_plan,
+    all_dates, build_lookup, dates_from_keys, distinct_dates, enrich, normalise_readings, profile, remap_plan,
 )
-from airshed.operators.joins import bounded_broadcast
+from airshed.operators.joins import bounded_broadcast, materialise
 from airshed.sinks import write_by_date, write_csv, write_lookup
 from airshed.sources import list_objects, read_partitioned, read_raw, with_source_file
 from airshed.sources.files import misfit
@@ -153,6 +153,25 @@ def enrich_partitioned(spark: SparkSession, src: str, lookup: DataFrame, dst: st
     return out
 
 
+def enrich_datasets(spark: SparkSession, datasets: dict[str, str], lookup: DataFrame, mode: str = "strict",
+                    schemas: dict[str, T.StructType | str] | None = None, **options) -> None:
+    """``enrich_partitioned`` for several datasets ({source: target}) with one lookup.
+
+    In strict mode the dates of all of them are checked first, so nothing is written if a date of any has
+    no estimate.
+    """
+    schemas = schemas or {}
+    lookup, _ = materialise(lookup.select("date_str", "tourist_estimate"), "lookup")
+    if mode == "strict":
+        days = options.get("days")
+        wanted = lambda df: df if days is None else df.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]))
+        dates = all_dates(*[wanted(read_partitioned(spark, src, schemas.get(src)).select("date")).distinct() for src in datasets])
+        named = dates.select(date_text("date").alias("date_str"))
+        enrich(named, lookup, mode="strict")
+    for src, dst in datasets.items():
+        enrich_partitioned(spark, src, lookup, dst, mode="left", schema=schemas.get(src), **options)
+
+
 def inventory_remap(spark: SparkSession, root: str, src_prefix: str, dst_prefix: str) -> DataFrame:
     """Copy plan (key, dest_key, file_name) for the files below ``root``."""
     return remap_plan(list_objects(spark, root), src_prefix, dst_prefix)

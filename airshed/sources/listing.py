@@ -34,7 +34,11 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(root).select("path", "length", "modificationTime")
+    return keyed_objects(spark, r.load(root).select("path", "length", "modificationTime"), root)
+
+
+def keyed_objects(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
+    """Add ``key`` and ``date_str`` to rows with the ``path`` of objects below ``root``."""
     base = qualified(spark, root)
     name = base.split("/")[-1]
     rel = F.substr(F.col("path"), F.lit(len(base) + 2))

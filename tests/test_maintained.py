@@ -1,0 +1,103 @@
+"""Exposure from signed changes, correlations from merged moments, joint enrichment."""
+
+import math
+import os
+import random
+
+import numpy as np
+import pytest
+
+from airshed.operators import MaintainedExposure, co_moments, corr_of_moments, exposure_per_city, merged_moments
+from airshed.plans.workflows import enrich_datasets
+from airshed.sources import lookup_from_rows
+
+SCHEMA = ("time_date string, location_name string, measurement_pm10Atmo double, measurement_pm25Atmo double, "
+          "measurement_pm100Atmo double, tourist_estimate int")
+
+
+def reading(rnd):
+    some = lambda *v: rnd.choice(v)
+    return (f"2022-04-0{rnd.randint(1, 3)} 0{rnd.randint(0, 9)}:00:00", some("a", "b", None), some(1.5, 2.0, None), some(1.0, None),
+            some(0.5, 3.0), some(10, 20, None))
+
+
+def per_city(df):
+    num = lambda v: None if v is None else round(float(v), 6)
+    return sorted(((str(r[0]), r[1], *map(num, r[2:])) for r in df.collect()), key=str)
+
+
+def test_changes_give_what_a_full_recomputation_gives(spark, tmpdir_path):
+    """Copies of a row come and go; the sums change only with the first and the last of them."""
+    rnd = random.Random(3)
+    kept, rows = MaintainedExposure(spark, os.path.join(tmpdir_path, "kept")), []
+    for batch in range(4):
+        gone = rnd.sample(rows, len(rows) // 2)
+        for r in gone:
+            rows.remove(r)
+        new = [reading(rnd) for _ in range(60)]
+        rows += new
+        args = {"added": spark.createDataFrame(new, SCHEMA), "removed": spark.createDataFrame(gone, SCHEMA)}
+        assert kept.apply(f"b{batch}", **args)
+        assert not kept.apply(f"b{batch}", **args)  # sent again
+        assert per_city(kept.per_city()) == per_city(exposure_per_city(spark.createDataFrame(rows, SCHEMA)))
+    kept.apply("all-gone", removed=spark.createDataFrame(rows, SCHEMA))
+    assert kept.per_city().count() == 0
+
+
+def test_a_batch_reads_the_counts_of_its_days_only(spark, tmpdir_path):
+    kept = MaintainedExposure(spark, os.path.join(tmpdir_path, "kept"))
+    row = lambda day, v: (f"2022-04-0{day} 01:00:00", "a", v, v, v, 2)
+    kept.apply("one", added=spark.createDataFrame([row(d, 1.0) for d in (1, 2, 3)], SCHEMA))
+    days = spark.createDataFrame([("2022-04-02",)], "day string").selectExpr("cast(day as date) as day")
+    stored = kept._counts(days)[0]
+    assert [str(r.day) for r in stored.collect()] == ["2022-04-02"]
+    assert "PartitionFilters: [" in stored._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="not there"):
+        kept.apply("two", removed=spark.createDataFrame([row(2, 9.0)], SCHEMA))
+    assert kept.committed() == ["one"]  # the batch that failed is unseen, and may be sent right
+    assert kept.apply("two", removed=spark.createDataFrame([row(2, 1.0)], SCHEMA))
+    assert len(per_city(kept.per_city())) == 2
+    with pytest.raises(ValueError):
+        kept.apply("three")
+
+
+def test_merged_moments_give_the_correlation_of_all_pairs(spark):
+    rng = np.random.default_rng(1)
+    rows = [(c, d, float(1e6 + x), float(y) if d % 5 else None) for c in ("a", "b") for d, (x, y) in enumerate(rng.normal(size=(60, 2)))]
+    rows += [("flat", d, 1.0, float(d)) for d in range(4)] + [("none", 0, None, 1.0)]
+    df = spark.createDataFrame(rows, "city string, d int, x double, y double")
+    daily = co_moments(df, ["city", "d"], "x", "y")
+    weekly = merged_moments(daily.selectExpr("city", "d div 7 as week", "n", "mean_x", "mean_y", "m2_x", "m2_y", "c_xy"), ["city", "week"])
+    got = {r.city: r.c for r in merged_moments(weekly, ["city"]).select("city", corr_of_moments().alias("c")).collect()}
+    for city in ("a", "b"):
+        pairs = np.array([(x, y) for c, _, x, y in rows if c == city and y is not None])
+        assert math.isclose(got[city], np.corrcoef(pairs.T)[0, 1], rel_tol=1e-7)
+    assert got["flat"] is None and set(got) == {"a", "b", "flat"}
+
+
+def test_nothing_is_written_if_any_dataset_lacks_an_estimate(spark, tmpdir_path):
+    src = {n: os.path.join(tmpdir_path, n) for n in ("pollution", "weather")}
+    for name, day in (("pollution", "2022-04-01"), ("weather", "2022-04-02")):
+        os.makedirs(f"{src[name]}/date={day}")
+        with open(f"{src[name]}/date={day}/x.csv", "w") as f:
+            f.write("id\n1\n")
+    targets = {s: s + "-out" for s in src.values()}
+    with pytest.raises(KeyError, match="2022-04-02"):
+        enrich_datasets(spark, targets, lookup_from_rows(spark, [("2022-04-01", 5), ("2022-04-02", None)]))
+    assert not any(os.path.exists(t) for t in targets.values())
+    enrich_datasets(spark, targets, lookup_from_rows(spark, [("2022-04-01", 5), ("2022-04-02", 7)]))
+    got = {n: [r.tourist_estimate for r in spark.read.option("header", True).csv(src[n] + "-out").collect()] for n in src}
+    assert got == {"pollution": ["5"], "weather": ["7"]}
+
+
+def test_listing_stream_takes_up_only_what_is_new(spark, tmpdir_path):
+    from airshed.streaming import inventory_stream, read_inventory
+    root, table, ckpt = (os.path.join(tmpdir_path, x) for x in ("objects", "table", "ckpt"))
+    for names in (["date=2022-04-01/a.csv", "date=2022-04-01/b.csv"], ["date=2022-04-02/a.csv"], []):
+        for n in names:
+            os.makedirs(os.path.dirname(f"{root}/{n}"), exist_ok=True)
+            with open(f"{root}/{n}", "w") as f:
+                f.write(n)
+        inventory_stream(spark, root, table, ckpt).awaitTermination(60)
+    rows = sorted((r.key, r.length, r.date_str) for r in read_inventory(spark, table).collect())
+    assert rows == [(f"objects/{n}", len(n), n[5:15]) for n in ("date=2022-04-01/a.csv", "date=2022-04-01/b.csv", "date=2022-04-02/a.csv")]
