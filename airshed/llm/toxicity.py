@@ -3,9 +3,15 @@
 A text's features are its distinct words and their first four and five letters.  Labels are learnt
 from rows outside the held-out fifth only, from at most ``TRAIN_ROWS`` of them (smallest hash of the
 id).  Features are counted by label over that sample in Spark, the ``MAX_FEATURES`` that differ most
-are kept, and a logistic model over them is fitted on the driver.  Its loss has a term for every
-labelled text that names a group of people: the same text with each such term swapped for another
-of its kind must get the same log-odds, so that naming a group is no evidence by itself.
+are kept, and with them those of every term of the identity table; a logistic model over them is
+fitted on the driver.
+
+Counterfactuals are made of every sentence of the labelled texts: one that names a group of people
+is written anew with each other term of that kind, one that names none with a term put into it (which
+one, its hash says).  The loss has a term for the mean squared change of the log-odds over all these
+pairs, so that naming a group, or another group, is no evidence by itself.  Pairs are reduced to
+the features in which they differ and counted in Spark; what reaches the driver is a row for each
+different change, bounded by the identity table and not by the texts.
 
 Nulls and edges: a null or empty text has no features and gets the base score; a null id counts as
 held out and keeps its row; repeated rows get equal scores; a null label is no label, several labels
@@ -15,6 +21,8 @@ ones (0 without any); extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,9 +42,12 @@ LEAST_TEXTS = 4        # a feature of fewer labelled texts is not learnt
 LEAST_Z = 3.0          # nor one whose share of toxic texts is not larger by so many standard errors
 PREFIXES = (4, 5)
 FOLDS = 5
-WORD_CACHE = 600_000
+WORD_CACHE = 600_000   # words of up to CACHED_LETTERS whose features a task remembers
+CACHED_LETTERS = 40
+SWAP_WEIGHT = 1.0      # of the counterfactual term in the loss
+MAX_TERMS = 20_000     # of an identity table; a larger one is refused
 
-#: Terms that name groups of people; each is swapped for the next of its line.
+#: Terms that name groups of people, a kind a line; the default of the ``identity`` parameter.
 IDENTITY = [line.split() for line in """
 women men
 woman man
@@ -58,10 +69,12 @@ muslime christen juden
 musulmans chrétiens juifs
 musulmanes cristianos judíos
 """.strip().splitlines()]
-SWAP = {w: line[(i + 1) % len(line)] for line in IDENTITY for i, w in enumerate(line)}
 SEPARATORS = {c: " " for c in range(128) if not chr(c).isalnum()}
 
 
+SENTENCE_END = re.compile("[.!?\n]+")
+
+
 def words_in(text: str) -> set[str]:
     return set(text.lower().translate(SEPARATORS).split())
 
@@ -88,39 +101,75 @@ class Model:
             for w in words_in(t):
                 f = known.get(w)
                 if f is None:
-                    if len(known) >= WORD_CACHE:
-                        known.clear()
-                    f = known[w] = tuple(ids[x] for x in features_of(w) if x in ids)
+                    f = tuple(ids[x] for x in features_of(w) if x in ids)
+                    if len(w) <= CACHED_LETTERS:
+                        if len(known) >= WORD_CACHE:
+                            known.clear()
+                        known[w] = f
                 if f:
                     have.update(f)
             z = self.base + sum(weight[i] for i in sorted(have))
             yield 1 / (1 + float(np.exp(-max(-35.0, min(35.0, z)))))
 
 
-def fit(rows: list[tuple[list[int], list[int] | None]], y: np.ndarray, width: int, swap_weight: float = 1.0,
+def identity_terms(identity: DataFrame | list[list[str]] | None) -> list[list[str]]:
+    """The terms by kind, from lists of them or a table (kind, term); the default list for None."""
+    if identity is None:
+        return IDENTITY
+    if isinstance(identity, list):
+        return identity
+    rows = identity.filter("term is not null").select(F.lower("term").alias("term"), "kind").distinct() \
+        .orderBy("kind", "term").limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} identity terms")
+    kinds: dict[str, list[str]] = {}
+    for r in rows:
+        kinds.setdefault(r.kind, []).append(r.term)
+    return list(kinds.values())
+
+
+def counterfactuals(text: str, kinds: list[list[str]]) -> Iterator[tuple[set[str], set[str]]]:
+    """(words, words of the counterfactual) of each sentence of a text."""
+    place = {w: (kind, i) for kind in kinds for i, w in enumerate(kind)}
+    terms = sorted(place)
+    for sentence in SENTENCE_END.split(text):
+        own = words_in(sentence)
+        named = [w for w in own if w in place]
+        if named:
+            for step in range(1, max(len(place[w][0]) for w in named)):
+                yield own, {place[w][0][(place[w][1] + step) % len(place[w][0])] if w in place else w for w in own}
+        elif own and terms:
+            yield own, own | {terms[zlib.crc32(sentence.encode()) % len(terms)]}
+
+
+Change = tuple[list[int], list[int], int]  # features that go, features that come, how many pairs
+
+
+def fit(rows: list[list[int]], y: np.ndarray, width: int, changes: list[Change] = [], swap_weight: float = 1.0,  # noqa: B006
         l2: float = 2e-5, steps: int = 600, rate: float = 0.1) -> tuple[float, np.ndarray]:
-    """Base and weights.  ``rows``: feature numbers of each text, and of its swapped form if it names
-    a group; the loss adds ``swap_weight`` times the mean squared difference of their log-odds."""
+    """Base and weights.  ``rows``: feature numbers of each text; the loss adds ``swap_weight`` times the
+    mean squared difference of the log-odds over the pairs that ``changes`` counts."""
     n = len(rows)
     share = float(np.clip(y.mean(), 1e-4, 1 - 1e-4)) if n else 1e-4
     base, w = float(np.log(share / (1 - share))), np.zeros(width)
     if not n or y.min() == y.max() or not width:
         return base, w
-    at = np.repeat(np.arange(n), [len(r[0]) for r in rows])
-    cols = np.concatenate([np.array(r[0], np.int64) for r in rows])
-    pairs = [(i, r) for i, r in enumerate(rows) if r[1] is not None]
-    delta = [(k, c, s) for k, (_, r) in enumerate(pairs)
-             for s, own, other in ((1.0, r[0], r[1]), (-1.0, r[1], r[0])) for c in set(own) - set(other)]
-    d_at, d_cols, d_sign = (np.array(x) for x in zip(*delta)) if delta else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+    at = np.repeat(np.arange(n), [len(r) for r in rows])
+    cols = np.concatenate([np.array(r, np.int64) for r in rows])
+    d_at = np.repeat(np.arange(len(changes)), [len(a) + len(b) for a, b, _ in changes])
+    d_cols = np.array([c for a, b, _ in changes for c in (*a, *b)], np.int64)
+    d_sign = np.array([s for a, b, _ in changes for s in (*[1.0] * len(a), *[-1.0] * len(b))])
+    pairs = np.array([k for *_, k in changes], float)
+    pairs /= max(pairs.sum(), 1)
     m = np.zeros(width + 1)
     v = np.zeros(width + 1)
     for t in range(1, steps + 1):
         z = base + np.bincount(at, w[cols], minlength=n)
         g = (1 / (1 + np.exp(-z)) - y) / n
         grad = np.bincount(cols, g[at], minlength=width) + l2 * w
-        if len(delta):
-            gap = np.bincount(d_at, d_sign * w[d_cols], minlength=len(pairs))
-            grad += 2 * swap_weight / len(pairs) * np.bincount(d_cols, d_sign * gap[d_at], minlength=width)
+        if len(d_cols):
+            gap = pairs * np.bincount(d_at, d_sign * w[d_cols], minlength=len(changes))
+            grad += 2 * swap_weight * np.bincount(d_cols, d_sign * gap[d_at], minlength=width)
         full = np.r_[grad, g.sum()]
         m = 0.9 * m + 0.1 * full
         v = 0.999 * v + 0.001 * full * full
@@ -129,10 +178,30 @@ def fit(rows: list[tuple[list[int], list[int] | None]], y: np.ndarray, width: in
     return base, w
 
 
+def changes_of(texts: DataFrame, ids: dict[str, int], kinds: list[list[str]]) -> DataFrame:
+    """(gone, come, n): the different changes that the counterfactuals of ``texts`` (_t) make to the features."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = lambda ws: {ids[f] for w in ws for f in features_of(w) if f in ids}
+        for b in batches:
+            seen: Counter = Counter()
+            for t in b.column(0):
+                for own, other in counterfactuals(t.as_py(), kinds):
+                    # words that stay give the same features on both sides
+                    stay = numbers(own & other)
+                    gone, come = numbers(own - other) - stay, numbers(other - own) - stay
+                    seen[(tuple(sorted(gone - come)), tuple(sorted(come - gone)))] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in seen], pa.list_(pa.int32())), pa.array([k[1] for k in seen], pa.list_(pa.int32())),
+                 pa.array(list(seen.values()), pa.int64())], ["gone", "come", "n"])
+
+    return texts.select("_t").mapInArrow(run, "gone array<int>, come array<int>, n long").groupBy("gone", "come").agg(F.sum("n").alias("n"))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES,
-          swap_weight: float = 1.0) -> Model:
-    """The model of the labelled rows outside the held-out fifth."""
+          swap_weight: float = SWAP_WEIGHT, identity: DataFrame | list[list[str]] | None = None) -> Model:
+    """The model of the labelled rows outside the held-out fifth; ``identity``: see ``identity_terms``."""
+    kinds = identity_terms(identity)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)) \
         .groupBy(F.col(id_col).cast("long").alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("_y"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
@@ -163,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     totals = {r._y: r.n for r in texts.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
-        base, _ = fit([([], None)] * (pos + neg), np.r_[np.ones(pos), np.zeros(neg)], 0)
+        base, _ = fit([[]] * (pos + neg), np.r_[np.ones(pos), np.zeros(neg)], 0)
         return Model(base, {})
     counts = texts.select("_y", "_t").mapInArrow(count, "f string, clean long, toxic long") \
         .groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -171,25 +240,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     z = (F.col("toxic") / pos - F.col("clean") / neg) / F.sqrt(both * (1 - both + 1e-9) * (1 / pos + 1 / neg))
     chosen = counts.filter(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).withColumn("z", z) \
         .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "f").limit(max_features)
-    names = [r.f for r in chosen.select("f").collect()]
+    own = sorted({f for kind in kinds for w in kind for f in features_of(w)})
+    names = list(dict.fromkeys([r.f for r in chosen.select("f").collect()] + own))
     ids = {f: i for i, f in enumerate(names)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda ws: sorted({ids[f] for w in ws for f in features_of(w) if f in ids})
         for b in batches:
-            plain, swapped = [], []
-            for t in b.column(2):
-                ws = words_in(t.as_py())
-                plain.append(number(ws))
-                swapped.append(number({SWAP.get(w, w) for w in ws}) if any(w in SWAP for w in ws) else None)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(plain, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int32()))],
-                ["id", "y", "plain", "swapped"])
+            found = [sorted({ids[f] for w in words_in(t.as_py()) for f in features_of(w) if f in ids}) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], ["id", "y", "found"])
 
-    pdf = texts.select("_id", "_y", "_t").mapInArrow(encode, "id long, y int, plain array<int>, swapped array<int>") \
-        .orderBy("id").toPandas()
-    rows_ = [(list(a), None if s is None else list(s)) for a, s in zip(pdf["plain"], pdf["swapped"])]
-    base, w = fit(rows_, pdf["y"].to_numpy(float), len(names), swap_weight)
+    pdf = texts.select("_id", "_y", "_t").mapInArrow(encode, "id long, y int, found array<int>").orderBy("id").toPandas()
+    changes = [(list(r.gone), list(r.come), r.n) for r in changes_of(texts, ids, kinds).orderBy("gone", "come").collect()]
+    base, w = fit([list(r) for r in pdf["found"]], pdf["y"].to_numpy(float), len(names), changes, swap_weight)
     return Model(base, dict(zip(names, w.tolist())))
 
 
