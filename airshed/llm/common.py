@@ -40,6 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(col: str) -> Column:
     """A text column as its UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b"").cast("binary"))

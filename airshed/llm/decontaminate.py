@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import stored, table
+from airshed.llm.common import stored, table, unused
 
 WINDOW = 10
 SHINGLE = 3
@@ -183,9 +183,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                **options) -> DataFrame:
     """The rows of ``docs`` that hold no window; columns as given."""
     rows, hits, _ = contaminated_places(docs, benchmark, id_col, text_col, **options)
+    own, hash_ = unused(docs, "_id", "_hash")
     bad = stored(rows.join(hits.select("row").distinct(), "row").select(
-        F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left_anti")
+        F.col("id").alias(own), F.col("text_hash").alias(hash_)).distinct(), "contaminated")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(hash_)), "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

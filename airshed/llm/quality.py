@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm import boosting
-from airshed.llm.common import ship_by_value, stored, table
+from airshed.llm.common import ship_by_value, stored, table, unused
 
 ship_by_value(__name__)
 
@@ -117,8 +117,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                         (pdf["_y"].to_numpy(float) >= 0.5).astype(float), CONSTRAINTS)
 
 
-def judged(docs: DataFrame, model: boosting.Trees, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with a struct column ``_verdict``: the counts, base_failed, score and kept."""
+def judged(docs: DataFrame, model: boosting.Trees, text_col: str = "text", threshold: float = THRESHOLD,
+           verdict_col: str = "_verdict") -> DataFrame:
+    """``docs`` with a struct column ``verdict_col``: the counts, base_failed, score and kept."""
     @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, score double, kept boolean")
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
@@ -127,13 +128,14 @@ def judged(docs: DataFrame, model: boosting.Trees, text_col: str = "text", thres
             score = model.score(rows[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)))
             yield rows[COUNTS].assign(base_failed=failed, score=score, kept=~failed & (score >= threshold))
 
-    return docs.withColumn("_verdict", judge(F.col(text_col).cast("binary")))
+    return docs.withColumn(verdict_col, judge(F.col(text_col).cast("binary")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the base rules and the trees; columns as given."""
-    names = docs.columns
-    return judged(docs, train(docs, labels, id_col, text_col), text_col).filter("_verdict.kept").select(*names)
+    verdict, = unused(docs, "_verdict")
+    found = judged(docs, train(docs, labels, id_col, text_col), text_col, verdict_col=verdict)
+    return found.filter(F.col(verdict)["kept"]).drop(verdict)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

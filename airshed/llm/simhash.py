@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import ship_by_value, stored, table, utf8
+from airshed.llm.common import ship_by_value, stored, table, unused, utf8
 
 ship_by_value(__name__)
 
@@ -332,15 +332,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the smallest text hash; of its repeated rows one.  Columns as given."""
     marked, per_fp = grouped(docs, id_col, text_col, shingle_words, max_bits)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("m")
+    own, hash_ = unused(docs, "_id", "_hash")
     chosen = stored(marked.join(per_fp, "fp").groupBy("root").agg(first)
-                    .select(F.col("m.id").alias("_id"), F.col("m.text_hash").alias("_hash")), "kept")
+                    .select(F.col("m.id").alias(own), F.col("m.text_hash").alias(hash_)), "kept")
     kept = docs.join(chosen.hint("shuffle_hash"),
-                     F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")),
+                     F.col(id_col).cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(hash_)),
                      "left_semi")
     if marked.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
         return kept
-    key = kept.select("*", F.xxhash64(text_col).alias("_hash"))
-    return key.dropDuplicates([id_col, "_hash"]).drop("_hash")
+    key = kept.select("*", F.xxhash64(text_col).alias(hash_))
+    return key.dropDuplicates([id_col, hash_]).drop(hash_)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

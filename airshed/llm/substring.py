@@ -19,7 +19,7 @@ Work and shuffled bytes grow in proportion to the corpus, and a passage in a thi
 partially aggregated before it is shuffled.
 
 Nulls and edges: a null or empty text has no words; a text under ``SPAN`` words is kept whole; a
-null id counts as larger than any other; rows that share an id are no references to each other, and
+null id stands with the largest id there is, 2^63-1; rows that share an id are no references to each other, and
 repeated rows are each judged alike; extra columns are ignored (``without_repeats`` passes them
 through).
 """
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm.automata import SuffixAutomaton
-from airshed.llm.common import LONG_MAX, ship_by_value, stored, table, utf8
+from airshed.llm.common import LONG_MAX, ship_by_value, stored, table, unused, utf8
 
 ship_by_value(__name__)
 
@@ -149,7 +149,7 @@ def segment_texts(found: DataFrame, span: int) -> DataFrame:
 
     return found.select("id", "text_hash", "t", "segs") \
         .mapInArrow(run, "id long, text_hash long, start int, h long, seg binary") \
-        .withColumn("d1", F.xxhash64("seg")).withColumn("d2", F.xxhash64("seg", F.lit(1)))
+        .withColumn("d1", F.xxhash64("seg")).withColumn("d2", F.xxhash64(F.lit(1), "seg"))
 
 
 def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
@@ -203,8 +203,8 @@ def owners_by_window(segs: DataFrame, span: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
-    """``docs`` as (id, text_hash, t), and (id, text_hash, at): the words at which a repeat starts."""
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX)).alias("id"),
+    """``docs`` as (doc_id, id, text_hash, t), and (id, text_hash, at): the words at which a repeat starts."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX)).alias("id"),
                         F.xxhash64(text_col).alias("text_hash"), utf8(text_col).alias("t"))
     marks = stored(anchored(texts, span), "anchors")
     shared = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h")
@@ -217,7 +217,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[Dat
                    .filter(F.col("count") > SHARD_SEGMENTS).select("h"), "large-shards")
     owners = stored(owners_by_shard(distinct.join(large, "h", "left_anti"), span)
                     .unionByName(owners_by_window(distinct.join(large, "h", "left_semi"), span))
-                    .select("h", F.xxhash64("seg").alias("d1"), F.xxhash64("seg", F.lit(1)).alias("d2"), "owners"), "owners")
+                    .select("h", F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2"), "owners"), "owners")
     hit = places.select("id", "text_hash", "start", "h", "d1", "d2").join(owners, ["h", "d1", "d2"]) \
         .filter(F.array_min("owners") < F.col("id")) \
         .select("id", "text_hash", F.filter(
@@ -261,11 +261,10 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cols = list(zip(*out)) if out else [[]] * 4
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, types)],
-                                             ["id", "n_words", "n_removed", "kept_sha256"])
+                                             ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    joined = texts.join(found.hint("shuffle_hash"), ["id", "text_hash"], "left").select("id", "t", "at")
-    return joined.mapInArrow(run, "id long, n_words long, n_removed long, kept_sha256 string") \
-        .select(F.when(F.col("id") < LONG_MAX, F.col("id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+    joined = texts.join(found.hint("shuffle_hash"), ["id", "text_hash"], "left").select("doc_id", "t", "at")
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
@@ -273,26 +272,27 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with the repeats cut out of the text; columns as given, with ``length_col`` (if the
     table has it) the characters of a text that was cut."""
     _, found = repeats(docs, id_col, text_col, span)
-    found = found.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at"))
+    own, hash_, at, cut_col = unused(docs, "_id", "_hash", "_at", "_text")
+    found = found.select(F.col("id").alias(own), F.col("text_hash").alias(hash_), F.col("at").alias(at))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, starts: pd.Series) -> pd.Series:
         return pd.Series([t if at is None or not len(at) else cut_text(t.encode(), at, span).decode()
                           for t, at in zip(texts, starts)], dtype=object)
 
-    same = (F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX)) == F.col("_id")) & \
-        (F.xxhash64(text_col) == F.col("_hash"))
+    same = (F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX)) == F.col(own)) & \
+        (F.xxhash64(text_col) == F.col(hash_))
     joined = docs.join(found.hint("shuffle_hash"), same, "left")
 
     def value(name: str) -> Column:
         if name == text_col:
-            return F.col("_text").alias(name)
+            return F.col(cut_col).alias(name)
         if name == length_col:
-            return F.when(F.col("_at").isNotNull(), F.char_length("_text")).otherwise(F.col(name)) \
+            return F.when(F.col(at).isNotNull(), F.char_length(cut_col)).otherwise(F.col(name)) \
                 .cast(docs.schema[name].dataType).alias(name)
         return F.col(name)
 
-    return joined.withColumn("_text", cut(text_col, "_at")).select(*(value(c) for c in docs.columns))
+    return joined.withColumn(cut_col, cut(text_col, at)).select(*(value(c) for c in docs.columns))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

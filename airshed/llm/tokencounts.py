@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import ship_by_value, table
+from airshed.llm.common import ship_by_value, stored, table
 from airshed.session import scratch_path
 
 ship_by_value(__name__)
@@ -103,6 +103,8 @@ class TokenLedger:
             raise ValueError(f"not a batch id: {batch_id!r}")
         if batch_id in self.committed():
             return False
+        # counted once: the changes are read twice below
+        changes = stored(changes.select("op", "seq", "doc_id", "source", "lang", "tokenizer_version", "n_tokens", "n_bytes"), "token-changes")
         fields = F.struct("seq", "op", "source", "lang", "n_tokens", "n_bytes")
         last = changes.filter("doc_id is not null").groupBy("doc_id", "tokenizer_version").agg(F.max(fields).alias("c")) \
             .select("doc_id", "tokenizer_version", "c.op", "c.source", "c.lang", "c.n_tokens", "c.n_bytes")
@@ -118,8 +120,8 @@ class TokenLedger:
         signed = reduce(DataFrame.unionByName, [r.select(*(F.col(c).cast("long") if c in SUMS else F.col(c) for c in names))
                                                 for r in rows])
         signed.write.mode("overwrite").parquet(self._path("rows", batch_id))
-        stored = self.spark.read.schema(ROWS).parquet(self._path("rows", batch_id))
-        stored.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS)) \
+        written = self.spark.read.schema(ROWS).parquet(self._path("rows", batch_id))
+        written.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS)) \
             .write.mode("overwrite").parquet(self._path("totals", batch_id))
         return True
 

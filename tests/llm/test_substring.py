@@ -90,3 +90,17 @@ def test_empty_table_and_long_text(docs_of):
     got = {r.doc_id: (r.n_words, r.n_removed) for r in
            S.dedup_report(docs_of([(1, long_text), (2, "a " + long_text + " b"), (3, long_text[:100])])).collect()}
     assert got == {1: (40_000, 0), 2: (40_002, 40_000), 3: (len(long_text[:100].split()), 0)}
+
+
+def test_the_largest_id_is_an_id(spark, docs_of):
+    top = (1 << 63) - 1
+    words = " ".join(f"w{i}" for i in range(60))
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in S.dedup_report(docs_of([(5, words), (top, words), (None, words)])).collect()}
+    assert got == {5: (60, 0), top: (60, 60), None: (60, 60)}
+
+
+def test_the_two_hashes_of_a_segment_are_independent(spark):
+    from pyspark.sql import functions as F
+    one = spark.createDataFrame([("a b c",)], "seg string").select(F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2")).first()
+    chained = spark.createDataFrame([(one.d1,)], "d long")
+    assert one.d2 not in (one.d1, chained.select(F.xxhash64(F.lit(1))).first()[0])
