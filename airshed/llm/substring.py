@@ -12,7 +12,9 @@ sides are cut into shards by content:
 3. Shards: the segments of an anchor are one shard.  Its reference automaton is built in the task
    that holds them; the same segments are streamed past it for their matching statistics, which
    give each window's smallest owner.  A shard of one segment needs no automaton.  A shard of more
-   than ``SHARD_SEGMENTS`` is broken up into single windows, each a shard of its own.
+   than ``SHARD_SEGMENTS`` is cut again by the anchors of longer k-grams (``GRAM_SHARES`` of a window),
+   whose shards are solved in the same way.  The longest k-gram is the whole window: a shard of it holds
+   that window only, up to ``RUN`` times in a row, so every shard ends up bounded.
 4. Removal: each document's windows with a smaller owner make its maximal removed spans.
 
 Work and shuffled bytes grow in proportion to the corpus, and a passage in a third of all rows is
@@ -44,23 +46,27 @@ ship_by_value(__name__)
 
 SPAN = 50
 SHARD_SEGMENTS = 500
+GRAM_SHARES = (5, 2, 1)  # a k-gram of an anchor is a window's words divided by these, in turn
 RUN = 64                 # windows of a segment at most
 SLICE_BYTES = 2_000_000  # text whose words a task holds as objects at a time
-WORD_CACHE = 300_000
+WORD_CACHE = 300_000     # words of up to CACHED_BYTES whose hashes a task remembers
+CACHED_BYTES = 64
 WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, 7)
+        h = xxhash.xxh64_intdigest(word, 7)
+        if len(word) <= CACHED_BYTES:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[word] = h
         return h
 
 
-def anchors(words: np.ndarray, span: int) -> np.ndarray:
+def anchors(words: np.ndarray, span: int, level: int = 0) -> np.ndarray:
     """The anchor of the window at each word of a sequence of word hashes."""
-    gram = max(1, span // 5)
+    gram = max(1, span // GRAM_SHARES[level])
     odd = 0x9E3779B97F4A7C15
     grams, width = words, 1
     while width < gram:  # hash of ``width`` words from here, doubled or extended to ``gram``
@@ -79,12 +85,12 @@ def anchors(words: np.ndarray, span: int) -> np.ndarray:
     return x
 
 
-def segments(words: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+def segments(words: np.ndarray, ends: np.ndarray, span: int, level: int = 0) -> tuple[np.ndarray, ...]:
     """(sequence, start, windows, anchor) of each segment; ``ends`` are the sequences' ends in
     ``words``."""
     if len(words) < span:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    anchor = anchors(words, span)
+    anchor = anchors(words, span, level)
     begins = np.r_[0, ends[:-1]]
     at = np.arange(len(anchor))
     owner = np.searchsorted(ends, at, "right")
@@ -149,7 +155,7 @@ def segment_texts(found: DataFrame, span: int) -> DataFrame:
 
     return found.select("id", "text_hash", "t", "segs") \
         .mapInArrow(run, "id long, text_hash long, start int, h long, seg binary") \
-        .withColumn("d1", F.xxhash64("seg")).withColumn("d2", F.xxhash64(F.lit(1), "seg"))
+        .select("*", *digests())
 
 
 def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
@@ -192,14 +198,49 @@ def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
         .mapInArrow(run, "h long, seg binary, owners array<long>")
 
 
-def owners_by_window(segs: DataFrame, span: int) -> DataFrame:
-    """The same as ``owners_by_shard``, each window being a shard of its own."""
-    single = segs.select("h", "seg", "least", F.split(F.col("seg").cast("string"), " ").alias("w")) \
-        .select("h", "seg", "least", "w", F.explode(F.sequence(F.lit(0), F.size("w") - span)).alias("i")) \
-        .select("h", "seg", "least", "i", F.concat_ws(" ", F.slice("w", F.col("i") + 1, span)).alias("win"))
-    least = single.groupBy("win").agg(F.min("least").alias("owner"))
-    return single.join(least, "win").groupBy("h", "seg") \
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners"))
+def cut_again(segs: DataFrame, span: int, level: int) -> DataFrame:
+    """(h, seg, i, sub_h, sub_seg, least): segments (h, seg, least) cut by the anchors of a level; ``i`` is
+    the first window of a part in its segment."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for b in batches:
+            h, least = b.column(0).to_numpy(), b.column(2).to_numpy()
+            for first, texts in slices(b.column(1)):
+                split = [t.split(b" ") for t in texts]
+                ends = np.cumsum([len(w) for w in split])
+                words = np.fromiter((known[w] for ws in split for w in ws), np.uint64, int(ends[-1]))
+                seq, start, n, anchor = segments(words, ends, span, level)
+                parts = [b" ".join(split[q][s:s + m + span - 1]) for q, s, m in zip(seq.tolist(), start.tolist(), n.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[first + seq]), pa.array([texts[q] for q in seq.tolist()], pa.binary()), pa.array(start.astype(np.int32)),
+                     pa.array(anchor.view(np.int64)), pa.array(parts, pa.binary()), pa.array(least[first + seq])],
+                    ["h", "seg", "i", "sub_h", "sub_seg", "least"])
+
+    return segs.select("h", "seg", "least").mapInArrow(run, "h long, seg binary, i int, sub_h long, sub_seg binary, least long")
+
+
+def digests() -> tuple[Column, Column]:
+    """Two independent hashes of a segment."""
+    return F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2")
+
+
+def owners_of(places: DataFrame, span: int, level: int = 0) -> DataFrame:
+    """The same as ``owners_by_shard``, of segments (h, seg, least, d1, d2) that may be repeated; shards of
+    more than ``SHARD_SEGMENTS`` are cut again first."""
+    segs = places.groupBy("h", "seg").agg(F.min("least").alias("least"))
+    if level + 1 == len(GRAM_SHARES):
+        return owners_by_shard(segs, span)
+    large = stored(places.select("h", "d1", "d2").distinct().groupBy("h").count()
+                   .filter(F.col("count") > SHARD_SEGMENTS).select("h"), "large-shards")
+    if large.isEmpty():
+        return owners_by_shard(segs, span)
+    parts = stored(cut_again(segs.join(large, "h", "left_semi"), span, level + 1), "parts")
+    finer = owners_of(parts.select(F.col("sub_h").alias("h"), F.col("sub_seg").alias("seg"), "least").select("*", *digests()),
+                      span, level + 1).select(F.col("h").alias("sub_h"), F.col("seg").alias("sub_seg"), "owners")
+    # a segment has at most RUN windows, so at most RUN parts
+    whole = parts.join(finer, ["sub_h", "sub_seg"]).groupBy("h", "seg") \
+        .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "owners"))), lambda x: x["owners"])).alias("owners"))
+    return owners_by_shard(segs.join(large, "h", "left_anti"), span).unionByName(whole)
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
@@ -210,14 +251,9 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[Dat
     shared = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h")
     regions = stored(marks.join(shared, "h").groupBy("id", "text_hash")
                      .agg(F.collect_set(F.struct("h", "start", "n")).alias("segs")), "regions")
-    found = texts.join(regions.hint("shuffle_hash"), ["id", "text_hash"])
+    found = texts.join(regions, ["id", "text_hash"])
     places = stored(segment_texts(found, span), "segments")
-    distinct = places.groupBy("h", "seg").agg(F.min("id").alias("least"))
-    large = stored(places.select("h", "d1", "d2").distinct().groupBy("h").count()
-                   .filter(F.col("count") > SHARD_SEGMENTS).select("h"), "large-shards")
-    owners = stored(owners_by_shard(distinct.join(large, "h", "left_anti"), span)
-                    .unionByName(owners_by_window(distinct.join(large, "h", "left_semi"), span))
-                    .select("h", F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2"), "owners"), "owners")
+    owners = stored(owners_of(places.withColumnRenamed("id", "least"), span).select("h", *digests(), "owners"), "owners")
     hit = places.select("id", "text_hash", "start", "h", "d1", "d2").join(owners, ["h", "d1", "d2"]) \
         .filter(F.array_min("owners") < F.col("id")) \
         .select("id", "text_hash", F.filter(
@@ -263,7 +299,7 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, types)],
                                              ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    joined = texts.join(found.hint("shuffle_hash"), ["id", "text_hash"], "left").select("doc_id", "t", "at")
+    joined = texts.join(found, ["id", "text_hash"], "left").select("doc_id", "t", "at")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -282,7 +318,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     same = (F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX)) == F.col(own)) & \
         (F.xxhash64(text_col) == F.col(hash_))
-    joined = docs.join(found.hint("shuffle_hash"), same, "left")
+    joined = docs.join(found, same, "left")
 
     def value(name: str) -> Column:
         if name == text_col:

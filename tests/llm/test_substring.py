@@ -62,7 +62,7 @@ def corpus():
 
 @pytest.mark.parametrize("shard", [S.SHARD_SEGMENTS, 2])
 def test_removed_words_match_brute_force(docs_of, monkeypatch, shard):
-    monkeypatch.setattr(S, "SHARD_SEGMENTS", shard)  # 2: most shards are too large and are broken up
+    monkeypatch.setattr(S, "SHARD_SEGMENTS", shard)  # 2: most shards are too large and are cut again, twice
     docs = corpus()
     got = sorted((tuple(r) for r in S.dedup_report(docs_of(docs), span=10).collect()), key=repr)
     want = slow(docs, 10)
@@ -84,6 +84,27 @@ def test_texts_are_cut_and_columns_kept(docs_of):
             assert out.filter("doc_id = 107").first().text == whole[107]
 
 
+def test_a_large_shard_is_cut_until_its_automata_are_small(docs_of, monkeypatch):
+    """A shared passage between ever different words: one anchor, many segments."""
+    rng = random.Random(4)
+    core = [f"c{i}" for i in range(14)]
+    docs = [(i, " ".join([f"a{rng.randint(0, 30)}" for _ in range(6)] + core + [f"z{rng.randint(0, 30)}" for _ in range(6)])) for i in range(120)]
+    docs += [(500 + i, "again " * (15 + i)) for i in range(40)]
+    monkeypatch.setattr(S, "SHARD_SEGMENTS", 10)
+    levels = []
+    plain = S.cut_again
+    monkeypatch.setattr(S, "cut_again", lambda segs, span, level: levels.append(level) or plain(segs, span, level))
+    got = sorted(tuple(r) for r in S.dedup_report(docs_of(docs), span=10).collect())
+    assert got == sorted((i, n, r, hashlib.sha256(b" ".join(k)).hexdigest()) for i, n, r, k in slow(docs, 10))
+    assert levels == [1, 2]
+
+
+def test_long_words_are_not_remembered():
+    known = S.WordHashes()
+    assert known[b"x" * 20_000] == known[b"x" * 20_000] and not known
+    assert known[b"short"] == known[b"short"] and list(known) == [b"short"]
+
+
 def test_empty_table_and_long_text(docs_of):
     assert S.dedup_report(docs_of([])).count() == 0 and S.without_repeats(docs_of([])).count() == 0
     long_text = " ".join(f"w{i}" for i in range(40_000))
