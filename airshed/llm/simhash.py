@@ -335,7 +335,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own, hash_ = unused(docs, "_id", "_hash")
     chosen = stored(marked.join(per_fp, "fp").groupBy("root").agg(first)
                     .select(F.col("m.id").alias(own), F.col("m.text_hash").alias(hash_)), "kept")
-    kept = docs.join(chosen.hint("shuffle_hash"),
+    kept = docs.join(chosen,
                      F.col(id_col).cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(hash_)),
                      "left_semi")
     if marked.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
