@@ -8,14 +8,19 @@ key never ties.  The keyed sizes are stored once (no texts), and all steps read
 2. Splitters: quantiles of the sampled keys.  A splitter inside a group of equal texts is moved to
    the group's start, unless the group reaches over a whole range by itself.
 3. Ranges: every record finds its range by binary search; bytes and rows are counted exactly, and
-   ranges over ``OVERFULL`` times the mean in either are sampled again and subdivided; there too a
-   splitter moves to its group's start, unless the group has a whole mean range's weight of draws.
+   ranges over ``OVERFULL`` times the mean in either (the largest record's bytes left out) are sampled
+   again and subdivided, until none is left; there too a splitter moves to its group's start, unless
+   the group has a whole mean range's weight of draws.
 4. Shards: neighbouring ranges, cut where their running bytes are nearest to each shard's share.
    A record's slot is the rows of its shard's earlier ranges plus its place in its range, so no
    task ever sorts a whole shard.
 
-The number of ranges follows the rows (``RANGE_ROWS`` each), and only splitters and counts of ranges
-reach the driver.
+A shard ends at the range end nearest to its share, so its bytes are off the mean by at most one range:
+``OVERFULL`` / ``RANGES_PER_SHARD`` of the mean (3.1 %) and the largest record.
+
+The ranges are ``RANGES_PER_SHARD`` for each shard however many rows there are, so what reaches the driver
+and the plan (draws, splitters, counts of ranges) depends on the shards only.  A range of a larger table
+holds more rows; its sort, of three hashes and two numbers a row, may spill.
 
 Nulls and edges: a null text has size 1 and the empty text's CRC; null ids are hashed as such;
 repeated rows are told apart by the row number; more shards than rows leave shards empty; an empty
@@ -35,10 +40,9 @@ from airshed.llm.common import stored, table
 
 SHARDS = 16
 RANGES_PER_SHARD = 128
-RANGE_ROWS = 50_000
 DRAWS_PER_RANGE = 8
 OVERFULL = 4
-ROUNDS = 3
+MOST_ROUNDS = 40  # each round cuts every overfull range; more than a few mean a fault
 KEY = ("k1", "k2", "k3")
 
 
@@ -73,8 +77,12 @@ def subdividing(drawn: list[tuple[tuple[int, int, int], float]]) -> list[tuple[i
     for key, w in drawn:
         weights[key[0]] = weights.get(key[0], 0.0) + w
     low = -(1 << 63)
-    return [key if weights[key[0]] >= DRAWS_PER_RANGE * OVERFULL else (key[0], low, low)
-            for key, _ in drawn[::DRAWS_PER_RANGE]]
+    out, run = [], 0.0
+    for key, w in drawn:  # a draw that weighs a mean range's worth is always a splitter
+        if int(run / DRAWS_PER_RANGE) < int((run + w) / DRAWS_PER_RANGE):
+            out.append(key if weights[key[0]] >= DRAWS_PER_RANGE * OVERFULL else (key[0], low, low))
+        run += w
+    return out
 
 
 def range_of(splitters: list[tuple[int, int, int]]) -> Column:
@@ -111,7 +119,7 @@ def cut_shards(sizes: list[int], shards: int) -> list[int]:
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
-                   ranges_per_shard: int = RANGES_PER_SHARD, range_rows: int = RANGE_ROWS) -> DataFrame:
+                   ranges_per_shard: int = RANGES_PER_SHARD) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary"))
     keyed = stored(docs.select(
@@ -120,17 +128,19 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
     total = keyed.agg(F.count("*").alias("n"), F.sum("size").alias("b")).first()
     if not total.n:
         return keyed.selectExpr("doc_id", "size", "text_crc32", "0 shard", "0L slot")
-    ranges = max(shards * ranges_per_shard, -(-total.n // range_rows))
+    ranges = shards * ranges_per_shard
     weight = (F.col("size") / float(total.b) + 1.0 / total.n) / 2  # sums to 1 over all records
     splitters = quantiles(draw(keyed, weight * ranges * DRAWS_PER_RANGE, 0), ranges)
-    for round_no in range(1, ROUNDS + 1):
+    most_rows, most_bytes = OVERFULL * total.n / ranges, OVERFULL * total.b / ranges
+    for round_no in range(1, MOST_ROUNDS + 2):
         placed = keyed.withColumn("range", range_of(splitters))
-        counts = {r.range: (r.n, r.b) for r in placed.groupBy("range")
-                  .agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()}
-        full = [r for r, (n, b) in counts.items()
-                if n > 1 and (n > OVERFULL * total.n / ranges or b > OVERFULL * total.b / ranges)]
+        counted = placed.groupBy("range").agg(F.count("*").alias("n"), F.sum("size").alias("b"), F.max("size").alias("m"))
+        full = [r.range for r in counted.filter((F.col("n") > 1) & (
+            (F.col("n") > most_rows) | (F.col("b") - F.col("m") > most_bytes))).collect()]
         if not full:
             break
+        if round_no > MOST_ROUNDS:
+            raise RuntimeError(f"{len(full)} ranges are still overfull after {MOST_ROUNDS} rounds")
         more = draw(placed.filter(F.col("range").isin(full)), weight * ranges * DRAWS_PER_RANGE * OVERFULL, round_no)
         splitters = sorted({*splitters, *subdividing(more)})
     placed = stored(keyed.withColumn("range", range_of(splitters)), "ranges")

@@ -51,6 +51,34 @@ def test_subdividing_an_overfull_range_keeps_small_groups_together(docs_of, monk
     assert all(len(s) == 1 for crc, s in split.items() if crc != hot)
 
 
+def test_ranges_are_subdivided_until_none_is_overfull(docs_of, monkeypatch):
+    """Starting from one range, with rows of very different sizes: the stated bound holds."""
+    monkeypatch.setattr(S, "quantiles", lambda drawn, ranges: [])
+    rows = [(i, f"t{i} " + "x" * (i % 90)) for i in range(4000)] + [(9000 + i, f"huge {i} " * 3000) for i in range(5)]
+    rows += [(9100 + i, "copy " * 400) for i in range(300)]
+    shards, per_shard = 4, 16
+    sizes = check(rows, S.shard_by_bytes(docs_of(rows), shards, ranges_per_shard=per_shard).collect(), shards)
+    mean, largest = sum(sizes.values()) / shards, max(len(t) + 1 for _, t in rows)
+    assert max(abs(s - mean) for s in sizes.values()) <= S.OVERFULL / per_shard * mean + largest
+
+
+def test_draws_and_splitters_do_not_grow_with_the_rows(docs_of, monkeypatch):
+    drawn = []
+    plain = S.draw
+    monkeypatch.setattr(S, "draw", lambda *a: drawn.append(plain(*a)) or drawn[-1])
+    for n in (2000, 20_000):
+        S.shard_by_bytes(docs_of([(i, f"text {i}") for i in range(n)]), 2, ranges_per_shard=8).count()
+    first = [len(d) for d in drawn]
+    assert len(first) == 2 and max(first) < 2 * 2 * 8 * S.DRAWS_PER_RANGE
+
+
+def test_heavy_draws_are_always_splitters():
+    low = -(1 << 63)
+    drawn = [((1, 0, 0), 1.0), ((2, 0, 0), 500.0), ((3, 0, 0), 1.0), ((4, 0, 0), 40.0)]
+    assert S.subdividing(drawn) == [(2, 0, 0), (4, 0, 0)]
+    assert S.subdividing([((k, 5, 0), 1.0) for k in range(16)]) == [(7, low, low), (15, low, low)]
+
+
 def test_small_and_empty_tables(docs_of):
     rows = [(None, None), (1, ""), (1, ""), (2, "a" * 100_000)]
     check(rows, S.shard_by_bytes(docs_of(rows), 16).collect(), 16)
