@@ -3,13 +3,15 @@
 A rule is a host and a path prefix, with a verdict; it fits its host and all subdomains, for paths
 that start with its own.  Distinct (host, path) pairs are expanded into expressions 'host suffix +
 path prefix', only for those (labels of a suffix, length of a prefix) that rules have, so a long url
-costs no more expressions than there are such shapes.  Expressions meet the rules in an equi-join on
+costs no more expressions than there are such shapes.  The shapes are a table (labels, all lengths)
+that meets the pairs by the number of labels: the plan is the same for any rules.  Expressions meet the rules in an equi-join on
 the first ``PREFIX_HEX`` hex digits of their SHA-256; the whole digest then confirms the rule.  Of
 the confirmed rules the longest wins, then the longer host, then block before allow.  Verdicts go
 back to the pages by (host, path).
 
-The rules are broadcast only where Spark finds them under its threshold; otherwise both joins
-shuffle, on pairs that were made distinct first, and skewed partitions may be split.
+The shapes are broadcast only if they are proven small, the rules only where Spark finds them under its
+threshold; otherwise the joins shuffle, on pairs that were made distinct first, and skewed partitions
+may be split.
 
 Nulls and edges: a null url or one without '://' has an empty host and path, and only a rule with an
 empty host could fit it; without a rule the verdict is ``DEFAULT``; a rule with a null host or path
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm.common import table
+from airshed.operators.joins import bounded_broadcast
 
 PREFIX_HEX = 8
 DEFAULT = "allow"
@@ -58,15 +61,15 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         F.substring(digest(mark), 1, PREFIX_HEX).alias("prefix"), digest(mark).alias("rule_digest"), text.alias("rule"), "block",
         F.size(F.split("rule_host", r"\.")).alias("labels"), F.char_length("rule_path").alias("chars"),
         F.char_length("rule_host").alias("host_chars"))
-    shapes = [(r.labels, r.chars) for r in known.select("labels", "chars").distinct().collect()]
+    shapes, _ = bounded_broadcast(known.groupBy(F.col("labels").alias("n")).agg(F.sort_array(F.collect_set("chars")).alias("lengths")))
 
     judged = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     pairs = judged.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    parts = [F.when((F.size(labels) >= n) & (F.char_length("path") >= c),
-                    digest(F.concat(F.substring_index("host", ".", -n), F.lit("\n"), F.substring("path", 1, c))))
-             for n, c in sorted(shapes)]
-    found = pairs.withColumn("digest", F.explode(F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>"))) \
+    numbers = F.sequence(F.lit(1), F.size(F.split("host", r"\.")))
+    expression = lambda c: digest(F.concat(F.expr("substring_index(host, '.', -n)"), F.lit("\n"), F.col("path").substr(F.lit(1), c)))
+    fitting = F.filter("lengths", lambda c: c <= F.char_length("path"))
+    found = pairs.withColumn("n", F.explode(numbers)).join(shapes, "n") \
+        .select("host", "path", F.explode(F.transform(fitting, expression)).alias("digest")) \
         .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)) \
         .join(known, "prefix").filter(F.col("digest") == F.col("rule_digest"))
     best = found.groupBy("host", "path").agg(F.max(F.struct(

@@ -1,3 +1,4 @@
+import random
 import re
 
 from airshed.llm import urlfilter as U
@@ -38,3 +39,22 @@ def test_no_rules_and_no_pages(spark):
     assert [tuple(r) for r in U.judge(pages, rules, default="block").collect()] == [(1, "x.com", "/a", None, "block")]
     some = spark.createDataFrame(U.RULES, "host string, path string, verdict string")
     assert U.judge(pages.filter("false"), some).count() == 0
+
+
+def test_many_shapes_make_no_larger_plan(spark):
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    rules = [(".".join(word(1) for _ in range(rng.randint(1, 4))), "/" + word(n % 250), "block" if n % 3 else "allow") for n in range(1000)]
+    urls = ["http://" + ".".join(word(1) for _ in range(rng.randint(1, 6))) + "/" + word(rng.randint(0, 12)) for _ in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = U.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    verdicts = {}
+    for h, p, v in rules:
+        verdicts.setdefault((h, p), set()).add(v)
+    merged = [(h, p, "block" if "block" in v else "allow") for (h, p), v in verdicts.items()]
+    want = sorted(((i, *slow(u, merged)) for i, u in enumerate(urls)), key=repr)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want
+    assert sum(r[3] is not None for r in want) > 50
+    few = U.judge(pages, spark.createDataFrame(U.RULES, "host string, path string, verdict string"))
+    size = lambda df: len(df._jdf.queryExecution().analyzed().toString())
+    assert size(out) < 1.2 * size(few)
