@@ -39,7 +39,8 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 20_000   # pieces that one task packs together
 RELEASED_BINS = 64      # emptiest bins of a group that are packed anew with other groups'
-WORD_CACHE = 350_000    # chunks whose ids a task remembers; it forgets all beyond that
+WORD_CACHE = 350_000    # chunks of up to CACHED_BYTES whose ids a task remembers; it forgets all beyond that
+CACHED_BYTES = 64
 
 
 def vocabulary_path() -> str:
@@ -55,13 +56,19 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+#: What a vocabulary file must treat as ``ChunkIds`` does, or its texts go to its tokenizer whole.
+PROBES = ["", "Plain words, in a line.", "it's IT'S we'll they'd I'm you're can't 's 't", "x1 2024 3.14 a1b2 -7%", "Ünïcode Größe ÉTÉ ß ÿ",
+          "tab\tand\nline\r\n  ends ", "<|endoftext|> <| |> [CLS] </s>", "日本語 текст עברית 😀👍🏽", "e\u0301 \u00a0nbsp\u2003em \u00ad", "a_b#c@d//e--f...!?"]
+
+
 class ChunkIds(dict):
     """Little-endian 32-bit ids of white-space separated chunks, by the given tokenizer.
 
     The tokenizer drops white space and looks at no neighbours, so a text's ids are its chunks'
     ids in turn.  Printable ASCII and the letters of Latin-1 need no normalising beyond lower case,
     so the model is asked for each part of the split directly; anything else goes through the whole
-    tokenizer.  Both memories start anew at ``WORD_CACHE`` entries."""
+    tokenizer.  A vocabulary file of which this does not hold (``PROBES`` tell) gets each text whole.
+    Both memories start anew at ``WORD_CACHE`` entries and hold no long ones."""
 
     PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
@@ -72,6 +79,7 @@ class ChunkIds(dict):
         self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
         self.symbols = byte_symbols()
+        self.by_chunks = all(self.of_chunks(t.encode()) == self.whole(t) for t in PROBES)
 
     @classmethod
     def kept(cls, path: str) -> "ChunkIds":
@@ -84,26 +92,34 @@ class ChunkIds(dict):
     def part(self, text: str) -> bytes:
         symbols = text if text.isascii() else "".join(map(self.symbols.__getitem__, text.encode()))
         ids = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
-        self.parts[text] = ids
+        if len(text) <= CACHED_BYTES:
+            if len(self.parts) >= WORD_CACHE:
+                self.parts.clear()
+            self.parts[text] = ids
         return ids
 
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        if len(self.parts) >= WORD_CACHE:
-            self.parts.clear()
         text = chunk.decode()
         if self.PLAIN.fullmatch(text) and "<|" not in text:
             known = self.parts
             ids = b"".join([known.get(p) or self.part(p) for p in self.PARTS.findall(text.lower())])
         else:
-            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        self[chunk] = ids
+            ids = self.whole(text)
+        if len(chunk) <= CACHED_BYTES:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[chunk] = ids
         return ids
 
-    def of(self, text: bytes) -> bytes:
+    def of_chunks(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
+    def of(self, text: bytes) -> bytes:
+        return self.of_chunks(text) if self.by_chunks else self.whole(text.decode())
+
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:

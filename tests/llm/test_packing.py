@@ -1,3 +1,4 @@
+import json
 import zlib
 from itertools import combinations
 
@@ -108,3 +109,26 @@ def test_local_search_goes_on_until_no_step_raises_the_squares():
         bins = P.improve(lengths, start, 100)
         assert np.bincount(bins, lengths).max(initial=0) <= 100
         assert rising_step(lengths, bins, 100) is None
+
+
+def test_long_chunks_are_not_remembered():
+    ids = P.ChunkIds(P.vocabulary_path())
+    assert ids.by_chunks
+    long_one = "xyz0" * 5000
+    assert np.frombuffer(ids.of(f"{long_one} {'é' * 9000} end".encode()), "<u4").tolist() == reference_ids(f"{long_one} {'é' * 9000} end")
+    assert max(map(len, ids)) <= P.CACHED_BYTES and max(map(len, ids.parts)) <= P.CACHED_BYTES
+
+
+def test_a_vocabulary_of_other_rules_gets_its_texts_whole(tmp_path):
+    """The given file without its lower-casing: words can't be taken by the rules of ``ChunkIds``."""
+    from tokenizers import Tokenizer
+    with open(P.vocabulary_path()) as f:
+        spec = json.load(f)
+    spec["normalizer"] = None
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(spec))
+    ids, other = P.ChunkIds(str(path)), Tokenizer.from_file(str(path))
+    text = "Some Mixed CASE text, it's 2024"
+    assert not ids.by_chunks
+    assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+    assert other.encode(text, add_special_tokens=False).ids != reference_ids(text)
