@@ -45,7 +45,10 @@ ship_by_value(__name__)
 ARCHIVE_BYTES = 32 << 20
 LEAST_REVISIT = 1000
 STEP = 1 << 20             # bytes read at a time
-MOST_RECORD = 1 << 30      # bytes of one record; beyond that it counts as damaged
+# bytes of one record; beyond that it counts as damaged.  A Spark value has less than 2 GiB, so no
+# record that is written here is larger
+MOST_RECORD = (1 << 31) + (1 << 20)
+STORES = {"s3a": "s3", "s3n": "s3"}
 MAGIC, VERSION, END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
 ONCE = {"warc-" + x for x in (
     "type record-id date target-uri payload-digest block-digest ip-address refers-to refers-to-target-uri "
@@ -56,12 +59,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder's URI, and its path there."""
+    """The file system of a folder's URI, and its path there; Hadoop's names for a store are its own name's."""
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}://{rest}")
 
 
 def digest_text(sha1_hex: str) -> str:

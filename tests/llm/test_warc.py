@@ -174,3 +174,10 @@ def test_a_gap_is_an_error_for_op10(spark, tmp_path):
         else:
             with pytest.raises(Exception, match="gap in"):
                 got.collect()
+
+
+def test_folders_of_object_stores_are_known_by_hadoops_names():
+    if not hasattr(W.pafs, "S3FileSystem"):
+        pytest.skip("built without it")
+    fs, path = W.file_system("s3a://bucket/some/folder?region=eu-west-1")
+    assert isinstance(fs, W.pafs.S3FileSystem) and path == "bucket/some/folder"
