@@ -198,49 +198,54 @@ def owners_by_shard(segs: DataFrame, span: int) -> DataFrame:
         .mapInArrow(run, "h long, seg binary, owners array<long>")
 
 
+def digests() -> tuple[Column, Column]:
+    """Two independent hashes of a segment."""
+    return F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2")
+
+
 def cut_again(segs: DataFrame, span: int, level: int) -> DataFrame:
-    """(h, seg, i, sub_h, sub_seg, least): segments (h, seg, least) cut by the anchors of a level; ``i`` is
-    the first window of a part in its segment."""
+    """(h, d1, d2, i, sub_h, seg, least): segments (h, seg, least) by their digests, cut by the anchors of a
+    level into parts; ``i`` is the first window of a part in its segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            h, least = b.column(0).to_numpy(), b.column(2).to_numpy()
-            for first, texts in slices(b.column(1)):
+            h, d1, d2, least = (b.column(k).to_numpy() for k in range(4))
+            for first, texts in slices(b.column(4)):
                 split = [t.split(b" ") for t in texts]
                 ends = np.cumsum([len(w) for w in split])
                 words = np.fromiter((known[w] for ws in split for w in ws), np.uint64, int(ends[-1]))
                 seq, start, n, anchor = segments(words, ends, span, level)
                 parts = [b" ".join(split[q][s:s + m + span - 1]) for q, s, m in zip(seq.tolist(), start.tolist(), n.tolist())]
+                of = first + seq
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[first + seq]), pa.array([texts[q] for q in seq.tolist()], pa.binary()), pa.array(start.astype(np.int32)),
-                     pa.array(anchor.view(np.int64)), pa.array(parts, pa.binary()), pa.array(least[first + seq])],
-                    ["h", "seg", "i", "sub_h", "sub_seg", "least"])
+                    [pa.array(h[of]), pa.array(d1[of]), pa.array(d2[of]), pa.array(start.astype(np.int32)),
+                     pa.array(anchor.view(np.int64)), pa.array(parts, pa.binary()), pa.array(least[of])],
+                    ["h", "d1", "d2", "i", "sub_h", "seg", "least"])
 
-    return segs.select("h", "seg", "least").mapInArrow(run, "h long, seg binary, i int, sub_h long, sub_seg binary, least long")
-
-
-def digests() -> tuple[Column, Column]:
-    """Two independent hashes of a segment."""
-    return F.xxhash64("seg").alias("d1"), F.xxhash64(F.lit(1), "seg").alias("d2")
+    return segs.select("h", *digests(), "least", "seg") \
+        .mapInArrow(run, "h long, d1 long, d2 long, i int, sub_h long, seg binary, least long")
 
 
 def owners_of(places: DataFrame, span: int, level: int = 0) -> DataFrame:
-    """The same as ``owners_by_shard``, of segments (h, seg, least, d1, d2) that may be repeated; shards of
-    more than ``SHARD_SEGMENTS`` are cut again first."""
+    """(h, d1, d2, owners): as ``owners_by_shard``, for segments (h, seg, least, d1, d2) that may be
+    repeated; shards of more than ``SHARD_SEGMENTS`` are cut again first."""
     segs = places.groupBy("h", "seg").agg(F.min("least").alias("least"))
+    solved = lambda some: owners_by_shard(some, span).select("h", *digests(), "owners")
     if level + 1 == len(GRAM_SHARES):
-        return owners_by_shard(segs, span)
+        return solved(segs)
     large = stored(places.select("h", "d1", "d2").distinct().groupBy("h").count()
                    .filter(F.col("count") > SHARD_SEGMENTS).select("h"), "large-shards")
     if large.isEmpty():
-        return owners_by_shard(segs, span)
-    parts = stored(cut_again(segs.join(large, "h", "left_semi"), span, level + 1), "parts")
-    finer = owners_of(parts.select(F.col("sub_h").alias("h"), F.col("sub_seg").alias("seg"), "least").select("*", *digests()),
-                      span, level + 1).select(F.col("h").alias("sub_h"), F.col("seg").alias("sub_seg"), "owners")
+        return solved(segs)
+    # the texts of the parts are stored without those they were cut from
+    parts = stored(cut_again(segs.join(large, "h", "left_semi"), span, level + 1)
+                   .select("*", *(x.alias(n) for x, n in zip(digests(), ("sub_d1", "sub_d2")))), "parts")
+    finer = owners_of(parts.select(F.col("sub_h").alias("h"), "seg", "least", F.col("sub_d1").alias("d1"), F.col("sub_d2").alias("d2")),
+                      span, level + 1).toDF("sub_h", "sub_d1", "sub_d2", "owners")
     # a segment has at most RUN windows, so at most RUN parts
-    whole = parts.join(finer, ["sub_h", "sub_seg"]).groupBy("h", "seg") \
+    whole = parts.select("h", "d1", "d2", "i", "sub_h", "sub_d1", "sub_d2").join(finer, ["sub_h", "sub_d1", "sub_d2"]).groupBy("h", "d1", "d2") \
         .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "owners"))), lambda x: x["owners"])).alias("owners"))
-    return owners_by_shard(segs.join(large, "h", "left_anti"), span).unionByName(whole)
+    return solved(segs.join(large, "h", "left_anti")).unionByName(whole)
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
@@ -253,7 +258,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, span: int) -> tuple[Dat
                      .agg(F.collect_set(F.struct("h", "start", "n")).alias("segs")), "regions")
     found = texts.join(regions, ["id", "text_hash"])
     places = stored(segment_texts(found, span), "segments")
-    owners = stored(owners_of(places.withColumnRenamed("id", "least"), span).select("h", *digests(), "owners"), "owners")
+    owners = stored(owners_of(places.withColumnRenamed("id", "least"), span), "owners")
     hit = places.select("id", "text_hash", "start", "h", "d1", "d2").join(owners, ["h", "d1", "d2"]) \
         .filter(F.array_min("owners") < F.col("id")) \
         .select("id", "text_hash", F.filter(
