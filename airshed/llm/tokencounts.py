@@ -3,7 +3,9 @@
 A ledger holds one folder of signed document rows and one of signed totals for each batch.  A batch
 of changes (insert, revise, delete) is compared with what the ledger knows of just its documents;
 what changes becomes rows of -1 (the old count leaves its group) and +1 (the new one enters its
-own), and their sums are the batch's totals.  Totals add up over batches, whatever their order of
+own), and their sums are the batch's totals.  Rows lie in ``BUCKETS`` folders by their document's
+hash, and a batch reads those of its own documents' buckets only; rows without an id, which no later
+batch asks for, lie in one apart.  Totals add up over batches, whatever their order of
 reading, and no batch reads or rewrites another's totals.
 
 A batch is committed when its totals are whole (Spark's ``_SUCCESS``, written last): a batch that
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm.common import ship_by_value, stored, table
@@ -36,10 +38,16 @@ ship_by_value(__name__)
 
 GROUP = ["source", "lang", "tokenizer_version"]
 SUMS = ["n_docs", "n_tokens", "n_bytes"]
+BUCKETS = 64  # fixed for all batches of a ledger
 ROWS = "doc_id long, source string, lang string, tokenizer_version string, n_docs long, n_tokens long, n_bytes long"
+STORED = f"{ROWS}, bucket int"
 TOTALS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long, n_bytes long"
 
 
+def bucket_of(id_col: str) -> Column:
+    return F.when(F.col(id_col).isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(BUCKETS))).cast("int")
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,7 +88,7 @@ class TokenLedger:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _path(self, kind: str, batch_id: str) -> str:
-        return f"{self.folder}/{kind}/{batch_id}"
+        return f"{self.folder}/{kind}/batch={batch_id}"
 
     def committed(self) -> list[str]:
         """Ids of the committed batches."""
@@ -90,11 +98,23 @@ class TokenLedger:
         if not fs.exists(root):
             return []
         whole = lambda s: fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        return sorted(s.getPath().getName() for s in fs.listStatus(root) if whole(s))
+        return sorted(s.getPath().getName().removeprefix("batch=") for s in fs.listStatus(root) if whole(s))
 
     def _read(self, kind: str, schema: str) -> DataFrame | None:
         parts = [self._path(kind, b) for b in self.committed()]
-        return self.spark.read.schema(schema).parquet(*parts) if parts else None
+        if not parts:
+            return None
+        return self.spark.read.schema(f"{schema}, batch string").option("basePath", f"{self.folder}/{kind}").parquet(*parts)
+
+    def known(self, touched: DataFrame) -> DataFrame | None:
+        """What the ledger holds of the documents of ``touched`` (doc_id, tokenizer_version), read from
+        their buckets alone; None while nothing is committed."""
+        log = self._read("rows", STORED)
+        if log is None:
+            return None
+        buckets = [r.bucket for r in touched.select(bucket_of("doc_id").alias("bucket")).distinct().collect()]  # BUCKETS at most
+        return log.filter(F.col("bucket").isin(buckets)).join(touched, ["doc_id", "tokenizer_version"], "left_semi") \
+            .groupBy("doc_id", *GROUP).agg(*(F.sum(c).alias(c) for c in SUMS)).filter("n_docs <> 0")
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Take in a batch (op, seq, doc_id, source, lang, tokenizer_version, n_tokens, n_bytes);
@@ -110,17 +130,15 @@ class TokenLedger:
             .select("doc_id", "tokenizer_version", "c.op", "c.source", "c.lang", "c.n_tokens", "c.n_bytes")
         loose = changes.filter("doc_id is null and op = 'insert'").select(last.columns)
         rows = [last.filter("op <> 'delete'").unionByName(loose).withColumn("n_docs", F.lit(1))]
-        log = self._read("rows", ROWS)
-        if log is not None:  # what is known of this batch's documents leaves its groups
-            touched = last.select("doc_id", "tokenizer_version")
-            now = log.join(touched, ["doc_id", "tokenizer_version"], "left_semi").groupBy("doc_id", *GROUP) \
-                .agg(*(F.sum(c).alias(c) for c in SUMS)).filter("n_docs <> 0")
+        now = self.known(changes.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "tokenizer_version"))
+        if now is not None:  # it leaves its groups
             rows.append(now.select("doc_id", *GROUP, *((-F.col(c)).alias(c) for c in SUMS)))
         names = ["doc_id", *GROUP, *SUMS]
         signed = reduce(DataFrame.unionByName, [r.select(*(F.col(c).cast("long") if c in SUMS else F.col(c) for c in names))
                                                 for r in rows])
-        signed.write.mode("overwrite").parquet(self._path("rows", batch_id))
-        written = self.spark.read.schema(ROWS).parquet(self._path("rows", batch_id))
+        signed.withColumn("bucket", bucket_of("doc_id")).hint("rebalance", "bucket") \
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self._path("rows", batch_id))
+        written = self.spark.read.schema(STORED).parquet(self._path("rows", batch_id))
         written.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS)) \
             .write.mode("overwrite").parquet(self._path("totals", batch_id))
         return True
@@ -141,7 +159,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = counted(table(spark, sf_dir, "documents"), vocabulary_path()).withColumns({"op": F.lit("insert"), "seq": F.lit(0)})
     ledger.commit("0001-load", load)
     ledger.commit("0001-load", load)
-    known = spark.read.schema(ROWS).parquet(f"{ledger.folder}/rows/0001-load")
+    known = spark.read.schema(ROWS).parquet(ledger._path("rows", "0001-load"))
     toxic = labels.filter("toxic = 1").select("doc_id").distinct()
     poor = labels.filter("quality = 0").select("doc_id").distinct()
     ledger.commit("0002-review", known.join(toxic, "doc_id", "left_semi").withColumn("source", F.lit("review"))

@@ -1,4 +1,5 @@
 import base64
+import re
 from collections import Counter
 
 import pytest
@@ -81,3 +82,19 @@ def test_query_matches_plain_counting(spark):
     got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in out.collect()}
     assert got == {g: (n[g], tokens[g]) for g in n}
     assert out.select(F.countDistinct("tokenizer_version")).first()[0] == 1
+
+
+def test_a_late_batch_reads_its_own_buckets(spark):
+    ledger = T.TokenLedger(spark, scratch_path(spark, "tokens"))
+    assert ledger.known(spark.createDataFrame([(1, "v1")], "doc_id long, tokenizer_version string")) is None
+    assert ledger.commit("b0", changes(spark, []))
+    rows = [("insert", 0, i, "a", "en", "v1", i, 1) for i in range(300)] + [("insert", 0, None, "a", "en", "v1", 5, 1)] * 3
+    assert ledger.commit("b1", changes(spark, rows))
+    late = spark.createDataFrame([(7, "v1"), (7, "v2"), (900, "v1")], "doc_id long, tokenizer_version string")
+    known = ledger.known(late)
+    assert [(r.doc_id, r.n_tokens) for r in known.collect()] == [(7, 7)]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(-?\d+,-?\d+\)", plan), plan
+    assert totals(ledger) == {("a", "en", "v1"): (303, sum(range(300)) + 15, 303)}
+    assert ledger.commit("b2", changes(spark, [("delete", 0, 7, None, None, "v1", None, None)]))
+    assert totals(ledger) == {("a", "en", "v1"): (302, sum(range(300)) + 8, 302)}
